@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkeval.functions.ratios import accuracy, f1_score, precision, ratio, recall
+from sparkeval.functions.search import cuts_below
 from sparkeval.operators import curves
 from sparkeval.operators.detection import dense_matrix
 
@@ -136,8 +137,7 @@ def threshold_curves(df: DataFrame, thresholds: Sequence[float], gt: str = "gt",
     Rows are counted by the last threshold they reach; running sums over that short list give each point.
     """
     ts = sorted(set(thresholds))
-    cuts = F.array(*[F.lit(float(t)) for t in ts])
-    level = F.size(F.filter(cuts, lambda t: t <= F.col(score)))
+    level = cuts_below(f"`{score}`", ts)
     hist = df.groupBy(level.alias("level")).agg(F.count_if(F.col(gt)).alias("pos"), F.count_if(~F.col(gt)).alias("neg"))
     grid = df.sparkSession.createDataFrame([(i + 1, float(t)) for i, t in enumerate(ts)], "level int, threshold double")
     down = W.orderBy(F.col("level").desc()).rowsBetween(W.unboundedPreceding, 0)

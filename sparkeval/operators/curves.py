@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkeval.functions.ratios import ratio
 from sparkeval.operators.running import following, running
+from sparkeval.session import materialize
 
 CURVE_POINTS = 501  # most points of a reported curve
 
@@ -21,7 +22,8 @@ CURVE_POINTS = 501  # most points of a reported curve
 def score_counts(df: DataFrame, by: Sequence[str], positive: Column, score: Column) -> DataFrame:
     """(by, score, pos, neg): positives and negatives per distinct score."""
     df = df.select(*by, positive.cast("long").alias("_p"), score.cast("double").alias("score"))
-    return df.groupBy(*by, "score").agg(F.sum("_p").alias("pos"), F.sum(1 - F.col("_p")).alias("neg"))
+    counts = df.groupBy(*by, "score").agg(F.sum("_p").alias("pos"), F.sum(1 - F.col("_p")).alias("neg"))
+    return materialize(counts, "score-counts")  # curves read it several times
 
 
 def detection_counts(matches: DataFrame, by: Sequence[str] = ("label",)) -> DataFrame:

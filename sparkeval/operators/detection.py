@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkeval.functions import boxes
 from sparkeval.functions.ratios import f1_score, precision, recall
+from sparkeval.functions.search import cuts_below
 from sparkeval.operators import curves
 from sparkeval.operators.matching import match, match_multiclass
 from sparkeval.session import materialize
@@ -107,8 +108,8 @@ def thresholded_counts(matches: DataFrame, grid: Sequence[float], by: Sequence[s
     found = matches.where("kind <> 'ignored'").withColumn("label", label_of())
     grid = sorted(set(float(g) for g in grid))
     cuts = F.array(*[F.lit(g) for g in grid])
-    kind, score = F.col("kind"), F.col("inf.score")
-    level = F.when(kind.isin("matched", "unmatched_inf"), F.size(F.filter(cuts, lambda c: c <= score))).otherwise(0)
+    kind = F.col("kind")
+    level = F.when(kind.isin("matched", "unmatched_inf"), cuts_below("inf.score", grid)).otherwise(0)
     levels = found.groupBy(*by, level.alias("level")).agg(
         F.count_if(kind == "matched").alias("m"), F.count_if(kind == "unmatched_inf").alias("u"),
         F.count_if(kind.isin("unmatched_gt", "confused")).alias("g"),

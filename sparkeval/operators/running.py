@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkeval.functions.search import cuts_below
+from sparkeval.session import materialize
+
 RANGES = 64
 
 
@@ -21,7 +24,8 @@ def _ranged(df: DataFrame, order: str) -> DataFrame:
     fractions = [i / RANGES for i in range(1, RANGES)]
     edges = df.agg(F.percentile_approx(order, fractions, 2000)).scalar()
     df = df.withColumn("_edges", edges)
-    return df.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(order)))).drop("_edges")
+    below = cuts_below(f"`{order}`", [f"_edges[{i}]" for i in range(RANGES - 1)], inclusive=False)
+    return df.withColumn("_range", below).drop("_edges")
 
 
 def following(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], descending: bool = True) -> DataFrame:
@@ -66,7 +70,8 @@ def running(
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Rows per distinct value: (by, value, n)."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    return materialize(counts, "value-counts")  # read several times: edges, totals, rows
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:

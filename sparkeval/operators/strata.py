@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkeval.functions.search import cuts_below
 from sparkeval.operators.running import exact_quantiles
 
 MAX_BUCKETS = 100
@@ -41,15 +42,14 @@ def check_edges(edges: Sequence[float]) -> list[float]:
     return edges
 
 
-def bin_by_edges(value: Column, edges: Column | Sequence[float]) -> Column:
-    """0-based bin of right-open bins with a closed last one; null outside."""
-    if not isinstance(edges, Column):
-        edges = F.array(*[F.lit(float(e)) for e in edges])
-    v, n = value.cast("double"), F.size(edges) - 1
-    single = (n == 1) & (F.element_at(edges, 1) == F.element_at(edges, 2))
-    below = F.size(F.filter(edges, lambda e: e <= v)) - 1
-    k = F.when(v == F.element_at(edges, -1), n - 1).otherwise(below)
-    return F.when(single, F.when(v == F.element_at(edges, 1), 0)).when((k >= 0) & (k < n), k)
+def bin_by_edges(value: str, edges: Sequence[float]) -> Column:
+    """0-based bin of right-open bins with a closed last one; null outside. ``value`` is a column name."""
+    edges = check_edges(edges)
+    v, n = F.col(value).cast("double"), len(edges) - 1
+    if n == 1 and edges[0] == edges[1]:
+        return F.when(v == edges[0], 0)
+    k = F.when(v == edges[-1], n - 1).otherwise(cuts_below(f"double(`{value}`)", edges) - 1)
+    return F.when((v >= edges[0]) & (v <= edges[-1]), k)
 
 
 def bin_even(value: Column, lo: Column, hi: Column, bins: Column | int) -> Column:
@@ -90,7 +90,7 @@ def score_range(df: DataFrame, value: str, step: float = 0.02) -> DataFrame:
 def edge_histogram(df: DataFrame, value: str, edges: Sequence[float], by: Sequence[str] = (), density: bool = False) -> DataFrame:
     """(by, bin, n[, density]) over explicit edges; density is count / (total * width)."""
     edges = check_edges(edges)
-    binned = df.select(*by, bin_by_edges(F.col(value), edges).alias("bin")).where("bin IS NOT NULL")
+    binned = df.select(*by, bin_by_edges(value, edges).alias("bin")).where("bin IS NOT NULL")
     counts = binned.groupBy(*by, "bin").agg(F.count("*").alias("n"))
     if not density:
         return counts
@@ -105,8 +105,7 @@ def binned_mean(df: DataFrame, x: str, y: str, edges: Sequence[float]) -> DataFr
     """(x, y): mean y per half-open x bin at the bin centre; empty bins are dropped."""
     edges = check_edges(edges)
     cuts = F.array(*[F.lit(e) for e in edges])
-    v = F.col(x).cast("double")
-    k = F.size(F.filter(cuts, lambda e: e <= v))
+    k = cuts_below(f"double(`{x}`)", edges)
     centre = (F.element_at(cuts, F.col("k")) + F.element_at(cuts, F.col("k") + 1)) / 2
     rows = df.select(k.alias("k"), F.col(y).alias("_y")).where(F.col("k").between(1, len(edges) - 1))
     return rows.groupBy("k").agg(F.avg("_y").alias("y")).select(centre.alias("x"), "y")
@@ -116,25 +115,26 @@ def failure_rate_curve(df: DataFrame, value: str, thresholds: Sequence[float]) -
     """(threshold, rate): share of rows above each threshold; a null never fails but counts."""
     ts = sorted(thresholds)
     cuts = F.array(*[F.lit(float(t)) for t in ts])
-    levels = df.groupBy(F.size(F.filter(cuts, lambda t: t < F.col(value))).alias("level")).agg(F.count("*").alias("n"))
-    # ``size`` of a null array is -1 or null: either way no threshold is passed.
-    packed = levels.agg(F.collect_list(F.struct(F.coalesce("level", F.lit(0)).alias("level"), "n")).alias("ls"), F.sum("n").alias("all"))
+    # At most one row per threshold is left to pack.
+    levels = df.groupBy(cuts_below(f"`{value}`", ts, inclusive=False).alias("level")).agg(F.count("*").alias("n"))
+    packed = levels.agg(F.collect_list(F.struct("level", "n")).alias("ls"), F.sum("n").alias("all"))
     at = packed.select("ls", "all", F.posexplode(cuts).alias("pos", "threshold"))
     above = F.aggregate("ls", F.lit(0).cast("long"), lambda acc, r: acc + F.when(r["level"] > F.col("pos"), r["n"]).otherwise(0))
     return at.select("threshold", (above / F.col("all")).alias("rate"))
 
 
-def quantile_edges(df: DataFrame, value: str, buckets: int, by: Sequence[str] = ()) -> DataFrame:
-    """(by, edges): exact equal-height edges as an array."""
+def quantile_edges(df: DataFrame, value: str, buckets: int) -> list[float]:
+    """Exact equal-height edges: at most 101 numbers."""
     if not 1 <= buckets <= MAX_BUCKETS:
         raise ValueError(f"between 1 and {MAX_BUCKETS} buckets")
-    q = exact_quantiles(df, by, value, [i / buckets for i in range(buckets + 1)])
-    return q.groupBy(*by).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("fraction", "quantile"))), lambda s: s["quantile"])).alias("edges"))
+    rows = exact_quantiles(df, [], value, [i / buckets for i in range(buckets + 1)]).collect()
+    return sorted({float(r["quantile"]) for r in rows})
 
 
 def equal_height(df: DataFrame, value: str, buckets: int = 4) -> Column:
     """Bucket column from exact quantile edges."""
-    return bin_by_edges(F.col(value), quantile_edges(df, value, buckets).select("edges").scalar())
+    edges = quantile_edges(df, value, buckets)
+    return bin_by_edges(value, edges if len(edges) > 1 else edges * 2)
 
 
 def equal_width(df: DataFrame, value: str, buckets: int = 4) -> Column:
