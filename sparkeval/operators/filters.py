@@ -136,7 +136,8 @@ _NAME = re.compile(r"^[A-Za-z0-9_]+$")  # fixed pattern of a derived field's nam
 
 def spark_expression(formula: str) -> str:
     """The formula's few own spellings in Spark SQL; Spark does the parsing."""
-    power = re.compile(r"(@?[\w.]+|\([^()]*\))\s*\^\s*(@?[\w.]+|\([^()]*\))")
+    operand = r"(@?[\w.]+(?:\([^()]*\))?|\([^()]*\))"
+    power = re.compile(operand + r"\s*\^\s*" + operand)
     while power.search(formula):
         formula = power.sub(r"pow(\1, \2)", formula, count=1)
     return re.sub(r"@(?=\w)", "", formula).replace("==", "=").replace("array_size(", "size(")

@@ -18,11 +18,11 @@ IOU = """CASE WHEN least(g.x2,i.x2) > greatest(g.x1,i.x1) AND least(g.y2,i.y2) >
   ELSE 0.0 END"""
 
 
-def match_sql(name: str, gts: str, infs: str, on: str, op: str = ">= 0.5", tie: str = "") -> str:
+def match_sql(name: str, gts: str, infs: str, on: str, op: str = ">= 0.5", tie: str = "", iou: str = IOU) -> str:
     """CTEs ``<name>_all`` (one row per inference) and ``<name>_fn`` (unmatched ground truths)."""
     gt_tie, inf_tie = (f"g.{tie}," if tie else ""), (f"{tie}," if tie else "")
     gt_tie_out = f", g.{tie} AS g_{tie}" if tie else ""
-    return f"""{name}_pairs AS (SELECT i.image_id, i.inf_idx, i.label, i.score, g.gt_idx, g.label AS gt_label, g.is_ignored, {IOU} AS iou
+    return f"""{name}_pairs AS (SELECT i.image_id, i.inf_idx, i.label, i.score, g.gt_idx, g.label AS gt_label, g.is_ignored, {iou} AS iou
   FROM {infs} i JOIN {gts} g ON i.image_id = g.image_id AND {on}),
 {name}_best AS (SELECT *, row_number() OVER (PARTITION BY image_id, label, inf_idx ORDER BY iou DESC, is_ignored, {inf_tie.replace('label','gt_label')} gt_idx) AS rn
   FROM {name}_pairs WHERE iou {op}),
