@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkeval.functions.types import struct_of
+
 BLOCK_ROWS = 4096
 
 
@@ -91,7 +93,7 @@ def true_item_rank(queries: DataFrame, corpus: DataFrame, rows: int = BLOCK_ROWS
     return parts.groupBy("query_id", "similarity").agg((F.sum("n") + 1).alias("rank"))
 
 
-@F.pandas_udf("struct<n:long, dist:double, dist2:double, iou:double>")
+@F.pandas_udf(struct_of(n="long", dist="double", dist2="double", iou="double"))
 def box_block_sums(a: pd.Series, b: pd.Series, same: pd.Series) -> pd.DataFrame:
     """Sums over the box pairs of two blocks: pairs, centre distances, their squares, overlaps."""
     out = []
@@ -120,7 +122,7 @@ def box_pair_sums(df: DataFrame, rows: int = 1024) -> DataFrame:
     return sums.groupBy("image_id").agg(*[F.sum(c).alias(c) for c in ("n", "dist", "dist2", "iou")])
 
 
-@F.pandas_udf("struct<precision:double, recall:double, f1:double>")
+@F.pandas_udf(struct_of(precision="double", recall="double", f1="double"))
 def greedy_cosine(ref: pd.Series, cand: pd.Series) -> pd.DataFrame:
     """Per sentence pair: mean best cosine of each side's tokens against the other's."""
     out = []

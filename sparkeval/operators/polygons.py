@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkeval.operators.matching import overlapping
 
@@ -59,7 +60,7 @@ def ring_iou(a, b) -> float:
     return inter / union if union > 0 else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def polygon_iou(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ring_iou(x, y) for x, y in zip(a, b)], dtype=float)
 
