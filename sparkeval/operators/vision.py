@@ -189,7 +189,7 @@ def box_group_properties(df: DataFrame, width: float, height: float, grid: int =
     entropy = cells.join(sizes, "image_id").groupBy("image_id").agg((-F.sum(share * F.log2(share))).alias("entropy"))
     pairs = box_pair_sums(df)
     mean = F.try_divide(F.col("dist"), F.col("n"))
-    var = F.greatest(F.try_divide(F.col("dist2"), F.col("n")) - mean * mean, F.lit(0.0))
+    var = F.when(F.col("n") > 0, F.greatest(F.try_divide(F.col("dist2"), F.col("n")) - mean * mean, F.lit(0.0)))
     pairs = pairs.select("image_id", F.col("iou").alias("pair_iou"), mean.alias("mean_distance"), F.sqrt(var).alias("std_distance"))
     return stats.join(entropy, "image_id").join(pairs, "image_id", "left")
 

@@ -239,6 +239,11 @@ def d31(spark, sf):
 
 
 # -- face pairs --------------------------------------------------------------------
+def swapped(p):
+    """Every pair listed from both ends."""
+    return p.unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "is_match", "similarity"))
+
+
 @query("c12_unordered_pairs", "SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM (SELECT a, b FROM w_pair UNION ALL SELECT b, a FROM w_pair)")
 def c12(spark, sf):
     p = views.pair(spark, sf).select("a", "b")
@@ -264,7 +269,7 @@ def d26(spark, sf):
   round(count(*) FILTER (WHERE NOT is_match AND similarity > 0.1) / count(*) FILTER (WHERE NOT is_match), 6) AS fmr, round(count(*) FILTER (WHERE is_match AND similarity <= 0.1) / count(*) FILTER (WHERE is_match), 6) AS fnmr FROM w_pair""")
 def e40(spark, sf):
     p = views.pair(spark, sf)
-    both = joins.unordered(p.unionByName(p.withColumnsRenamed({"a": "b", "b": "a"})), "a", "b")
+    both = joins.unordered(swapped(p), "a", "b")
     m = vision.pair_metrics(vision.pair_verdicts(both, 0.1))
     return m.withColumn("fmr", r6("fmr")).withColumn("fnmr", r6("fnmr"))
 
@@ -273,7 +278,7 @@ def e40(spark, sf):
   JOIN (SELECT similarity, row_number() OVER (ORDER BY similarity DESC) - 1 AS i FROM (SELECT similarity FROM w_pair WHERE NOT is_match UNION ALL SELECT similarity FROM w_pair WHERE NOT is_match)) s ON s.i = r.k""")
 def e41(spark, sf):
     p = shared(spark, f"{sf}/pairs", lambda: views.pair(spark, sf))
-    listed = p.unionByName(p.withColumnsRenamed({"a": "b", "b": "a"}))
+    listed = swapped(p)
     return vision.thresholds_at_fmr(listed, [0.01, 0.05, 0.1, 0.25]).select("fmr", r6("threshold").alias("threshold"))
 
 
