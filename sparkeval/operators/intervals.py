@@ -161,7 +161,7 @@ def diarization_metrics(ref: DataFrame, hyp: DataFrame, recording: str, speaker:
         F.sum(F.when((a > 0) & (b == 0), dt).otherwise(0.0)).alias("speech_fn"), F.sum(F.when((a == 0) & (b == 0), dt).otherwise(0.0)).alias("speech_tn"),
     )
     seconds = materialize(co_occurrence(r, h, recording, speaker), "seconds")
-    mapping = speaker_mapping(seconds, recording)
+    mapping = materialize(speaker_mapping(seconds, recording), "mapping")
     mapped = mapping.groupBy(recording).agg(F.sum("seconds").alias("correct"))
     named = seconds.groupBy(recording).agg(F.sum(F.when(F.col("ref_speaker") == F.col("hyp_speaker"), F.col("seconds")).otherwise(0.0)).alias("identified"))
     top = lambda side: seconds.groupBy(recording, side).agg(F.max("seconds").alias("m")).groupBy(recording).agg(F.sum("m").alias(side[:3] + "_best"))

@@ -24,7 +24,7 @@ def words(c: Column) -> Column:
 def normalized(c: Column) -> Column:
     """Lower case without punctuation, articles and repeated spaces."""
     bare = F.regexp_replace(F.lower(c), r"[\p{Punct}]", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"\b(a|an|the)\b", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?U)\b(a|an|the)\b", " "), r"\s+", " "))
 
 
 def _coded(a, b) -> tuple[np.ndarray, np.ndarray]:

@@ -99,7 +99,7 @@ idn AS (SELECT recording, sum(seconds) FILTER (WHERE ref_speaker = hyp_speaker)
 hb AS (SELECT recording, sum(m) AS hyp_best FROM (SELECT recording, hyp_speaker, max(seconds) AS m FROM co GROUP BY 1, 2) GROUP BY 1),
 rb AS (SELECT recording, sum(m) AS ref_best FROM (SELECT recording, ref_speaker, max(seconds) AS m FROM co GROUP BY 1, 2) GROUP BY 1),
 rl AS (SELECT recording, speaker, sum(e - s) AS rs FROM rm GROUP BY 1, 2), hl AS (SELECT recording, speaker, sum(e - s) AS hs FROM hm GROUP BY 1, 2),
-je AS (SELECT rl.recording, avg(1 - coalesce(co.seconds, 0) / (rs + CASE WHEN co.seconds IS NULL THEN 0 ELSE coalesce(hs, 0) END - coalesce(co.seconds, 0))) AS jer FROM rl JOIN bp USING (recording) JOIN cells ON cells.pid = bp.pid AND cells.rs = rl.speaker
+je AS (SELECT rl.recording, avg(1 - coalesce(co.seconds, 0) / (rl.rs + CASE WHEN co.seconds IS NULL THEN 0 ELSE coalesce(hl.hs, 0) END - coalesce(co.seconds, 0))) AS jer FROM rl JOIN bp USING (recording) JOIN cells ON cells.pid = bp.pid AND cells.rs = rl.speaker
   LEFT JOIN co ON co.recording = rl.recording AND co.ref_speaker = rl.speaker AND co.hyp_speaker = cells.hs LEFT JOIN hl ON hl.recording = rl.recording AND hl.speaker = cells.hs GROUP BY 1)"""
 )
 
@@ -135,11 +135,11 @@ def c11(spark, sf):
     from sparkeval.operators.matching import overlapping
 
     def flat(d):
-        return d.select("doc_id", F.struct(F.col("start").cast("double").alias("x1"), F.lit(0.0).alias("y1"), F.col("end").cast("double").alias("x2"), F.lit(1.0).alias("y2")).alias("geom"))
+        return d.select("doc_id", "start", "end", F.struct(F.col("start").cast("double").alias("x1"), F.lit(0.0).alias("y1"), F.col("end").cast("double").alias("x2"), F.lit(1.0).alias("y2")).alias("geom"))
 
     g, q = spans(spark, sf)
     pairs = overlapping(flat(g), flat(q), ["doc_id"])
-    return pairs.agg(F.count("*").alias("pairs"), F.sum(F.least("a.geom.x2", "b.geom.x2") - F.greatest("a.geom.x1", "b.geom.x1")).cast("long").alias("characters"))
+    return pairs.agg(F.count("*").alias("pairs"), F.sum(F.least("a.end", "b.end") - F.greatest("a.start", "b.start")).alias("characters"))
 
 
 @query("d21_span_outcomes", "SELECT doc_id, idx, label, outcome FROM oc", ctes=SPANS)
@@ -149,9 +149,24 @@ def d21(spark, sf):
 
 # -- text --------------------------------------------------------------------------
 # SQL words as in the operators; word ids as characters make the built-in edit distance work on words.
-PAIRS = r"""tw AS (SELECT conv_id, turn, ref, cand, list_filter(regexp_split_to_array(ref, '\s+'), x -> x <> '') AS r, list_filter(regexp_split_to_array(cand, '\s+'), x -> x <> '') AS c FROM w_txt),
-tv AS (SELECT *, list_distinct(list_concat(r, c)) AS v FROM tw),
-te AS (SELECT *, levenshtein(array_to_string(list_transform(r, x -> chr(19968 + list_position(v, x))), ''), array_to_string(list_transform(c, x -> chr(19968 + list_position(v, x))), '')) AS cost FROM tv)"""
+PAIRS = r"""tw AS (SELECT conv_id, turn, ref, cand, list_filter(regexp_split_to_array(ref, '\s+'), lambda x: x <> '') AS r, list_filter(regexp_split_to_array(cand, '\s+'), lambda x: x <> '') AS c FROM w_txt),
+dummy AS (SELECT 1 AS one)"""
+# Edit distance row by row of the reference: each step is a running minimum over the candidate's words;
+# a cell is edits * 2^32 - hits, so the least cell has the fewest edits and, among those, the most hits.
+EDITS = (
+    PAIRS
+    + """,
+rw AS (SELECT conv_id, turn, unnest(r) AS w, generate_subscripts(r, 1) AS i FROM tw),
+cw AS (SELECT conv_id, turn, unnest(c) AS w, generate_subscripts(c, 1) AS j FROM tw),
+dp(i, conv_id, turn, j, v) AS (
+  SELECT 0::BIGINT, conv_id, turn, j::BIGINT, j * 4294967296::BIGINT FROM (SELECT conv_id, turn, j FROM cw UNION ALL SELECT conv_id, turn, 0 FROM tw)
+  UNION ALL
+  SELECT i + 1, conv_id, turn, j, (min(least(v + 4294967296, coalesce(d + CASE WHEN rword = cword THEN -1 ELSE 4294967296 END, 9e18::BIGINT)) - j * 4294967296) OVER (PARTITION BY conv_id, turn ORDER BY j ROWS UNBOUNDED PRECEDING) + j * 4294967296)::BIGINT
+  FROM (SELECT dp.i, dp.conv_id, dp.turn, dp.j, dp.v, lag(dp.v) OVER (PARTITION BY dp.conv_id, dp.turn ORDER BY dp.j) AS d, rw.w AS rword, cw.w AS cword
+    FROM dp JOIN rw ON rw.conv_id = dp.conv_id AND rw.turn = dp.turn AND rw.i = dp.i + 1 LEFT JOIN cw ON cw.conv_id = dp.conv_id AND cw.turn = dp.turn AND cw.j = dp.j)),
+te AS (SELECT tw.conv_id, tw.turn, len(r) AS n_ref, len(c) AS n_cand, ceil(v / 4294967296.0)::BIGINT AS cost, (ceil(v / 4294967296.0) * 4294967296 - v)::BIGINT AS hits FROM tw JOIN dp ON dp.conv_id = tw.conv_id AND dp.turn = tw.turn AND dp.i = len(r) AND dp.j = len(c)),
+ed AS (SELECT *, n_ref + n_cand - 2 * hits - cost AS subs FROM te)"""
+)
 
 
 def pairs(spark, sf):
@@ -162,41 +177,44 @@ def alignments(spark, sf):
     return shared(spark, f"{sf}/edits", lambda: text.edit_counts(pairs(spark, sf), "ref", "cand"))
 
 
-CER = """dam AS (SELECT conv_id, turn, 1 AS x FROM w_txt)"""
+# The check's edit distance works on bytes, so the pair's characters are numbered into one-byte ones.
+CER = """ch AS (SELECT *, list_distinct(string_split(ref || cand, '')) AS v FROM w_txt),
+ce AS (SELECT conv_id, turn, ref, array_to_string(list_transform(string_split(ref, ''), lambda x: chr((32 + list_position(v, x))::INT)), '') AS r, array_to_string(list_transform(string_split(cand, ''), lambda x: chr((32 + list_position(v, x))::INT)), '') AS c FROM ch)"""
 
 
-@query("i01_word_error_rate", "SELECT conv_id, turn, round(coalesce(cost / nullif(len(r), 0), 0), 6) AS wer FROM te", ctes=PAIRS)
+@query("i01_word_error_rate", "SELECT conv_id, turn, round(cost / n_ref, 6) AS wer FROM te", ctes=EDITS, recursive=True)
 def i01(spark, sf):
     return text.error_rates(alignments(spark, sf)).select("conv_id", "turn", r6("wer").alias("wer"))
 
 
-@query("i02_character_error_rate", "SELECT conv_id, turn, round(levenshtein(ref, cand) / length(ref), 6) AS cer FROM w_txt")
+@query("i02_character_error_rate", "SELECT conv_id, turn, round(levenshtein(r, c) / length(ref), 6) AS cer FROM ce", ctes=CER)
 def i02(spark, sf):
     return pairs(spark, sf).select("conv_id", "turn", r6(text.character_error_rate("ref", "cand")).alias("cer"))
 
 
-@query("i03_match_error_and_information")
+@query("i03_match_error_and_information", """SELECT conv_id, turn, round(cost / (cost + hits), 6) AS mer, round(1 - (hits / n_ref) * (hits / n_cand), 6) AS wil, round((hits / n_ref) * (hits / n_cand), 6) AS wip FROM te""", ctes=EDITS, recursive=True)
 def i03(spark, sf):
-    """Needs the hit count of the best alignment; checked against brute force in the tests."""
     e = text.error_rates(alignments(spark, sf))
     return e.select("conv_id", "turn", *[r6(c).alias(c) for c in ("mer", "wil", "wip")])
 
 
-@query("i04_word_edit_counts")
+@query("i04_word_edit_counts", """SELECT turn, hits, substitutions, deletions, insertions, cost, n_ref, n_cand, round(cost / n_ref, 6) AS wer, round(cost / (cost + hits), 6) AS mer, round(1 - (hits / n_ref) * (hits / n_cand), 6) AS wil,
+  round((hits / n_ref) * (hits / n_cand), 6) AS wip FROM (SELECT turn, sum(hits)::BIGINT AS hits, sum(subs)::BIGINT AS substitutions, sum(n_ref - hits - subs)::BIGINT AS deletions, sum(n_cand - hits - subs)::BIGINT AS insertions, sum(cost)::BIGINT AS cost,
+  sum(n_ref)::BIGINT AS n_ref, sum(n_cand)::BIGINT AS n_cand FROM ed GROUP BY 1)""", ctes=EDITS, recursive=True)
 def i04(spark, sf):
-    """Word edits per turn number; checked against brute force in the tests."""
+    """Word edits summed per turn number."""
     names = ["hits", "substitutions", "deletions", "insertions", "cost", "n_ref", "n_cand"]
     sums = alignments(spark, sf).groupBy("turn").agg(*[F.sum(c).alias(c) for c in names])
     return text.error_rates(sums).select("turn", *names, *[r6(c).alias(c) for c in ("wer", "mer", "wil", "wip")])
 
 
-@query("i05_normalized_text", r"""SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\b(a|an|the)\b', ' ', 'g'), '\s+', ' ', 'g')) AS normalized FROM conversations""")
+@query("i05_normalized_text", r"""SELECT conv_id, turn, array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+'), lambda x: x NOT IN ('', 'a', 'an', 'the')), ' ') AS normalized FROM conversations""")
 def i05(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", text.normalized(F.col("text")).alias("normalized"))
 
 
 def gram_sql(n, side):
-    return f"SELECT conv_id, turn, {n} AS n, unnest(list_transform(range(1, len({side}) - {n} + 2), i -> array_to_string({side}[i:i + {n} - 1], ' '))) AS g FROM tw"
+    return f"SELECT conv_id, turn, {n} AS n, unnest(list_transform(range(1, greatest(len({side}) - {n} + 2, 1)), lambda i: array_to_string({side}[i:i + {n} - 1], ' '))) AS g FROM tw"
 
 
 def overlap_sql(orders):
@@ -252,7 +270,7 @@ def i09(spark, sf):
 
 
 @query("i11_text_properties", r"""SELECT doc_id, length(text) AS characters, length(regexp_replace(text, '\s', '', 'g')) AS characters_no_space, len(w) AS words, len(regexp_extract_all(text, '[.!?]+')) AS sentences,
-  len(regexp_extract_all(text, '[^\x00-\x7F]')) AS non_ascii, round(coalesce(len(list_distinct(w)) / nullif(len(w), 0), 0), 6) AS vocabulary_level FROM (SELECT *, list_filter(regexp_split_to_array(text, '\s+'), x -> x <> '') AS w FROM documents)""")
+  len(regexp_extract_all(text, '[^\x00-\x7F]')) AS non_ascii, round(coalesce(len(list_distinct(w)) / nullif(len(w), 0), 0), 6) AS vocabulary_level FROM (SELECT *, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents)""")
 def i11(spark, sf):
     p = table(spark, sf, "documents").select("doc_id", *text.text_properties(F.col("text")))
     return p.withColumn("vocabulary_level", r6("vocabulary_level"))

@@ -229,12 +229,13 @@ pp AS (SELECT g.image_id, sum({IOU}) AS pair_iou, avg(sqrt(((g.x1 + g.x2 - i.x1
   stddev_pop(sqrt(((g.x1 + g.x2 - i.x1 - i.x2) / 2) ** 2 + ((g.y1 + g.y2 - i.y1 - i.y2) / 2) ** 2)) AS std_distance FROM w_det_gt g JOIN w_det_gt i ON g.image_id = i.image_id AND g.gt_idx < i.gt_idx GROUP BY 1)"""
 
 
-@query("d31_box_group_properties", """SELECT image_id, objects, types, round(combined_area, 5) AS combined_area, round(mean_relative_area, 5) AS mean_relative_area, round(std_relative_area, 5) AS std_relative_area,
+@query("d31_box_group_properties", """SELECT image_id, objects, types, round(combined_area, 9) AS combined_area, round(mean_relative_area, 9) AS mean_relative_area, round(std_relative_area, 5) AS std_relative_area,
   round(mean_relative_distance, 5) AS mean_relative_distance, round(std_relative_distance, 5) AS std_relative_distance, round(abs(entropy), 5) AS entropy, round(coalesce(pair_iou, 0), 5) AS pair_iou, round(mean_distance, 4) AS mean_distance,
   round(std_distance, 3) AS std_distance FROM gs JOIN ge USING (image_id) LEFT JOIN pp USING (image_id)""", ctes=BG)
 def d31(spark, sf):
     p = vision.box_group_properties(det.gts(spark, sf).withColumnRenamed("gt_idx", "idx"), 100, 100)
-    five = [F.round(c, 5).alias(c) for c in ("combined_area", "mean_relative_area", "std_relative_area", "mean_relative_distance", "std_relative_distance")]
+    five = [F.round(c, 5).alias(c) for c in ("std_relative_area", "mean_relative_distance", "std_relative_distance")]
+    five += [F.round(c, 9).alias(c) for c in ("combined_area", "mean_relative_area")]
     return p.select("image_id", "objects", "types", *five, F.round(F.abs("entropy"), 5).alias("entropy"), F.round("pair_iou", 5).alias("pair_iou"), F.round("mean_distance", 4).alias("mean_distance"), F.round("std_distance", 3).alias("std_distance"))
 
 
