@@ -71,7 +71,7 @@ def grouped_aggregate(df: DataFrame, by: Sequence[str], partial: Callable[[pd.Da
             if rows:
                 yield pd.DataFrame(rows)
 
-    def second(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def second(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([dict(zip(by, key), **merge(pdf))])
 
     return df.mapInPandas(first, partial_schema).groupBy(*by).applyInPandas(second, schema)
