@@ -79,7 +79,7 @@ def score_range(df: DataFrame, value: str, step: float = 0.02) -> DataFrame:
     lo = F.floor((F.col("a") + 1e-9) / step) * step
     hi = F.floor((F.col("b") - 1e-9) / step) * step + step
     span = span.select(lo.alias("lo"), hi.alias("hi"))
-    flat = F.col("lo") == F.col("hi")
+    flat = F.abs(F.col("hi") - F.col("lo")) < 1e-9
     span = span.select(
         F.when(flat & (F.col("hi") >= 0.5), F.col("hi") - step).otherwise(F.col("lo")).alias("lo"),
         F.when(flat & (F.col("hi") < 0.5), F.col("lo") + step).otherwise(F.col("hi")).alias("hi"),

@@ -26,7 +26,7 @@ def a01(spark, sf):
     files.write_csv(table(spark, sf, "events").selectExpr("event_id", "value", f"{MIXED} AS cell"), path)
     raw = spark.read.options(**files._CSV).csv(path)
     kind = files.cell_kind(F.col("cell"))
-    typed = files.recovered(raw.select("event_id", "value", kind.alias("kind"), F.when(kind == "text", files.cell_text(F.col("cell"))).alias("shown")))
+    typed = files.recovered(raw.select("event_id", "value", kind.alias("kind"), F.when(kind == "text", files.cell_text(F.col("cell"))).alias("shown")), ["event_id", "value"])
     return typed.groupBy("kind", F.col("shown").alias("value")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 2).alias("total"))
 
 

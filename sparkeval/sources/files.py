@@ -30,12 +30,12 @@ def cell_text(c: Column) -> Column:
     return F.when(quoted, F.regexp_replace(c, r"^['\"]|['\"]$", "")).otherwise(c)
 
 
-def recovered(df: DataFrame) -> DataFrame:
+def recovered(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Give all-string columns the type their cells agree on; mixed columns stay text, JSON becomes variant.
 
     One aggregate finds the kinds of every column; the values are then plain expressions.
     """
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
     if not names:
         return df
     kinds = df.agg(*[F.array_sort(F.collect_set(F.nullif(cell_kind(F.col(f"`{n}`")), F.lit("null")))).alias(n) for n in names]).first()
