@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkeval.functions.ratios import ratio
-from sparkeval.operators.running import following, running
+from sparkeval.operators.running import running
 from sparkeval.session import materialize
 
 CURVE_POINTS = 501  # most points of a reported curve
@@ -134,8 +134,7 @@ def average_precision(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def average_precision_of(points: DataFrame, by: Sequence[str]) -> DataFrame:
     """All-point AP of given (precision, recall) points per group."""
     best = points.groupBy(*by, "recall").agg(F.max("precision").alias("precision"))
-    env = running(best, by, "recall", {"envelope": F.col("precision")}, descending=True, how="max")
-    env = following(env, by, "recall", ["recall"], descending=True)
+    env = running(best, by, "recall", {"envelope": F.col("precision")}, descending=True, how="max", ahead=["recall"])
     gain = F.col("recall") - F.coalesce("next.recall", F.lit(0.0))
     return env.groupBy(*by).agg(F.sum(gain * F.col("envelope")).alias("ap"))
 
@@ -160,7 +159,7 @@ def roc_points(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Groups with one class only, or at most two samples, give no curve.
     """
     by = list(by)
-    at = running(counts, by, "score", {"tp": F.col("pos"), "fp": F.col("neg")})
+    at = running(counts, by, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, ahead=["pos", "neg"])
     at = _with_total(at, counts, by, n_pos="pos", n_neg="neg").where("n_pos > 0 AND n_neg > 0 AND n_pos + n_neg > 2")
     return at.withColumn("tpr", ratio("tp", "n_pos")).withColumn("fpr", ratio("fp", "n_neg"))
 
@@ -173,7 +172,6 @@ def roc_curve(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     by = list(by)
     at = roc_points(counts, by)
-    at = following(at, by, "score", ["pos", "neg"])
     turn = F.col("next").isNull() | (F.col("pos") * F.col("next.neg") != F.col("neg") * F.col("next.pos"))
     corners = at.withColumn("_keep", turn).where("_keep").select(*by, "fpr", "tpr")
     origin = at.select(*by).distinct().select(*by, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))

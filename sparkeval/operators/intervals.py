@@ -28,8 +28,7 @@ def coverage(events: DataFrame, by: Sequence[str], counts: Sequence[str]) -> Dat
     """(by, s, e, counts): open segments per elementary interval; ``events`` hold by, t and count changes."""
     steps = events.groupBy(*by, "t").agg(*[F.sum(c).alias(f"_d_{c}") for c in counts])
     steps = materialize(steps, "steps")  # read for edges, range totals, rows and neighbours
-    at = running(steps, by, "t", {c: F.col(f"_d_{c}") for c in counts}, descending=False)
-    at = following(at, by, "t", ["t"], descending=False)
+    at = running(steps, by, "t", {c: F.col(f"_d_{c}") for c in counts}, descending=False, ahead=["t"])
     return at.where("next IS NOT NULL").select(*by, F.col("t").alias("s"), F.col("next.t").alias("e"), *counts)
 
 
@@ -149,7 +148,9 @@ def speaker_mapping(seconds: DataFrame, recording: str) -> DataFrame:
 def diarization_metrics(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str) -> DataFrame:
     """Error rates per recording from durations: diarization, identification, detection, purity, coverage, Jaccard."""
     by = [recording, speaker]
-    r, h = materialize(merged(ref, by), "ref"), materialize(merged(hyp, by), "hyp")
+    sides = ref.withColumn("_ref", F.lit(True)).unionByName(hyp.withColumn("_ref", F.lit(False)))
+    both = materialize(merged(sides, ["_ref", *by]), "merged")
+    r, h = both.where("_ref").drop("_ref"), both.where("NOT _ref").drop("_ref")
     dt = F.col("e") - F.col("s")
     cover = both_sides(r.drop(speaker), h.drop(speaker), [recording])
     a, b = F.col("n_ref"), F.col("n_hyp")

@@ -79,8 +79,9 @@ def match(
     """Long table of ``kind`` in matched / unmatched_gt / unmatched_inf / ignored with the objects as structs.
 
     ``within`` are fields equal on both sides (labels, required fields); ``tie`` orders objects before
-    their index; ``strict`` asks for overlap above, not at, the threshold. Copies of one geometry are
-    collapsed before pairs are formed, so a group of copies costs one pair per partner.
+    their index; ``strict`` asks for overlap above, not at, the threshold. Ground truths of one geometry
+    are collapsed before pairs are formed (only the first of them can ever be a candidate), so copies
+    on both sides cost one pair per inference.
     """
     gts = gts.withColumn("grp", _group(within))
     infs = infs.withColumn("grp", _group(within))
@@ -88,17 +89,17 @@ def match(
     gt_geoms = gts.groupBy("image_id", "grp", "geom").agg(
         F.min(gt_order).alias("first"), F.bool_or(~F.col("is_ignored")).alias("real")
     )
-    inf_geoms = infs.select("image_id", "grp", "geom").distinct()
-    pairs = overlaps(gt_geoms, inf_geoms)
+    on_inf = ["image_id", *[f"_inf_{c}" for c in tie], "inf_idx"]
+    infs = infs.select("*", *[F.col(c).alias(f"_inf_{c}") for c in tie])
+    pairs = overlaps(gt_geoms, infs.select("grp", "geom", *on_inf))
     passed = (F.col("iou") > iou_threshold) if strict else (F.col("iou") >= iou_threshold)
-    keys = ["image_id", "grp", "geom"]
-    best = pairs.groupBy("image_id", "grp", F.col("b.geom").alias("geom")).agg(
+    best = pairs.groupBy("image_id", *[F.col(f"b.{c}").alias(c) for c in on_inf[1:]]).agg(
         F.min(F.when(passed, F.struct((-F.col("iou")).alias("neg_iou"), F.col("a.first").alias("first")))).alias("best"),
         F.max(F.when(F.col("a.real"), F.col("iou"))).alias("near"),
     )
-    cand = infs.join(best, keys, "left").select(
-        "image_id", "grp", "inf_idx", "score", *[F.col(c).alias(f"_inf_{c}") for c in tie],
-        F.struct(*[c for c in infs.columns if c != "grp"]).alias("inf"),
+    kept = [c for c in infs.columns if c != "grp" and not c.startswith("_inf_")]
+    cand = infs.join(best, on_inf, "left").select(
+        *on_inf, "grp", "score", F.struct(*kept).alias("inf"),
         F.col("best.first").alias("first"), (-F.col("best.neg_iou")).alias("best_iou"),
         F.coalesce("near", F.lit(0.0)).alias("near"),
     )
@@ -114,7 +115,6 @@ def match(
     winners = takes.groupBy(*on_gt).agg(F.min(order).alias("w")).select(
         *on_gt, *[F.col(f"w._inf_{c}").alias(f"_inf_{c}") for c in tie], F.col("w.inf_idx").alias("inf_idx")
     )
-    on_inf = ["image_id", *[f"_inf_{c}" for c in tie], "inf_idx"]
     real = gts.where("NOT is_ignored").select(
         "image_id", "gt_idx", *[F.col(c).alias(f"_gt_{c}") for c in tie],
         F.struct(*[c for c in gts.columns if c != "grp"]).alias("gt"),

@@ -66,16 +66,16 @@ def small_ring_ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     pairs, n = e.shape[:2]
     of_a = np.arange(n) < ea.shape[1]
     d = e[..., 2:] - e[..., :2]
-    gap = e[:, None, :, :2] - e[:, :, None, :2]
-    da, db = d[:, :, None], d[:, None]
+    i, j = np.triu_indices(n, 1)  # each two edges once
+    gap, di, dj = e[:, j, :2] - e[:, i, :2], d[:, i], d[:, j]
     with np.errstate(divide="ignore", invalid="ignore"):
-        den = da[..., 0] * db[..., 1] - da[..., 1] * db[..., 0]
-        s = (gap[..., 0] * db[..., 1] - gap[..., 1] * db[..., 0]) / den
-        t = (gap[..., 0] * da[..., 1] - gap[..., 1] * da[..., 0]) / den
+        den = di[..., 0] * dj[..., 1] - di[..., 1] * dj[..., 0]
+        s = (gap[..., 0] * dj[..., 1] - gap[..., 1] * dj[..., 0]) / den
+        t = (gap[..., 0] * di[..., 1] - gap[..., 1] * di[..., 0]) / den
         ok = (den != 0) & (s > 0) & (s < 1) & (t > 0) & (t < 1)
-        cross = np.where(ok, e[:, :, None, 1] + s * da[..., 1], e[:, :1, None, 1])
+        cross = np.where(ok, e[:, i, 1] + s * di[..., 1], e[:, :1, 1])  # no crossing: repeat a vertex
         slope = np.where(d[..., 1] != 0, d[..., 0] / d[..., 1], 0.0)
-    ys = np.sort(np.concatenate([e[..., 1], np.triu(cross, 1).reshape(pairs, -1) + np.tril(np.ones((n, n))).reshape(1, -1) * e[:, :1, 1]], axis=1), axis=1)
+    ys = np.sort(np.concatenate([e[..., 1], cross], axis=1), axis=1)
     mid, high = (ys[:, 1:] + ys[:, :-1])[..., None] / 2, np.diff(ys, axis=1)
     lo, hi = np.minimum(e[..., 1], e[..., 3])[:, None], np.maximum(e[..., 1], e[..., 3])[:, None]
     crossed = (lo < mid) & (mid < hi)
@@ -91,7 +91,7 @@ def small_ring_ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.divide(inter, union, out=np.zeros(pairs), where=union > 0)
 
 
-_SMALL, _CELLS = 16, 4_000_000
+_SMALL, _CELLS = 16, 1_000_000
 
 
 @F.pandas_udf(T.DoubleType())
@@ -105,7 +105,7 @@ def _ring_ious(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd
         if n > _SMALL:
             out[rows] = [ring_iou(p, q) for p, q in zip(*rings)]
             continue
-        step = max(1, _CELLS // ((n + n * n) * n))
+        step = max(1, _CELLS // ((n + n * n // 2) * n))
         for i in range(0, len(rows), step):
             out[rows[i : i + step]] = small_ring_ious(rings[0][i : i + step], rings[1][i : i + step])
     return pd.Series(out)

@@ -28,44 +28,41 @@ def _ranged(df: DataFrame, order: str) -> DataFrame:
     return df.withColumn("_range", below).drop("_edges")
 
 
-def following(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], descending: bool = True) -> DataFrame:
-    """Add struct ``next``: ``cols`` of the next row along ``order`` within ``by``, null on the last."""
-    by = list(by)
-    df = _ranged(df, order)
-    row = F.struct(*cols)
-    first = (F.max if descending else F.min)(F.struct(order, row.alias("row")))
-    heads = df.groupBy(*by, "_range").agg(first.alias("_head"))
-    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    heads = heads.select(*by, "_range", F.lead("_head.row").over(W.partitionBy(*by).orderBy(way("_range"))).alias("_head"))
-    inside = W.partitionBy(*by, "_range").orderBy(way(order))
-    joined = df.join(heads, [*by, "_range"])
-    return joined.withColumn("next", F.coalesce(F.lead(row).over(inside), F.col("_head"))).drop("_range", "_head")
-
-
 def running(
-    df: DataFrame, by: Sequence[str], order: str, what: dict[str, Column], descending: bool = True, how: str = "sum"
+    df: DataFrame, by: Sequence[str], order: str, what: dict[str, Column], descending: bool = True, how: str = "sum", ahead: Sequence[str] = ()
 ) -> DataFrame:
     """Add the running sum (or max) of each expression along ``order`` within ``by``.
 
-    ``df`` holds one row per (by, order) value: aggregate it first.
+    ``df`` holds one row per (by, order) value: aggregate it first. With ``ahead``, struct ``next`` holds
+    those columns of the following row, null on the last.
     """
     by = list(by)
     df = _ranged(df, order)
     fold = F.sum if how == "sum" else F.max
-    sort = F.col("_range").desc() if descending else F.col("_range").asc()
-    before = W.partitionBy(*by).orderBy(sort).rowsBetween(W.unboundedPreceding, -1)
-    totals = df.groupBy(*by, "_range").agg(*[fold(e).alias(f"_t_{n}") for n, e in what.items()])
-    totals = totals.select(
-        *by, "_range", *[fold(f"_t_{n}").over(before).alias(f"_b_{n}") for n in what]
-    )
-    key = F.col(order).desc() if descending else F.col(order).asc()
-    inside = W.partitionBy(*by, "_range").orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
+    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    ranges = W.partitionBy(*by).orderBy(way("_range"))
+    before = ranges.rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*by, "_range").orderBy(way(order))
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts, offsets = [fold(e).alias(f"_t_{n}") for n, e in what.items()], [fold(f"_t_{n}").over(before).alias(f"_b_{n}") for n in what]
+    row = F.struct(*ahead) if ahead else None
+    if ahead:
+        parts.append((F.max if descending else F.min)(F.struct(order, row.alias("row"))).alias("_head"))
+        offsets.append(F.lead("_head.row").over(ranges).alias("_head"))
+    totals = df.groupBy(*by, "_range").agg(*parts).select(*by, "_range", *offsets)
     joined = df.join(totals, [*by, "_range"])
+    added = {}
     for n, e in what.items():
-        local, base = fold(e).over(inside), F.col(f"_b_{n}")
-        total = local + F.coalesce(base, F.lit(0)) if how == "sum" else F.greatest(local, base)
-        joined = joined.withColumn(n, total)
-    return joined.drop("_range", *[f"_b_{n}" for n in what])
+        local, base = fold(e).over(upto), F.col(f"_b_{n}")
+        added[n] = local + F.coalesce(base, F.lit(0)) if how == "sum" else F.greatest(local, base)
+    if ahead:
+        added["next"] = F.coalesce(F.lead(row).over(inside), F.col("_head"))
+    return joined.withColumns(added).drop("_range", "_head", *[f"_b_{n}" for n in what])
+
+
+def following(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], descending: bool = True) -> DataFrame:
+    """Add struct ``next``: ``cols`` of the next row along ``order`` within ``by``, null on the last."""
+    return running(df, by, order, {}, descending, ahead=cols)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
