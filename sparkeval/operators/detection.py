@@ -45,17 +45,20 @@ def label_of() -> Column:
     return F.when(F.col("kind").isin("unmatched_gt", "confused"), F.col("gt.label")).otherwise(F.col("inf.label"))
 
 
-def outcome_counts(matches: DataFrame, by: Sequence[str], threshold: Column | float) -> DataFrame:
-    """TP/FP/FN/confused counts at a confidence threshold, one pass over the matches."""
-    t = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    above = F.col("inf.score") >= t
-    kind = F.col("kind")
-    return matches.groupBy(*by).agg(
+def _outcomes(threshold: Column) -> list[Column]:
+    """TP/FP/FN/confused count aggregates at a confidence threshold."""
+    kind, above = F.col("kind"), F.col("inf.score") >= threshold
+    return [
         F.count_if((kind == "matched") & above).alias("tp"),
         F.count_if((kind == "unmatched_inf") & above).alias("fp"),
         F.count_if(kind.isin("unmatched_gt", "confused") | ((kind == "matched") & ~above)).alias("fn"),
         F.count_if((kind == "confused") & above).alias("confused"),
-    )
+    ]
+
+
+def outcome_counts(matches: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
+    """TP/FP/FN/confused counts at a confidence threshold, one pass over the matches."""
+    return matches.groupBy(*by).agg(*_outcomes(F.lit(threshold)))
 
 
 def with_rates(df: DataFrame) -> DataFrame:
@@ -78,11 +81,8 @@ def image_metrics(matches: DataFrame, thresholds: DataFrame | float, fallback: f
     else:
         t = F.lit(float(thresholds))
     kept = F.col("kind").isin("matched", "unmatched_inf") & (F.col("inf.score") >= t)
-    counts = outcome_counts(found.withColumn("_kept", F.when(kept, F.col("inf.score"))).withColumn("_at", t), ["image_id"], F.col("_at"))
-    spans = found.groupBy("image_id").agg(
-        F.max(F.when(kept, F.col("inf.score"))).alias("max_confidence"), F.min(F.when(kept, F.col("inf.score"))).alias("min_confidence")
-    )
-    out = counts.join(spans, "image_id")
+    score = F.when(kept, F.col("inf.score"))
+    out = found.groupBy("image_id").agg(*_outcomes(t), F.max(score).alias("max_confidence"), F.min(score).alias("min_confidence"))
     for n in ("tp", "fp", "fn", "confused"):
         out = out.withColumn(f"has_{n}", F.col(n) > 0)
     return out

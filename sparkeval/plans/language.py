@@ -239,9 +239,24 @@ def i06b(spark, sf):
     return o.groupBy("conv_id").agg(r6(F.try_divide(F.sum("hits"), F.sum("n_ref"))).alias("rouge_sum"), r6(F.max("recall")).alias("rouge_max"))
 
 
-@query("i06_rouge_l")
+# Longest common subsequence row by row: each step is a running maximum over the candidate's words.
+LCS = (
+    PAIRS
+    + """,
+rw AS (SELECT conv_id, turn, unnest(r) AS w, generate_subscripts(r, 1) AS i FROM tw),
+cw AS (SELECT conv_id, turn, unnest(c) AS w, generate_subscripts(c, 1) AS j FROM tw),
+dp(i, conv_id, turn, j, v) AS (
+  SELECT 0::BIGINT, conv_id, turn, j::BIGINT, 0::BIGINT FROM (SELECT conv_id, turn, j FROM cw UNION ALL SELECT conv_id, turn, 0 FROM tw)
+  UNION ALL
+  SELECT i + 1, conv_id, turn, j, (max(greatest(v, coalesce(d + CASE WHEN rword = cword THEN 1 ELSE 0 END, 0))) OVER (PARTITION BY conv_id, turn ORDER BY j ROWS UNBOUNDED PRECEDING))::BIGINT
+  FROM (SELECT dp.i, dp.conv_id, dp.turn, dp.j, dp.v, lag(dp.v) OVER (PARTITION BY dp.conv_id, dp.turn ORDER BY dp.j) AS d, rw.w AS rword, cw.w AS cword
+    FROM dp JOIN rw ON rw.conv_id = dp.conv_id AND rw.turn = dp.turn AND rw.i = dp.i + 1 LEFT JOIN cw ON cw.conv_id = dp.conv_id AND cw.turn = dp.turn AND cw.j = dp.j))"""
+)
+
+
+@query("i06_rouge_l", "SELECT tw.conv_id, tw.turn, round(2 * v / (len(r) + len(c)), 6) AS rouge_l FROM tw JOIN dp ON dp.conv_id = tw.conv_id AND dp.turn = tw.turn AND dp.i = len(r) AND dp.j = len(c)", ctes=LCS, recursive=True)
 def i06c(spark, sf):
-    """Longest common subsequence; checked against brute force in the tests."""
+    """F-measure of the longest common subsequence."""
     return text.rouge_l(pairs(spark, sf), "ref", "cand").select("conv_id", "turn", r6("rouge_l").alias("rouge_l"))
 
 

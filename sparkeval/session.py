@@ -17,6 +17,7 @@ SESSION_CONF = {
 }
 
 _CHECKPOINT = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,9 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="sparkeval-")
-    spark.conf.set(_CHECKPOINT, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="sparkeval-")
+    return _LOCAL[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
