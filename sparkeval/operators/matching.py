@@ -97,6 +97,8 @@ def match(
         F.min(F.when(passed, F.struct((-F.col("iou")).alias("neg_iou"), F.col("a.first").alias("first")))).alias("best"),
         F.max(F.when(F.col("a.real"), F.col("iou"))).alias("near"),
     )
+    # One row per inference with an overlap, read by both halves below: written, so pairs are formed once.
+    best = materialize(best, "best-overlaps")
     kept = [c for c in infs.columns if c != "grp" and not c.startswith("_inf_")]
     cand = infs.join(best, on_inf, "left").select(
         *on_inf, "grp", "score", F.struct(*kept).alias("inf"),
