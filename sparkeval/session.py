@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {_CHECKPOINT} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
