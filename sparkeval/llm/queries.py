@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkeval.llm import bpe, token_files
+from sparkeval.llm import bpe, decontamination, sql, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,11 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@query("op1_decontamination", sql.LEAKS)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
