@@ -60,21 +60,23 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
 
 
 class Scratch:
-    """Written tables of one call below the shared folder; ``drop`` deletes those that no result reads."""
+    """Written tables of one call below the shared folder; ``drop`` deletes those that nothing reads any more."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.tables: dict[int, tuple[DataFrame, str]] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        out = materialize(df, name)
-        self.paths[id(out)] = out.inputFiles()[0].rsplit("/", 1)[0] if out.inputFiles() else ""
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables[id(out)] = (out, path)
         return out
 
-    def drop(self, *tables: DataFrame | None) -> None:
+    def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
         for df in tables:
-            path = self.paths.pop(id(df), "")
+            path = self.tables.pop(id(df), (None, ""))[1]
             if path:
                 at = jvm.org.apache.hadoop.fs.Path(path)
                 at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
