@@ -59,6 +59,9 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Written tables of one call below the shared folder; ``drop`` deletes those that nothing reads any more."""
 
@@ -68,7 +71,12 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")  # the table replaces the shuffle files that made it
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.tables[id(out)] = (out, path)
         return out

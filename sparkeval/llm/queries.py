@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkeval.llm import bpe, decontamination, near_dedup, quality, sql, token_files
+from sparkeval.llm import bpe, decontamination, line_dedup, near_dedup, quality, sql, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -50,3 +50,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, read(spark, sf_dir, "labels")))
     return scored.select("doc_id", (quality.fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op10_line_dedup", sql.LINES)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))

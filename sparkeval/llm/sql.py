@@ -39,3 +39,22 @@ comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN comp USING (doc_id) LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+LINES = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, place, line, list_distinct(regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+')) AS w FROM l),
+f AS MATERIALIZED (SELECT w, min((doc_id, place)) AS first, row_number() OVER (ORDER BY min((doc_id, place))) AS id FROM (SELECT list_sort(w) AS w, doc_id, place FROM w WHERE len(w) > 0) GROUP BY w),
+t AS MATERIALIZED (SELECT id, len(w) AS n, unnest(w) AS t FROM f),
+df AS (SELECT t, count(*) AS df FROM t GROUP BY t),
+r AS (SELECT id, n, t, row_number() OVER (PARTITION BY id ORDER BY df, t) AS k FROM t JOIN df USING (t)),
+p AS MATERIALIZED (SELECT id, n, t FROM r WHERE k <= n - (4 * n + 4) // 5 + 1),
+c AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.t = b.t AND a.id < b.id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT c.b AS id FROM c JOIN f x ON x.id = c.a JOIN f y ON y.id = c.b
+  WHERE 5 * len(list_intersect(x.w, y.w)) >= 4 * (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)))),
+kept AS (SELECT first[1] AS doc_id, first[2] AS place FROM f WHERE id NOT IN (SELECT id FROM gone)),
+marked AS (SELECT w.doc_id, w.place, line, len(w) > 0 AS worded, kept.place IS NOT NULL AS kept FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id AND kept.place = w.place)
+SELECT d.doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (worded AND NOT kept) AS n_removed,
+  CASE WHEN any_value(d.text) IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (kept OR NOT worded), '') END AS text
+FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id
+"""

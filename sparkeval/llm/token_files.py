@@ -13,6 +13,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,10 @@ class LibraryEncoder:
         self.limit = memo
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, self.kind).tobytes() for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), self.kind).tobytes()
+        ends = (np.cumsum([len(x) for x in found], dtype=np.int64) * self.kind.itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [split_words(t) for t in texts]
@@ -65,17 +69,19 @@ def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id", memo: int = 1 << 20) -> DataFrame:
+def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id", memo: int = 1 << 20, shard_bytes: int = 32 << 20) -> DataFrame:
     """Writes the files and returns the manifest: shard, path, n_docs, n_ids and ``start`` (ids in the files before).
 
     Documents go out in ascending ``key`` (null keys first, equal keys by text), each followed by ``end_id``. Whole texts;
     a null or empty text is its end id alone. Repeated rows are written as often as they occur. An empty table writes an
     empty manifest. A range of keys is one task and streams to its file; it is renamed when whole, so a task that runs
-    again only replaces the same bytes. ``folder`` must be one that every executor reaches.
+    again only replaces the same bytes. ``folder`` must be one that every executor reaches. Files hold about
+    ``shard_bytes`` of text each.
     """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(file_bytes(spark, vocabulary))
-    ordered = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).repartitionByRange("key").sortWithinPartitions("key", "text")
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    ordered = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).repartitionByRange(int(total // shard_bytes) + 1, "key").sortWithinPartitions("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
