@@ -11,13 +11,13 @@ from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 __all__ = ["ORACLES", "QUERIES"]
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
-def _pattern() -> str:
+def split_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
@@ -36,13 +36,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    manifest = token_files.write_tokens(docs, _vocabulary("byte_bpe_50k.json"), new_path(spark, "tokens"))
+    manifest = token_files.write_tokens(docs, vocabulary("byte_bpe_50k.json"), new_path(spark, "tokens"))
     return token_files.read_tokens(manifest)
 
 
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), _pattern())
+    return bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 @query("op9_quality")
