@@ -150,10 +150,19 @@ def rarity(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "count"])
 
-    counts = sets.select("shingles").mapInArrow(run, "slot bigint, count bigint").groupBy("slot").agg(F.log2(F.sum("count")).cast("int").alias("level")).toPandas()
-    levels = np.zeros(1 << SLOT_BITS, np.uint8)
-    levels[counts["slot"].to_numpy(np.int64)] = counts["level"].to_numpy(np.uint8)
-    return levels
+    def pack(rows: pa.Table) -> pa.Table:
+        """The levels of 4,096 neighbouring slots, one byte each."""
+        slots = rows.column("slot").to_numpy()
+        levels = np.zeros(1 << 12, np.uint8)
+        levels[slots & 0xFFF] = np.log2(rows.column("count").to_numpy())
+        return pa.table({"part": pa.array([int(slots[0]) >> 12], pa.int64()), "levels": pa.array([levels.tobytes()], pa.binary())})
+
+    counts = sets.select("shingles").mapInArrow(run, "slot bigint, count bigint").groupBy("slot").agg(F.sum("count").alias("count"))
+    packed = counts.groupBy(F.shiftright("slot", 12).alias("part")).applyInArrow(pack, "part bigint, levels binary")
+    levels = np.zeros((1 << SLOT_BITS - 12, 1 << 12), np.uint8)
+    for part, own in packed.collect():
+        levels[part] = np.frombuffer(own, np.uint8)
+    return levels.ravel()
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkeval.llm import bpe, decontamination, line_dedup, near_dedup, quality, sql, token_files
+from sparkeval.llm import bpe, decontamination, language_id, line_dedup, near_dedup, neighbours, quality, sql, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -55,3 +55,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_dedup", sql.LINES)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    prototypes = language_id.train(docs.where(quality.fold() != 2))
+    out = language_id.predict(docs.select("doc_id", "text"), prototypes)
+    return out.select("doc_id", (quality.fold() == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), k=20)
