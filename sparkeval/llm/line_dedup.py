@@ -18,44 +18,41 @@ from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch, fresh
 
-SLOTS = 1 << 16
+SLOT_BITS, PACK_BITS = 18, 10
+SPACE = "[ \\t\\x0b\\f\\r]+"
 
 
-def _plain(line: Column) -> Column:
-    return F.translate(F.lower(line), "\t\x0b\x0c\r", "    ")
+def _worded(line: Column) -> Column:
+    return F.rlike(line, F.lit("[^ \\t\\x0b\\f\\r]"))
 
 
-def _blank(line: Column) -> Column:
-    return F.trim(F.translate(line, "\t\x0b\x0c\r", "    ")) == ""
+def slot_levels(texts: DataFrame) -> Column:
+    """For each hash slot the power of two of its word count over all texts, as an array of fixed size that is a constant."""
+    words = texts.select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0b\\f\\r]+")).alias("word"))
+    slots = words.select(F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    every = slots.unionByName(texts.sparkSession.range(1 << SLOT_BITS).selectExpr("id AS slot", "1L AS n")).groupBy("slot").agg(F.sum("n").alias("n"))
+    level = F.struct("slot", F.log2("n").cast("int").cast("string").alias("level"))
+    packed = every.groupBy(F.shiftright("slot", PACK_BITS).alias("part")).agg(F.array_sort(F.collect_list(level)).alias("levels"))
+    rows = packed.select("part", F.array_join(F.transform("levels", lambda x: x.level), ",")).collect()
+    return F.split(F.lit(",".join(r[1] for r in sorted(rows))), ",").cast("array<int>")
 
 
-def slot_levels(lines: DataFrame) -> bytearray:
-    """For each of 65,536 hash slots the power of two of its word count over all lines, one byte each."""
-    words = lines.select(F.explode(F.split(_plain(F.col("line")), " ")).alias("word"))
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("word"), 48).alias("slot")).agg(F.log2(F.count("*")).cast("int").alias("level"))
-    levels = bytearray(SLOTS)
-    for slot, level in counts.collect():
-        levels[slot] = level
-    return levels
-
-
-def ranked_tokens(line: Column, levels: bytearray) -> Column:
+def ranked_tokens(line: Column, levels: Column) -> Column:
     """The line's distinct tokens in the global order: level in the top bits, 57 bits of hash below."""
 
-    def rank(word: Column) -> Column:
-        token = F.xxhash64(word)
-        level = F.ascii(F.substring(F.lit(levels), F.shiftrightunsigned(token, 48).cast("int") + 1, 1).cast("string"))
-        return F.shiftleft(level.cast("bigint"), 57) + F.shiftrightunsigned(F.shiftleft(token, 7), 7)
+    def rank(token: Column) -> Column:
+        level = F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int"))
+        return F.shiftleft(level.cast("bigint"), 57) + token.bitwiseAND((1 << 57) - 1)
 
-    words = F.array_remove(F.array_distinct(F.split(_plain(line), " ")), "")
-    return F.sort_array(F.transform(words, rank))
+    words = F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
+    return F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), rank))
 
 
 def _ceil_share(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: bytearray, percent: int) -> DataFrame:
+def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     """(id) of the classes that have an earlier similar class."""
     places = classes.select("id", "n", F.posexplode("prefix").alias("place", "token"))
     places = places.select("token", "id", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
@@ -63,24 +60,29 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     groups = scratch.write(places.join(first, "token"), "line-groups")
 
     def fits(pairs: DataFrame) -> DataFrame:
-        """Pairs (a before b) that can be similar by size and by the place of the token they share."""
+        """Pairs (a before b) that can be similar by size, place of the first shared token, and number of shared tokens.
+
+        Of the prefix that ends first in the order, every token that is not shared is missing from the other set.
+        """
         n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
         left = F.least(n - F.col("at").bitwiseAND((1 << 31) - 1), m - F.col("cat").bitwiseAND((1 << 31) - 1))
-        can = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (left * (100 + percent) >= percent * (n + m))
-        return pairs.where(can).select(F.col("cid").alias("a"), F.col("id").alias("b")).distinct()
+        sized = pairs.where(100 * F.least(n, m) >= percent * F.greatest(n, m)).select(F.col("cid").alias("a"), F.col("id").alias("b"), n.alias("n"), m.alias("m"), left.alias("left"))
+        counted = sized.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("left").alias("left"))
+        beyond = F.greatest(_ceil_share(F.col("n"), percent), _ceil_share(F.col("m"), percent)) - 1
+        most = F.least(F.col("left"), F.col("c") + beyond)
+        return counted.where(most * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b")
 
     star = scratch.write(fits(groups.where("id > cid")), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
-    open_ = groups.join(decided, "id", "left_anti").select("token", "id", "at", "cid")
-    earlier = groups.where("id > cid").select("token", F.col("id").alias("oid"), F.col("at").alias("oat"))
-    rest = open_.where("id > cid").join(earlier, "token").where("oid < id").select("id", "at", F.col("oid").alias("cid"), F.col("oat").alias("cat"))
-    more = scratch.write(fits(rest), "line-pairs")
+    open_ = groups.join(decided, "id", "left_anti").where("id > cid").select("token", "id", "at")
+    earlier = groups.select("token", F.col("id").alias("cid"), F.col("at").alias("cat"))
+    more = scratch.write(fits(open_.join(earlier, "token").where("cid < id")), "line-pairs")
     late = scratch.write(_similar(scratch, docs, classes, more, levels, percent), "line-decided")
     scratch.drop(groups, star, more)
     return decided.unionByName(late).distinct()
 
 
-def _similar(scratch: Scratch, docs: DataFrame, classes: DataFrame, pairs: DataFrame, levels: bytearray, percent: int) -> DataFrame:
+def _similar(scratch: Scratch, docs: DataFrame, classes: DataFrame, pairs: DataFrame, levels: Column, percent: int) -> DataFrame:
     """(id) of each b of the pairs whose full token set is similar to its a's."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id")
     asked = needed.groupBy("row").agg(F.collect_list(F.struct("id", "place")).alias("asked"))  # at most the lines of a document
@@ -104,8 +106,8 @@ def dedup_lines(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     row = fresh(docs.columns, "row")
     keyed = docs.withColumn(row, F.xxhash64(F.col(key), F.col(text)))
     texts = keyed.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-    lines = texts.select("key", "row", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(~_blank(F.col("line")))
-    levels = slot_levels(lines)
+    lines = texts.select("key", "row", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(_worded(F.col("line")))
+    levels = slot_levels(texts)
     sets = lines.select("key", "row", "place", ranked_tokens(F.col("line"), levels).alias("tokens"))
     n = F.size("tokens")
     prefix = F.when(n * (100 - percent) >= percent, F.transform(F.slice("tokens", 1, (n - _ceil_share(n, percent) + 1).cast("int")), lambda t: F.hash(t)))
@@ -125,9 +127,9 @@ def _rebuild(keyed: DataFrame, kept: DataFrame, row: str, text: str, counts: tup
     lines = fresh([*keyed.columns, own], "lines")
     joined = keyed.join(kept.select(F.col("row").alias(row), F.col("kept").alias(own)), row, "left").withColumn(lines, F.split(text, "\n"))
     empty = F.array().cast("array<int>")
-    blank = F.filter(F.transform(lines, lambda x, i: F.when(_blank(x), i)), lambda i: i.isNotNull())
+    blank = F.filter(F.transform(lines, lambda x, i: F.when(~_worded(x), i)), lambda i: i.isNotNull())
     places = F.sort_array(F.concat(F.coalesce(own, empty), blank))
-    worded = F.coalesce(F.size(F.filter(lines, lambda x: ~_blank(x))), F.lit(0))
+    worded = F.coalesce(F.size(F.filter(lines, _worded)), F.lit(0))
     new = F.when(F.col(text).isNotNull(), F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n"))
     total = F.when(F.col(text).isNull(), 0).otherwise(worded)
     return joined.withColumns({text: new, names[0]: total, names[1]: total - F.coalesce(F.size(F.coalesce(own, empty)), F.lit(0))})
