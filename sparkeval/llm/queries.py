@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkeval.llm import bpe, decontamination, language_id, line_dedup, near_dedup, neighbours, quality, sql, token_files
+from sparkeval.llm import bpe, decontamination, html_text, language_id, line_dedup, near_dedup, neighbours, quality, sql, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -68,3 +68,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_nearest_neighbours")
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), k=20)
+
+
+@query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
