@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkeval.llm import bpe, decontamination, html_text, language_id, line_dedup, near_dedup, neighbours, quality, sql, token_files
+from sparkeval.llm import bpe, decontamination, html_text, language_id, line_dedup, near_dedup, neighbours, quality, sql, substring_dedup, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -73,3 +73,8 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_text")
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
