@@ -27,25 +27,26 @@ def _worded(line: Column) -> Column:
 
 
 def slot_levels(texts: DataFrame) -> Column:
-    """For each hash slot the power of two of its word count over all texts, as an array of fixed size that is a constant."""
+    """For each hash slot the power of two of its word count over all texts, shifted to the top bits: a constant array of fixed size."""
     words = texts.select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0b\\f\\r]+")).alias("word"))
     slots = words.select(F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
     every = slots.unionByName(texts.sparkSession.range(1 << SLOT_BITS).selectExpr("id AS slot", "1L AS n")).groupBy("slot").agg(F.sum("n").alias("n"))
     level = F.struct("slot", F.log2("n").cast("int").cast("string").alias("level"))
     packed = every.groupBy(F.shiftright("slot", PACK_BITS).alias("part")).agg(F.array_sort(F.collect_list(level)).alias("levels"))
     rows = packed.select("part", F.array_join(F.transform("levels", lambda x: x.level), ",")).collect()
-    return F.split(F.lit(",".join(r[1] for r in sorted(rows))), ",").cast("array<int>")
+    shifted = (str(int(x) << 57) for r in sorted(rows) for x in r[1].split(","))
+    return F.split(F.lit(",".join(shifted)), ",").cast("array<bigint>")
 
 
 def ranked_tokens(line: Column, levels: Column) -> Column:
     """The line's distinct tokens in the global order: level in the top bits, 57 bits of hash below."""
 
-    def rank(token: Column) -> Column:
-        level = F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int"))
-        return F.shiftleft(level.cast("bigint"), 57) + token.bitwiseAND((1 << 57) - 1)
+    def rank(word: Column) -> Column:
+        token = F.xxhash64(word)
+        return F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int")) + token.bitwiseAND((1 << 57) - 1)
 
-    words = F.array_remove(F.array_distinct(F.split(F.lower(line), SPACE)), "")
-    return F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), rank))
+    words = F.split(F.btrim(F.lower(line), F.lit(" \t\x0b\f\r")), SPACE)
+    return F.sort_array(F.array_distinct(F.transform(words, rank)))
 
 
 def _ceil_share(n: Column, percent: int) -> Column:
@@ -54,23 +55,32 @@ def _ceil_share(n: Column, percent: int) -> Column:
 
 def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     """(id) of the classes that have an earlier similar class."""
-    places = classes.select("id", "n", F.posexplode("prefix").alias("place", "token"))
-    places = places.select("token", "id", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
+    # A bucket is a token and a size class, twofold wide; sets that can be similar to sets of the next class are in that one too.
+    n = F.col("n")
+    size_class = F.floor(F.log2("n"))
+    both = F.when(100 * n >= percent * F.pow(F.lit(2), size_class + 1), F.array(size_class, size_class + 1)).otherwise(F.array(size_class))
+    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix").select("id", "n", "class", F.posexplode("prefix").alias("place", "token"))
+    bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
+    places = places.select(bucket.alias("token"), "id", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
     first = places.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat")).where("size > 1").drop("size")
     groups = scratch.write(places.join(first, "token"), "line-groups")
 
     def fits(pairs: DataFrame) -> DataFrame:
-        """Pairs (a before b) that can be similar by size, place of the first shared token, and number of shared tokens.
+        """Pairs (a before b) that can be similar by size, by the places of shared tokens, and by their number.
 
+        Before a shared token, the sets share at most as many tokens as the smaller place; from it on, at most what is left.
         Of the prefix that ends first in the order, every token that is not shared is missing from the other set.
         """
         n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
-        left = F.least(n - F.col("at").bitwiseAND((1 << 31) - 1), m - F.col("cat").bitwiseAND((1 << 31) - 1))
-        sized = pairs.where(100 * F.least(n, m) >= percent * F.greatest(n, m)).select(F.col("cid").alias("a"), F.col("id").alias("b"), n.alias("n"), m.alias("m"), left.alias("left"))
-        counted = sized.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("left").alias("left"))
-        beyond = F.greatest(_ceil_share(F.col("n"), percent), _ceil_share(F.col("m"), percent)) - 1
-        most = F.least(F.col("left"), F.col("c") + beyond)
-        return counted.where(most * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b")
+        i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
+        need = F.ceil(percent * (n + m) / (100 + percent))
+        left = F.least(n - i, m - j)
+        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need))
+        least = need - F.greatest(_ceil_share(n, percent), _ceil_share(m, percent)) + 1
+        # The least number of shared tokens is one for a pair; the lowest bit says that the place of some token leaves enough.
+        marked = near.select(F.col("cid").alias("a"), F.col("id").alias("b"), (F.greatest(least, F.lit(1)) * 2 + (left >= need).cast("bigint")).alias("mark"))
+        counted = marked.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("mark").alias("mark"))
+        return counted.where("c >= shiftright(mark, 1) AND mark % 2 = 1").select("a", "b")
 
     star = scratch.write(fits(groups.where("id > cid")), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
