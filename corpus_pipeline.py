@@ -28,7 +28,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     counts = (fresh(docs.columns, "n_lines"), fresh(docs.columns, "n_removed"))
     out = line_dedup.dedup_lines(docs, counts=counts)
     out = out.where((F.col(counts[1]) == 0) | (F.col(counts[1]) < F.col(counts[0])))
-    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
+    return out.select(*[F.coalesce(F.length("text"), F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

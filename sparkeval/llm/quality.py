@@ -115,7 +115,7 @@ class AttentionMIL:
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, batch: int = 64, rate: float = 3e-3, seed: int = 11) -> AttentionMIL:
         every = np.concatenate(bags)
-        self.mean, self.scale = every.mean(0), every.std(0) + 1e-3
+        self.mean, self.scale = every.mean(0), every.std(0) + 0.02
         rng, step = np.random.default_rng(seed), 0
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         # Both labels count alike, however rare one is.
