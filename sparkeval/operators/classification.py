@@ -12,8 +12,8 @@ from sparkeval.functions.ratios import accuracy, f1_score, precision, ratio, rec
 from sparkeval.functions.search import cuts_below
 from sparkeval.operators import curves
 from sparkeval.operators.detection import dense_matrix
-
-SCORES_ON_DRIVER = 100_000  # most distinct scores fetched to thin a threshold list
+from sparkeval.operators.running import following, running
+from sparkeval.session import materialize
 
 
 def confusion_counts(df: DataFrame, by: Sequence[str] = (), gt: str = "gt", pred: str = "pred") -> DataFrame:
@@ -109,26 +109,31 @@ def kappa_2x2(counts: DataFrame) -> DataFrame:
 
 
 def thin_thresholds(df: DataFrame, score: str = "score", gap: float = 0.01) -> list[float]:
-    """Multiples of 0.1 and distinct scores, in order, each at least ``gap`` above the one kept before.
+    """0, then multiples of 0.1 and distinct scores in order, each at least ``gap`` above the one taken before.
 
-    The list is short by construction. A bounded number of distinct scores is thinned on the driver;
-    beyond it, each next threshold is one minimum over the scores.
+    The first one taken is the smallest that is ``gap`` away from 0, so scores below 0 count; null and NaN scores do not.
+    Every value points to the first value ``gap`` above it; the pointers are followed from the first in steps that double, so
+    the number of jobs grows with the logarithm of the list, and only the list reaches the driver.
     """
-    base = [i / 10 for i in range(11)]
-    distinct = df.select(F.col(score).cast("double").alias("s")).distinct()
-    small = [r.s for r in distinct.limit(SCORES_ON_DRIVER + 1).collect()]
-    kept = [0.0]
-    if len(small) <= SCORES_ON_DRIVER:
-        for t in sorted(set(base + small)):
-            if abs(t - kept[-1]) >= gap:
-                kept.append(t)
-        return kept
-    while True:
-        nxt = distinct.where((F.col("s") - kept[-1]) >= gap).agg(F.min("s")).first()[0]
-        options = [t for t in base + ([] if nxt is None else [nxt]) if t - kept[-1] >= gap]
-        if not options:
-            return kept
-        kept.append(min(options))
+    own = df.select(F.col(score).cast("double").alias("s")).where("s IS NOT NULL AND NOT isnan(s)")
+    values = own.unionAll(df.sparkSession.range(11).selectExpr("id / 10D AS s")).distinct()
+    # The sum s + gap may be rounded up past the value that is exactly gap above: look from a little below, and one further.
+    probes = values.selectExpr("s + CAST({0} AS DOUBLE) - 1e-12 * greatest(1, abs(s)) AS at".format(gap), "CAST(NULL AS DOUBLE) AS s")
+    points = values.selectExpr("s AS at", "s").unionAll(probes).groupBy("at").agg(F.max("s").alias("s"))
+    ahead = running(points, [], "at", {"up": -F.col("s")}, how="max").select("at", (-F.col("up")).alias("up"))
+    after = following(values, [], "s", ["s"], descending=False).select(F.col("s").alias("up"), F.col("next.s").alias("then"))
+    at = values.withColumn("at", F.expr("s + CAST({0} AS DOUBLE) - 1e-12 * greatest(1, abs(s))".format(gap)))
+    far = at.join(ahead, "at").join(after, "up", "left")
+    step = materialize(far.select("s", F.when(F.col("up") - F.col("s") >= gap, F.col("up")).otherwise(F.col("then")).alias("up")), "thresholds")
+    first = values.where(F.abs("s") >= gap).agg(F.min("s")).first()[0]
+    kept, size = {first}, 0
+    while len(kept) > size:
+        size = len(kept)
+        reached = df.sparkSession.createDataFrame([(x,) for x in sorted(kept)], "s double")
+        kept |= {r.up for r in step.join(reached, "s").where("up IS NOT NULL").select("up").collect()}
+        far = step.alias("x").join(step.alias("y"), F.col("x.up") == F.col("y.s")).select("x.s", "y.up")
+        step = materialize(far, "thresholds")
+    return [0.0, *sorted(kept)]
 
 
 def threshold_curves(df: DataFrame, thresholds: Sequence[float], gt: str = "gt", score: str = "score") -> DataFrame:

@@ -8,7 +8,6 @@ with very many overlapping ones costs one event per end.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import permutations
 
 import numpy as np
 import pandas as pd
@@ -91,14 +90,10 @@ def co_occurrence(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str)
 
 
 def best_assignment(weight: np.ndarray) -> list[tuple[int, int]]:
-    """Row to column assignment of greatest total weight: every permutation up to 6, shortest augmenting paths beyond."""
+    """Row to column assignment of greatest total weight by shortest augmenting paths; of equal paths the first column wins."""
     rows, cols = weight.shape
     if rows > cols:
         return [(i, j) for j, i in best_assignment(weight.T)]
-    if cols <= 6:
-        perms = np.array(list(permutations(range(cols), rows)))
-        best = perms[weight[np.arange(rows), perms].sum(axis=1).argmax()]
-        return list(enumerate(best.tolist()))
     cost = -weight
     u, v, owner = np.zeros(rows + 1), np.zeros(cols + 1), np.full(cols + 1, -1)
     for i in range(rows):

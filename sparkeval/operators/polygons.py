@@ -111,6 +111,9 @@ def _ring_ious(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd
     return pd.Series(out)
 
 
+_ring_ious = _ring_ious.asNondeterministic()  # else a filter on the result is pushed below it and computes it twice
+
+
 def polygon_iou(a: Column, b: Column) -> Column:
     xs, ys = (lambda g: F.transform(g, lambda p: p["x"])), (lambda g: F.transform(g, lambda p: p["y"]))
     return _ring_ious(xs(a), ys(a), xs(b), ys(b))

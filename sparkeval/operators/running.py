@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from sparkeval.functions.search import cuts_below
 from sparkeval.session import materialize
 
-RANGES = 64
+LEAST_RANGES = 64
 
 
 def _ranged(df: DataFrame, order: str) -> DataFrame:
-    """Add ``_range``, the number of sketch edges below the value."""
-    fractions = [i / RANGES for i in range(1, RANGES)]
-    edges = df.agg(F.percentile_approx(order, fractions, 2000)).scalar()
+    """Add ``_range``, the number of sketch edges below the value: as many ranges as the session has shuffle partitions, 64 at least."""
+    ranges = max(LEAST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    edges = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 30 * ranges)).scalar()
     df = df.withColumn("_edges", edges)
-    below = cuts_below(f"`{order}`", [f"_edges[{i}]" for i in range(RANGES - 1)], inclusive=False)
+    below = cuts_below(f"`{order}`", [f"_edges[{i}]" for i in range(ranges - 1)], inclusive=False)
     return df.withColumn("_range", below).drop("_edges")
 
 

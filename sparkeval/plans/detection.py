@@ -22,20 +22,20 @@ def match_sql(name: str, gts: str, infs: str, on: str, op: str = ">= 0.5", tie:
     """CTEs ``<name>_all`` (one row per inference) and ``<name>_fn`` (unmatched ground truths)."""
     gt_tie, inf_tie = (f"g.{tie}," if tie else ""), (f"{tie}," if tie else "")
     gt_tie_out = f", g.{tie} AS g_{tie}" if tie else ""
-    return f"""{name}_pairs AS (SELECT i.image_id, i.inf_idx, i.label, i.score, g.gt_idx, g.label AS gt_label, g.is_ignored, {iou} AS iou
+    return f"""{name}_pairs AS MATERIALIZED (SELECT i.image_id, i.inf_idx, i.label, i.score, g.gt_idx, g.label AS gt_label, g.is_ignored, {iou} AS iou
   FROM {infs} i JOIN {gts} g ON i.image_id = g.image_id AND {on}),
-{name}_best AS (SELECT *, row_number() OVER (PARTITION BY image_id, label, inf_idx ORDER BY iou DESC, is_ignored, {inf_tie.replace('label','gt_label')} gt_idx) AS rn
+{name}_best AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image_id, label, inf_idx ORDER BY iou DESC, is_ignored, {inf_tie.replace('label','gt_label')} gt_idx) AS rn
   FROM {name}_pairs WHERE iou {op}),
-{name}_win AS (SELECT *, row_number() OVER (PARTITION BY image_id, gt_label, gt_idx ORDER BY score DESC, {inf_tie} inf_idx) AS wn
+{name}_win AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image_id, gt_label, gt_idx ORDER BY score DESC, {inf_tie} inf_idx) AS wn
   FROM {name}_best WHERE rn = 1 AND NOT is_ignored),
-{name}_near AS (SELECT image_id, label, inf_idx, max(iou) FILTER (WHERE NOT is_ignored) AS near FROM {name}_pairs GROUP BY 1, 2, 3),
-{name}_all AS (SELECT i.image_id, i.inf_idx, i.label, i.score, i.stratum, b.gt_idx, b.gt_label,
+{name}_near AS MATERIALIZED (SELECT image_id, label, inf_idx, max(iou) FILTER (WHERE NOT is_ignored) AS near FROM {name}_pairs GROUP BY 1, 2, 3),
+{name}_all AS MATERIALIZED (SELECT i.image_id, i.inf_idx, i.label, i.score, i.stratum, b.gt_idx, b.gt_label,
     CASE WHEN b.is_ignored THEN 'ignored' WHEN w.wn = 1 THEN 'matched' ELSE 'unmatched_inf' END AS kind,
     CASE WHEN b.is_ignored OR w.wn = 1 THEN b.iou ELSE coalesce(n.near, 0) END AS iou
   FROM {infs} i LEFT JOIN {name}_best b ON b.rn = 1 AND i.image_id = b.image_id AND i.inf_idx = b.inf_idx AND i.label = b.label
   LEFT JOIN {name}_win w ON i.image_id = w.image_id AND i.inf_idx = w.inf_idx AND i.label = w.label
   LEFT JOIN {name}_near n ON i.image_id = n.image_id AND i.inf_idx = n.inf_idx AND i.label = n.label),
-{name}_fn AS (SELECT g.* FROM {gts} g WHERE NOT g.is_ignored AND NOT EXISTS (SELECT 1 FROM {name}_all m
+{name}_fn AS MATERIALIZED (SELECT g.* FROM {gts} g WHERE NOT g.is_ignored AND NOT EXISTS (SELECT 1 FROM {name}_all m
   WHERE m.kind = 'matched' AND m.image_id = g.image_id AND m.gt_idx = g.gt_idx AND m.gt_label = g.label))"""
 
 
@@ -44,12 +44,12 @@ WHOLE = match_sql("m", "w_det_gt", "w_det_inf", "true")
 MULTI = (
     PER_LABEL
     + """,
-l_gt AS (SELECT * FROM m_fn UNION ALL SELECT * FROM w_det_gt WHERE is_ignored),
-l_inf AS (SELECT i.* FROM w_det_inf i JOIN m_all m ON i.image_id = m.image_id AND i.inf_idx = m.inf_idx AND m.kind = 'unmatched_inf'),
+l_gt AS MATERIALIZED (SELECT * FROM m_fn UNION ALL SELECT * FROM w_det_gt WHERE is_ignored),
+l_inf AS MATERIALIZED (SELECT i.* FROM w_det_inf i JOIN m_all m ON i.image_id = m.image_id AND i.inf_idx = m.inf_idx AND m.kind = 'unmatched_inf'),
 """
     + match_sql("c", "l_gt", "l_inf", "true", tie="label")
     + """,
-confused AS (SELECT image_id, gt_idx, gt_label, inf_idx, label, score, iou, stratum FROM c_all WHERE kind = 'matched' AND gt_label <> label),
+confused AS MATERIALIZED (SELECT image_id, gt_idx, gt_label, inf_idx, label, score, iou, stratum FROM c_all WHERE kind = 'matched' AND gt_label <> label),
 mm AS (SELECT image_id, stratum, kind, gt_idx, gt_label, inf_idx, label AS inf_label, score, iou FROM m_all
   UNION ALL SELECT image_id, stratum, 'confused', gt_idx, gt_label, inf_idx, label, score, iou FROM confused
   UNION ALL SELECT f.image_id, f.stratum, 'unmatched_gt', f.gt_idx, f.label, NULL, NULL, NULL, NULL FROM m_fn f

@@ -316,13 +316,10 @@ def i15(spark, sf):
     return views.binary(spark, sf).groupBy("stratum").agg(F.count_if(ok).alias("correct"), F.count("*").alias("n"))
 
 
-@query("e46_consistency_score", """SELECT user_id, round(count(*) FILTER (WHERE n > 1 AND p = event_type) / nullif(count(*) FILTER (WHERE n > 1), 0), 6) AS consistency, round(avg(value / 500), 6) AS hallucination FROM
-  (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY 1""")
+@query("e46_consistency_score", """SELECT a.user_id, round(count(b.event_id) FILTER (WHERE a.event_type = b.event_type) / nullif(count(b.event_id), 0), 6) AS consistency, any_value(h) AS hallucination
+  FROM events a LEFT JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id JOIN (SELECT user_id, round(avg((value > 50)::INT), 6) AS h FROM events GROUP BY 1) USING (user_id) GROUP BY 1""")
 def e46(spark, sf):
-    """Judgements: does an answer agree with the one before it, and how strongly is it judged made up."""
-    from sparkeval.operators.running import following
-
-    e = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
-    j = following(e, ["user_id"], "event_id", ["event_type"], descending=False)
-    agrees = F.when(F.col("next").isNotNull(), (F.col("next.event_type") == F.col("event_type")).cast("double"))
-    return j.groupBy("user_id").agg(r6(F.avg(agrees)).alias("consistency"), r6(F.avg(F.col("value") / 500)).alias("hallucination"))
+    """Share of all pairs of a user's answers that agree, from counts per answer; and the mean of 0/1 judgements."""
+    same = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("c"), F.count_if(F.col("value") > 50).alias("made_up"))
+    n, pairs = F.sum("c"), F.sum(F.col("c") * (F.col("c") - 1))
+    return same.groupBy("user_id").agg(r6(F.try_divide(pairs, n * (n - 1))).alias("consistency"), r6(F.sum("made_up") / n).alias("hallucination"))

@@ -26,7 +26,7 @@ def _views(text: str) -> list[str]:
 
 def with_views(sql: str, ctes: str = "", recursive: bool = False) -> str:
     """Full statement: the views the text names, then its own CTEs, then the select."""
-    parts = [f"{name} AS ({VIEW_SQL[name]})" for name in _views(ctes + " " + sql)]
+    parts = [f"{name} AS MATERIALIZED ({VIEW_SQL[name]})" for name in _views(ctes + " " + sql)]
     if ctes.strip():
         parts.append(ctes.strip().rstrip(","))
     head = "WITH RECURSIVE " if recursive else "WITH "

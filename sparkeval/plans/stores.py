@@ -253,9 +253,9 @@ def utc_events(spark, sf):
 
 
 def event_files(spark, sf):
-    """The events as four files, so that a stream of them has several batches."""
+    """The events as written files, one batch of the stream each."""
     key = f"{sf}/event_files"
-    return shared(spark, key, lambda: utc_events(spark, sf).repartition(4, "event_id"))
+    return shared(spark, key, lambda: utc_events(spark, sf))
 
 
 def event_stream(spark, sf):
@@ -287,10 +287,8 @@ def j02(spark, sf):
 def j03(spark, sf):
     """Every event arrives twice; one call per id is kept."""
     s = calls(event_stream(spark, sf)).select("event_id", "start", "user_id", "value")
-    path = new_path(spark, "deduped")
     twice = s.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("_copy")
-    ingest.run(ingest.first_calls(twice, ["event_id"], watermark="60 days"), "dedupe", lambda df, b: df.write.mode("overwrite").parquet(f"{path}/b={b}"))
-    return spark.read.parquet(path).select("event_id", "user_id", "value")
+    return ingest.first_calls(twice, ["event_id"]).select("event_id", "user_id", "value")
 
 
 @query("j04_call_elapsed", "SELECT event_id, round(floor(round(value * 1000000, 3)) / 1000000, 6) AS elapsed_s, epoch_us(ts) AS start_us FROM events")
@@ -306,21 +304,15 @@ LIVE = """SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS window_us, event_t
 @query("j05_live_metrics", LIVE)
 def j05(spark, sf):
     s = event_stream(spark, sf).selectExpr("ts", "event_type AS stratum", "event_id % 3 AS tp", "event_id % 2 AS fp", "event_id % 5 AS fn")
-    counts = ingest.latest_updates(ingest.live_counts(s, "ts", ["stratum"], watermark="60 days"), "live", ["window_start", "stratum"])
-    rates = ingest.live_rates(counts)
+    rates = ingest.live_rates(ingest.live_counts(s, "ts", ["stratum"]))
     return rates.select(F.unix_micros("window_start").alias("window_us"), "stratum", "tp", "fp", "fn", "n", r6("precision").alias("precision"), r6("recall").alias("recall"))
 
 
 @query("j06_progress_per_case", "SELECT event_type AS test_case, count(*) AS samples, CAST(sum(event_id % 3) AS BIGINT) AS tp FROM events GROUP BY 1")
 def j06(spark, sf):
-    """Rows evaluated so far are reported by an observation while the metrics are written."""
-    path = new_path(spark, "progress")
-    e = table(spark, sf, "events").selectExpr("event_type AS test_case", "event_id % 3 AS tp")
-    kinds = [r.test_case for r in e.select("test_case").distinct().collect()]  # one name per test case
-    watched, seen = ingest.observed(e, f"progress-{path[-8:]}", *[F.count_if(F.col("test_case") == k).alias(k) for k in kinds])
-    watched.groupBy("test_case").agg(F.sum("tp").alias("tp")).write.parquet(path)
-    done = spark.createDataFrame(sorted(seen.get.items()), "test_case string, samples long")
-    return spark.read.parquet(path).join(done, "test_case").select("test_case", "samples", "tp")
+    """Samples evaluated so far, per test case: each batch adds its counts, whatever the number of cases."""
+    s = event_stream(spark, sf).selectExpr("event_type AS test_case", "event_id % 3 AS tp")
+    return ingest.batch_totals(s, "progress", ["test_case"], {"samples": F.count("*"), "tp": F.sum("tp")})
 
 
 # -- user-defined evaluation --------------------------------------------------------

@@ -36,7 +36,7 @@ def b02(spark, sf):
     return df.groupBy(*checks.infer_id_fields(df.columns)).agg(F.count("*").alias("n"))
 
 
-@query("b03_duplicate_keys", "SELECT l_linenumber, l_orderkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY 1, 2 LIMIT 10")
+@query("b03_duplicate_keys", "SELECT l_linenumber, l_orderkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def b03(spark, sf):
     return checks.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -182,10 +182,11 @@ def b18(spark, sf):
 
 
 @query("b19_field_profile", """SELECT 'segment' AS field, count(DISTINCT segment) AS distinct_count, false AS has_null, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi FROM w_dp UNION ALL
-  SELECT 'priority', count(DISTINCT priority), false, NULL, NULL FROM w_dp UNION ALL SELECT 'discount', count(DISTINCT id % 7), true, 0, 6 FROM w_dp WHERE id % 3 <> 0""")
+  SELECT 'priority', count(DISTINCT priority), false, NULL, NULL FROM w_dp UNION ALL SELECT 'discount', count(DISTINCT id % 7), true, 0, 6 FROM w_dp WHERE id % 3 <> 0
+  UNION ALL SELECT 'price', count(DISTINCT price), false, min(price), max(price) FROM w_dp""")
 def b19(spark, sf):
     df = views.dp(spark, sf).withColumn("discount", F.expr("CASE WHEN id % 3 <> 0 THEN id % 7 END"))
-    return checks.field_profile(df, ["segment", "priority", "discount"])
+    return checks.field_profile(df, ["segment", "priority", "discount", "price"])
 
 
 @query("b19_field_values", "SELECT 'segment' AS field, segment AS value, count(*) AS n FROM w_dp GROUP BY 2 UNION ALL SELECT 'priority', priority, count(*) FROM w_dp GROUP BY 2")
@@ -390,13 +391,6 @@ def f08(spark, sf):
     return joins.keep_first(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-@query("f10_positional_rank", "SELECT doc_id, pos AS rank, w AS word FROM (SELECT doc_id, unnest(string_split(text, ' ')[1:10]) AS w, generate_subscripts(string_split(text, ' ')[1:10], 1) AS pos FROM documents)")
-def f10(spark, sf):
-    """A ranked list of ten items becomes one row per item with its rank."""
-    lists = table(spark, sf, "documents").select("doc_id", F.slice(F.split("text", " "), 1, 10).alias("ranked"))
-    return lists.select("doc_id", F.posexplode("ranked").alias("p", "word")).select("doc_id", (F.col("p") + 1).cast("long").alias("rank"), "word")
-
-
 @query("f04_cumulative_counts", "SELECT score, CAST(sum(sum(CASE WHEN gt = pred THEN 1 ELSE 0 END)) OVER w AS BIGINT) AS tp, CAST(sum(sum(CASE WHEN gt <> pred THEN 1 ELSE 0 END)) OVER w AS BIGINT) AS fp FROM w_cls GROUP BY score WINDOW w AS (ORDER BY score DESC)")
 def f04(spark, sf):
     from sparkeval.operators import curves

@@ -257,13 +257,30 @@ def d27(spark, sf):
     return vision.pair_verdicts(views.pair(spark, sf), 0.1).drop("is_match", "similarity")
 
 
-@query("d26_face_sample_metrics", """SELECT a AS image_id, count(*) AS pairs, a % 13 = 0 AS bbox_fte, count(*) FILTER (WHERE b % 13 = 0) AS pair_failures, count(*) FILTER (WHERE similarity > 0.1 AND is_match) AS tm,
-  count(*) FILTER (WHERE similarity > 0.1 AND NOT is_match) AS fm, count(*) FILTER (WHERE similarity <= 0.1 AND is_match) AS fnm, count(*) FILTER (WHERE similarity <= 0.1 AND NOT is_match) AS tnm FROM w_pair GROUP BY 1""")
+FACES = """fb AS (SELECT vec_id AS i, 4 * abs(embedding[1]::DOUBLE) AS d FROM embeddings),
+fv AS (SELECT i, greatest(1 - d, 0) / (1 + d) AS iou FROM fb),
+fp AS (SELECT p.a, p.is_match, CASE WHEN x.iou < 0.5 OR y.iou < 0.5 THEN NULL ELSE p.similarity END AS similarity FROM w_pair p JOIN fv x ON x.i = p.a JOIN fv y ON y.i = p.b)"""
+
+
+def face_boxes(spark, sf):
+    """(image_id, bbox_iou): a unit ground-truth box and the detected one, moved by four times the first component."""
+    move = 4 * F.abs(F.col("embedding")[0])
+    box = lambda x: F.struct(x.alias("x1"), F.lit(0.0).alias("y1"), (x + 1).alias("x2"), F.lit(1.0).alias("y2"))
+    v = views.vectors(spark, sf).select(F.col("vec_id").alias("image_id"), box(F.lit(0.0)).alias("gt"), box(move).alias("inf"))
+    return v.select("image_id", boxes.box_iou(F.col("gt"), F.col("inf")).alias("bbox_iou"))
+
+
+@query("d26_face_sample_metrics", """SELECT a AS image_id, count(*) AS pairs, round(any_value(iou), 6) AS bbox_iou, any_value(iou) < 0.5 AS bbox_fte, count(*) FILTER (WHERE similarity IS NULL) AS pair_failures, count(*) FILTER (WHERE similarity > 0.1 AND is_match) AS tm,
+  count(*) FILTER (WHERE similarity > 0.1 AND NOT is_match) AS fm, count(*) FILTER (WHERE similarity <= 0.1 AND is_match) AS fnm, count(*) FILTER (WHERE similarity <= 0.1 AND NOT is_match) AS tnm FROM fp JOIN fv ON fv.i = a GROUP BY 1""", ctes=FACES)
 def d26(spark, sf):
-    v = vision.pair_verdicts(views.pair(spark, sf), 0.1)
+    """A face whose box misses the ground truth fails to enroll; its pairs have no similarity and count as pair failures."""
+    found = face_boxes(spark, sf)
+    p = views.pair(spark, sf).join(found.withColumnsRenamed({"image_id": "a", "bbox_iou": "iou"}), "a").join(found.withColumnsRenamed({"image_id": "b", "bbox_iou": "other"}), "b")
+    p = p.withColumn("similarity", F.when((F.col("iou") >= 0.5) & (F.col("other") >= 0.5), F.col("similarity")))
+    v = vision.pair_verdicts(p, 0.1)
     flags = [F.count_if(f"is_{n}").alias(n) for n in ("tm", "fm", "fnm", "tnm")]
-    out = v.groupBy(F.col("a").alias("image_id")).agg(F.count("*").alias("pairs"), F.count_if(F.col("b") % 13 == 0).alias("pair_failures"), *flags)
-    return out.withColumn("bbox_fte", F.col("image_id") % 13 == 0)
+    out = v.groupBy(F.col("a").alias("image_id")).agg(F.count("*").alias("pairs"), F.count_if(F.col("similarity").isNull()).alias("pair_failures"), *flags, F.max("iou").alias("iou"))
+    return out.withColumns({"bbox_iou": r6("iou"), "bbox_fte": F.col("iou") < 0.5}).drop("iou")
 
 
 @query("e40_pair_metrics", """SELECT count(*) FILTER (WHERE is_match) AS genuine, count(*) FILTER (WHERE NOT is_match) AS imposter, count(*) FILTER (WHERE NOT is_match AND similarity > 0.1) AS fm, count(*) FILTER (WHERE is_match AND similarity <= 0.1) AS fnm,
@@ -328,18 +345,40 @@ def g04(spark, sf):
     return top.select("query_id", "item_id", r6("sim").alias("sim"), F.col("rank").cast("long").alias("rank"))
 
 
-@query("e20_retrieval_ap", """SELECT query_id, round(sum(CASE WHEN relevant THEN hits / rank ELSE 0 END) / any_value(gtp), 6) AS ap FROM (SELECT query_id, rank, relevant, CAST(sum(relevant::INT) OVER (PARTITION BY query_id ORDER BY rank) AS DOUBLE) AS hits,
-  CAST(count(*) FILTER (WHERE relevant) OVER (PARTITION BY query_id) AS DOUBLE) AS gtp FROM tp) WHERE rank <= 50 GROUP BY 1""", ctes=TOP)
-def e20c(spark, sf):
+@query("f10_positional_rank", "SELECT query_id, rank, item_id FROM tp WHERE rank <= 10", ctes=TOP)
+def f10(spark, sf):
+    """A ranked list of ten items, as C13 gives it, becomes one row per item with its rank."""
+    top = blocks.similarity_top_k(*sides(spark, sf), 10)
+    lists = top.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("ranked"))  # ten items
+    return lists.select("query_id", F.posexplode("ranked").alias("p", "item")).select("query_id", (F.col("p") + 1).cast("long").alias("rank"), "item.item_id")
+
+
+AP = """SELECT query_id, round(sum(CASE WHEN relevant THEN hits / rank ELSE 0 END) / any_value(gtp), 6) AS ap FROM (SELECT query_id, rank, relevant, CAST(sum(relevant::INT) OVER (PARTITION BY query_id ORDER BY rank) AS DOUBLE) AS hits,
+  CAST(count(*) FILTER (WHERE relevant) OVER (PARTITION BY query_id) AS DOUBLE) AS gtp FROM tp) {0} GROUP BY 1"""
+
+
+@query("e20_retrieval_ap", AP.format(""), ctes=TOP)
+def e20_full(spark, sf):
+    """Average precision over the whole ranking."""
+    return retrieval_ap(spark, sf, views.vectors(spark, sf).count())
+
+
+@query("e20_retrieval_ap_at_50", AP.format("WHERE rank <= 50"), ctes=TOP)
+def e20_at_50(spark, sf):
+    """AP(50): what lies below rank 50 counts as not found."""
+    return retrieval_ap(spark, sf, 50)
+
+
+def retrieval_ap(spark, sf, n):
     from pyspark.sql import Window as W
 
-    top = blocks.similarity_top_k(*sides(spark, sf), 50)
+    top = blocks.similarity_top_k(*sides(spark, sf), n)
     labels = views.vectors(spark, sf).select("vec_id", "label")
     sizes = labels.groupBy("label").agg((F.count("*") - 1).alias("gtp"))
     q = labels.join(sizes, "label").select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql"), "gtp")
     rows = top.join(q, "query_id").join(labels.select(F.col("vec_id").alias("item_id"), F.col("label").alias("il")), "item_id")
     rel = (F.col("ql") == F.col("il")).cast("int")
-    hits = F.sum(rel).over(W.partitionBy("query_id").orderBy("rank"))  # at most 50 rows a query
+    hits = F.sum(rel).over(W.partitionBy("query_id").orderBy("rank"))  # n rows a query
     return rows.withColumn("p", rel * hits / F.col("rank")).groupBy("query_id").agg(r6(F.sum("p") / F.max("gtp")).alias("ap"))
 
 

@@ -39,9 +39,30 @@ def ingest(stream: DataFrame, store: Datasets, dataset: str, ids: Sequence[str],
     return run(stream, "ingest", lambda df, _: store.upload(dataset, df, ids, append_only=True), available_now=available_now)
 
 
-def first_calls(calls: DataFrame, ids: Sequence[str], time: str = "start", watermark: str = "1 hour") -> DataFrame:
-    """First call per id; the watermark bounds the state, the upsert on write makes it exact."""
-    return calls.withWatermark(time, watermark).dropDuplicatesWithinWatermark(list(ids))
+def batch_tables(stream: DataFrame, name: str, batch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run ``batch`` on every micro-batch and return all results; a batch that runs again replaces its own rows."""
+    path = new_path(stream.sparkSession, name)
+    run(stream, name, lambda df, b: batch(df).write.mode("overwrite").parquet(f"{path}/b={b}"))
+    return stream.sparkSession.read.parquet(path).drop("b")
+
+
+def first_calls(calls: DataFrame, ids: Sequence[str], time: str = "start") -> DataFrame:
+    """The call of earliest start per id, over everything that has arrived; late calls count, nothing is kept in memory.
+
+    Every batch stores its own first calls; reading takes the first of those. Equal starts go to the smallest row.
+    """
+    rest = [c for c in calls.columns if c not in (*ids, time)]
+
+    def first(df: DataFrame) -> DataFrame:
+        return df.groupBy(*ids).agg(F.min(F.struct(time, *rest)).alias("_r")).select(*ids, "_r.*")
+
+    return first(batch_tables(calls, "first-calls", first))
+
+
+def batch_totals(results: DataFrame, name: str, by: Sequence[str], sums: dict) -> DataFrame:
+    """Additive aggregates per key, exact however late a row is: every batch stores its part, reading adds them up."""
+    parts = batch_tables(results, name, lambda df: df.groupBy(*by).agg(*[e.alias(n) for n, e in sums.items()]))
+    return parts.groupBy(*by).agg(*[F.sum(n).alias(n) for n in sums])
 
 
 def with_elapsed(calls: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -58,29 +79,11 @@ def trace(calls: DataFrame, path: str, ids: Sequence[str], inputs: Sequence[str]
     return run(calls, "trace", write, available_now=available_now)
 
 
-def live_counts(results: DataFrame, time: str, by: Sequence[str], window: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """Streaming sums of tp/fp/fn per time window and stratum."""
-    w = F.window(time, window)["start"].alias("window_start")
-    return results.withWatermark(time, watermark).groupBy(w, *by).agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], F.count("*").alias("n"))
+def live_counts(results: DataFrame, time: str, by: Sequence[str], window: str = "1 day") -> DataFrame:
+    """Sums of tp/fp/fn per time window and stratum; no watermark, so no late row is lost."""
+    timed = results.withColumn("window_start", F.window(time, window)["start"])
+    return batch_totals(timed, "live", ["window_start", *by], {**{c: F.sum(c) for c in ("tp", "fp", "fn")}, "n": F.count("*")})
 
 
 def live_rates(counts: DataFrame) -> DataFrame:
     return counts.select("*", precision("tp", "fp").alias("precision"), recall("tp", "fn").alias("recall"), f1_score("tp", "fp", "fn").alias("f1"))
-
-
-def latest_updates(stream: DataFrame, name: str, keys: Sequence[str], available_now: bool = True) -> DataFrame:
-    """Run an updating aggregate to the end and return the last value of every key."""
-    spark = stream.sparkSession
-    path = new_path(spark, name)
-    run(stream, name, lambda df, b: df.withColumn("_batch", F.lit(b)).write.mode("overwrite").parquet(f"{path}/b={b}"), "update", available_now)
-    rows = spark.read.parquet(path).drop("b")
-    rest = [c for c in rows.columns if c not in keys and c != "_batch"]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r")).select(*keys, "_r.*")
-
-
-def observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, object]:
-    """A frame whose row counts are reported while it is written."""
-    from pyspark.sql import Observation
-
-    seen = Observation(name)
-    return df.observe(seen, *metrics), seen

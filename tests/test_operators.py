@@ -238,20 +238,33 @@ def test__stream_equals_batch_for_one_and_many_batches(spark):
     df = spark.range(60).selectExpr("timestamp_seconds(id * 4000) AS ts", "CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS stratum", "id % 3 AS tp", "id % 2 AS fp", "id % 5 AS fn")
     path = new_path(spark, "stream-test")
     df.repartition(5).write.parquet(path)
-    batch = ingest.live_rates(ingest.live_counts(df, "ts", ["stratum"]))
+    day = F.window("ts", "1 day")["start"].alias("window_start")
+    batch = ingest.live_rates(df.groupBy(day, "stratum").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], F.count("*").alias("n")))
     want = sorted(tuple(r) for r in batch.collect())
     for files_per_trigger in (None, 1):
-        s = ingest.live_counts(ingest.stream_of(spark, path, df.schema, files_per_trigger), "ts", ["stratum"], watermark="30 days")
-        got = ingest.live_rates(ingest.latest_updates(s, "live", ["window_start", "stratum"]))
+        s = ingest.live_counts(ingest.stream_of(spark, path, df.schema, files_per_trigger), "ts", ["stratum"])
+        got = ingest.live_rates(s)
         assert sorted(tuple(r) for r in got.select(*batch.columns).collect()) == want
 
 
-def test__thin_thresholds_paths_agree(spark, monkeypatch):
-    df = spark.createDataFrame([(i / 37 % 1.0,) for i in range(300)], "score double")
-    small = classification.thin_thresholds(df)
-    monkeypatch.setattr(classification, "SCORES_ON_DRIVER", 5)
-    assert classification.thin_thresholds(df) == small
-    assert all(b - a >= 0.01 for a, b in zip(small, small[1:]))
+def test__late_calls_count_and_the_earliest_wins(spark):
+    path = new_path(spark, "late-calls")
+    rows = [[(1, 900, "x"), (2, 901, "y")], [(1, 5, "late but first"), (3, 6, "very late")], [(2, 901, "y"), (2, 990, "z")]]
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, "id int, s long, v string").selectExpr("id", "timestamp_seconds(s * 86400) AS start", "v").coalesce(1).write.parquet(f"{path}/{k}")
+    schema = spark.read.parquet(f"{path}/0").schema
+    calls = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+    assert sorted((r.id, r.v) for r in ingest.first_calls(calls, ["id"]).collect()) == [(1, "late but first"), (2, "y"), (3, "very late")]
+
+
+@pytest.mark.parametrize("scores", [[i / 37 % 1.0 for i in range(300)], [-0.5, 0.35, 0.72], [None, 0.5, float("nan"), 0.505, 0.5], [], [-0.004, 0.004, 12.5, -3.0, 0.11, 0.1]])
+def test__thin_thresholds(spark, scores):
+    df = spark.createDataFrame([(x,) for x in scores], "score double")
+    want = [0.0]
+    for t in sorted({i / 10 for i in range(11)} | {x for x in scores if x is not None and x == x}):
+        if abs(t - want[-1]) >= 0.01:
+            want.append(t)
+    assert classification.thin_thresholds(df) == want
 
 
 def test__suite_edits_and_copy(spark):
