@@ -316,8 +316,8 @@ def i15(spark, sf):
     return views.binary(spark, sf).groupBy("stratum").agg(F.count_if(ok).alias("correct"), F.count("*").alias("n"))
 
 
-@query("e46_consistency_score", """SELECT a.user_id, round(count(b.event_id) FILTER (WHERE a.event_type = b.event_type) / nullif(count(b.event_id), 0), 6) AS consistency, any_value(h) AS hallucination
-  FROM events a LEFT JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id JOIN (SELECT user_id, round(avg((value > 50)::INT), 6) AS h FROM events GROUP BY 1) USING (user_id) GROUP BY 1""")
+@query("e46_consistency_score", """SELECT user_id, round(count(b.event_id) FILTER (WHERE a.event_type = b.event_type) / nullif(count(b.event_id), 0), 6) AS consistency, any_value(h) AS hallucination
+  FROM (SELECT user_id AS u, event_id, event_type FROM events) a JOIN (SELECT user_id, round(avg((value > 50)::INT), 6) AS h FROM events GROUP BY 1) g ON g.user_id = a.u LEFT JOIN (SELECT user_id AS v, event_id, event_type FROM events) b ON a.u = b.v AND a.event_id < b.event_id GROUP BY 1""")
 def e46(spark, sf):
     """Share of all pairs of a user's answers that agree, from counts per answer; and the mean of 0/1 judgements."""
     same = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("c"), F.count_if(F.col("value") > 50).alias("made_up"))
