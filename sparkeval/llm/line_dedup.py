@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch, fresh
 
-SLOT_BITS, PACK_BITS = 18, 10
+SLOT_BITS, PACK_BITS = 16, 10
 SPACE = "[ \\t\\x0b\\f\\r]+"
 
 
@@ -27,15 +27,14 @@ def _worded(line: Column) -> Column:
 
 
 def slot_levels(texts: DataFrame) -> Column:
-    """For each hash slot the power of two of its word count over all texts, shifted to the top bits: a constant array of fixed size."""
+    """For each hash slot the power of two of its word count over all texts, a constant array of fixed size."""
     words = texts.select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0b\\f\\r]+")).alias("word"))
     slots = words.select(F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
     every = slots.unionByName(texts.sparkSession.range(1 << SLOT_BITS).selectExpr("id AS slot", "1L AS n")).groupBy("slot").agg(F.sum("n").alias("n"))
     level = F.struct("slot", F.log2("n").cast("int").cast("string").alias("level"))
     packed = every.groupBy(F.shiftright("slot", PACK_BITS).alias("part")).agg(F.array_sort(F.collect_list(level)).alias("levels"))
     rows = packed.select("part", F.array_join(F.transform("levels", lambda x: x.level), ",")).collect()
-    shifted = (str(int(x) << 57) for r in sorted(rows) for x in r[1].split(","))
-    return F.split(F.lit(",".join(shifted)), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(r[1] for r in sorted(rows))), ",").cast("array<bigint>")
 
 
 def ranked_tokens(line: Column, levels: Column) -> Column:
@@ -43,7 +42,7 @@ def ranked_tokens(line: Column, levels: Column) -> Column:
 
     def rank(word: Column) -> Column:
         token = F.xxhash64(word)
-        return F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int")) + token.bitwiseAND((1 << 57) - 1)
+        return F.shiftleft(F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int")), 57) + token.bitwiseAND((1 << 57) - 1)
 
     words = F.split(F.btrim(F.lower(line), F.lit(" \t\x0b\f\r")), SPACE)
     return F.sort_array(F.array_distinct(F.transform(words, rank)))
@@ -59,33 +58,40 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     n = F.col("n")
     size_class = F.floor(F.log2("n"))
     both = F.when(100 * n >= percent * F.pow(F.lit(2), size_class + 1), F.array(size_class, size_class + 1)).otherwise(F.array(size_class))
-    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix").select("id", "n", "class", F.posexplode("prefix").alias("place", "token"))
+    # One bit of 64 for each prefix token: bits that the other set's lacks are tokens that it lacks.
+    bits = F.aggregate("prefix", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(t, F.lit(64)))))
+    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix", bits.alias("bits")).select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
     bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
-    places = places.select(bucket.alias("token"), "id", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
-    first = places.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat")).where("size > 1").drop("size")
+    places = places.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
+    first = places.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
     groups = scratch.write(places.join(first, "token"), "line-groups")
 
     def fits(pairs: DataFrame) -> DataFrame:
         """Pairs (a before b) that can be similar by size, by the places of shared tokens, and by their number.
 
         Before a shared token, the sets share at most as many tokens as the smaller place; from it on, at most what is left.
-        Of the prefix that ends first in the order, every token that is not shared is missing from the other set.
+        Of the prefix that ends first in the order, every token that is not shared is missing from the other set. How many
+        prefix tokens a pair shares is first bounded by the bits, then counted.
         """
         n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
         i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
         need = F.ceil(percent * (n + m) / (100 + percent))
         left = F.least(n - i, m - j)
-        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need))
-        least = need - F.greatest(_ceil_share(n, percent), _ceil_share(m, percent)) + 1
+        least = F.greatest(need - F.greatest(_ceil_share(n, percent), _ceil_share(m, percent)) + 1, F.lit(1))
+        most = F.least(
+            n - _ceil_share(n, percent) + 1 - F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("cbits"))),
+            m - _ceil_share(m, percent) + 1 - F.bit_count(F.col("cbits").bitwiseAND(F.bitwise_not("bits"))),
+        )
+        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need) & (most >= least))
         # The least number of shared tokens is one for a pair; the lowest bit says that the place of some token leaves enough.
-        marked = near.select(F.col("cid").alias("a"), F.col("id").alias("b"), (F.greatest(least, F.lit(1)) * 2 + (left >= need).cast("bigint")).alias("mark"))
+        marked = near.select(F.col("cid").alias("a"), F.col("id").alias("b"), (least * 2 + (left >= need).cast("bigint")).alias("mark"))
         counted = marked.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("mark").alias("mark"))
         return counted.where("c >= shiftright(mark, 1) AND mark % 2 = 1").select("a", "b")
 
     star = scratch.write(fits(groups.where("id > cid")), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
-    open_ = groups.join(decided, "id", "left_anti").where("id > cid").select("token", "id", "at")
-    earlier = groups.select("token", F.col("id").alias("cid"), F.col("at").alias("cat"))
+    open_ = groups.join(decided, "id", "left_anti").where("id > cid").select("token", "id", "at", "bits")
+    earlier = groups.select("token", F.col("id").alias("cid"), F.col("at").alias("cat"), F.col("bits").alias("cbits"))
     more = scratch.write(fits(open_.join(earlier, "token").where("cid < id")), "line-pairs")
     late = scratch.write(_similar(scratch, docs, classes, more, levels, percent), "line-decided")
     scratch.drop(groups, star, more)
