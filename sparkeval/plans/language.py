@@ -61,6 +61,20 @@ def d24(spark, sf):
     return m.select("recording", r6("s").alias("s"), r6("e").alias("e"))
 
 
+@query("d24_missed_speech_long", "SELECT recording, round(s, 6) AS s, round(e, 6) AS e FROM mm WHERE e - s >= 0.2", ctes=MISS)
+def d24_long(spark, sf):
+    """Missed speech without pieces shorter than 0.2 seconds."""
+    m = intervals.missed(segs(spark, sf, "ref"), segs(spark, sf, "hyp"), REC, min_length=0.2)
+    return m.select("recording", r6("s").alias("s"), r6("e").alias("e"))
+
+
+@query("d24_false_speech", "SELECT recording, round(s, 6) AS s, round(e, 6) AS e FROM mm WHERE e - s >= 0.2", ctes=MISS.replace("WHERE a > 0 AND b = 0", "WHERE a = 0 AND b > 0"))
+def d24_false(spark, sf):
+    """Detected speech where nobody speaks: missed speech with the sides exchanged."""
+    m = intervals.missed(segs(spark, sf, "hyp"), segs(spark, sf, "ref"), REC, min_length=0.2)
+    return m.select("recording", r6("s").alias("s"), r6("e").alias("e"))
+
+
 IDERR = (
     REFHYP + ",\nhk AS (SELECT * FROM h0 WHERE (recording, speaker) IN (SELECT recording, speaker FROM r0)),\n" + cover_sql("cv", "r0", "hk", "recording, speaker")
     + ",\nfn AS (SELECT recording, speaker, s, e FROM cv WHERE a > 0 AND b = 0), fp AS (SELECT recording, speaker, s, e FROM cv WHERE a = 0 AND b > 0),\n"
