@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from sparkeval.session import materialize, new_path
 
@@ -53,12 +51,6 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def arrow_type(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -90,4 +82,4 @@ class Scratch:
                 at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-__all__ = ["BROADCAST_BYTES", "ORACLES", "QUERIES", "Scratch", "arrow_type", "file_bytes", "fresh", "materialize", "new_path", "query", "read"]
+__all__ = ["BROADCAST_BYTES", "ORACLES", "QUERIES", "Scratch", "file_bytes", "fresh", "materialize", "new_path", "query", "read"]

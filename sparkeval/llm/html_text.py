@@ -20,7 +20,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch
@@ -163,8 +163,12 @@ def parse(page: str) -> tuple[list[tuple[int, str, int, int, bool]], list[tuple[
     return blocks, nodes
 
 
-def _host(url: str | None) -> str:
-    return re.sub(r"^[a-z][a-z0-9+.-]*://", "", (url or "").strip().lower()).split("/")[0].split("?")[0].split("#")[0].split("@")[-1]
+def host_of(url: Column) -> Column:
+    """Lower-cased host (with its port) of a URL; empty for null."""
+    host = F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), "^[a-z][a-z0-9+.-]*://", "")
+    for mark in ("/", "?", "#"):
+        host = F.substring_index(host, mark, 1)
+    return F.substring_index(host, "@", -1)
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -173,8 +177,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html"):
             rows = set()
-            for i, (url, page) in enumerate(zip(part.column("url").to_pylist(), part.column("html").to_pylist())):
-                host = _host(url)
+            for i, (host, page) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist())):
                 blocks, nodes = parse(page or "")
                 own = {(host, path, 1, _hash(text), scope, heading) for path, text, gone, scope, heading in blocks if not gone}
                 own |= {(host, path, 0, kinds, 0, False) for path, kinds in nodes}
@@ -182,7 +185,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(("host", "path", "kind", "feature", "scope", "heading"), r[1:])) for r in rows], schema=SEEN)
 
     schema = "host string, path bigint, kind int, feature bigint, scope int, heading boolean"
-    seen = pages.select("url", "html").mapInArrow(run, schema)
+    seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, schema)
     counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("c"), F.max("scope").alias("scope"), F.max("heading").alias("heading"))
     per = counts.groupBy("host", "path", "kind").agg(
         F.sum("c").alias("shown"), F.max("c").alias("top"), F.count("*").alias("kinds"), F.sum(F.log("c")).alias("logs"), F.sum(F.col("c") * F.log("c")).alias("clogs"), F.max("scope").alias("scope"), F.max("heading").alias("heading")
@@ -225,12 +228,8 @@ def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """
     spark = pages.sparkSession
     scratch = Scratch(spark)
-    host = F.regexp_replace(F.lower(F.trim(F.coalesce("url", F.lit("")))), "^[a-z][a-z0-9+.-]*://", "")
-    for mark in ("/", "?", "#"):
-        host = F.substring_index(host, mark, 1)
-    host = F.substring_index(host, "@", -1)
     found = scratch.write(noise(style_tree(pages), low), "style-noise")
-    rows = pages.select("page_id", "url", "html").withColumn("host", host).join(found, "host", "left").select("page_id", "url", "html", "paths")
+    rows = pages.select("page_id", "url", "html").withColumn("host", host_of(F.col("url"))).join(found, "host", "left").select("page_id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html"):
