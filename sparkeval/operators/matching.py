@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from sparkeval.functions import boxes
 from sparkeval.session import materialize
 
-TILE_SCALE = 4.0  # tile side over mean box side: at most 1.6 tiles per box on average
+SIZE_STEP = 8  # objects whose larger side lies between two powers of this are of one size class
+TILE_SCALE = 2.0  # tile side of a class over its largest object side
 
 
 def _group(cols: Sequence[str]) -> Column:
@@ -24,10 +25,16 @@ def _group(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(1).alias("all"))
 
 
-def _tiled(df: DataFrame, side: Column, polygon: bool) -> DataFrame:
-    """One row per grid tile an object's extent touches."""
-    e = boxes.extent(F.col("geom"), polygon)
-    df = df.select("*", side.alias("_side"), *[c.alias(f"_{n}") for n, c in e.items()])
+def _sized(df: DataFrame, polygon: bool) -> DataFrame:
+    """Add the extent and the size class of every object."""
+    df = df.select("*", *[c.alias(f"_{n}") for n, c in boxes.extent(F.col("geom"), polygon).items()])
+    side = F.greatest(F.abs(F.col("_x2") - F.col("_x1")), F.abs(F.col("_y2") - F.col("_y1")))
+    return df.withColumn("_class", F.when(side > 0, F.ceil(F.log(side) / F.log(F.lit(float(SIZE_STEP))))).otherwise(0).cast("int"))
+
+
+def _tiled(df: DataFrame, roles: Column) -> DataFrame:
+    """One row per role and grid tile an object's extent touches; a role is a grid (of a class) and a side."""
+    df = df.withColumn("_role", F.explode(roles)).withColumn("_side", TILE_SCALE * F.pow(F.lit(float(SIZE_STEP)), F.col("_role.grid")))
     for axis in "xy":
         lo, hi = (F.floor(F.col(f"_{axis}{i}") / F.col("_side")) for i in "12")
         df = df.withColumn(f"_t{axis}", F.explode(F.sequence(F.least(lo, hi), F.greatest(lo, hi))))
@@ -39,17 +46,27 @@ def overlapping(
 ) -> DataFrame:
     """Pairs of rows of ``a`` and ``b`` that agree on ``keys`` and whose extents overlap.
 
-    Objects meet only inside a shared grid tile, and each pair is reported by the one tile that holds
-    the corner of its common area, so a crowded image is spread over its tiles and no pair comes twice.
-    The result has the columns of both sides as structs ``a`` and ``b``.
+    Objects meet only inside a shared tile, and each pair is reported by the one tile that holds the corner of its common
+    area, so a crowded image is spread over its tiles and no pair comes twice. Every size class has a grid of its own: a pair
+    meets in the grid of its larger object (of ``a`` if both are of one class), so small objects never share a tile made for
+    large ones with each other. The result has the columns of both sides as structs ``a`` and ``b``.
     """
-    geoms = a.select("geom").unionAll(b.select("geom"))
-    e = boxes.extent(F.col("geom"), polygon)
-    w, h = F.abs(e["x2"] - e["x1"]), F.abs(e["y2"] - e["y1"])
-    mean_side = F.greatest(F.avg(w), F.avg(h), F.sqrt(F.avg(w * h)))
-    side = geoms.agg(F.when(mean_side > 0, mean_side * TILE_SCALE).otherwise(1.0)).scalar()
-    left, right = _tiled(a, side, polygon), _tiled(b, side, polygon)
-    on = [*keys, "_tx", "_ty"]
+    left, right = _sized(a, polygon), _sized(b, polygon)
+    in_a, in_b = (side.agg(F.collect_set("_class")).scalar() for side in (left, right))  # a few classes
+
+    def role(grid: Column, of_a: bool) -> Column:
+        return F.struct(grid.alias("grid"), F.lit(of_a).alias("of_a"))
+
+    def larger(classes: str, of_a: bool) -> Column:
+        return F.transform(F.filter(F.col(classes), lambda c: c > F.col("_class")), lambda c: role(c, of_a))
+
+    own = F.col("_class")
+    left = left.withColumn("_all", in_b)
+    right = right.withColumn("_all", in_a)
+    # In grids of a: an object of a in its own, those of b in their own and in all larger ones; in grids of b, the others.
+    left = _tiled(left, F.concat(F.array(role(own, True)), larger("_all", False))).drop("_all")
+    right = _tiled(right, F.concat(F.array(role(own, True), role(own, False)), larger("_all", True))).drop("_all")
+    on = [*keys, "_role", "_tx", "_ty"]
     packed = ["_x1", "_y1", "_x2", "_y2"]
     left = left.select(*on, "_side", F.struct(*a.columns).alias("a"), F.struct(*packed).alias("ea"))
     right = right.select(*on, F.struct(*b.columns).alias("b"), F.struct(*packed).alias("eb"))

@@ -160,3 +160,26 @@ def test__group_of_and_filter(spark):
     m = detection.group_of_match(detection.with_boxes(g), detection.with_boxes(i))
     assert sorted(r.kind for r in m.select("kind").collect()) == ["ignored", "ignored", "matched"]
     assert detection.filter_inferences(i, 0).count() == 4 and detection.filter_inferences(i, 0.85, ["A"]).count() == 1
+
+
+def test__giant_and_tiny_objects_do_not_crowd_a_tile(spark):
+    """Tiny boxes meet in tiles of their own size, whatever else the table holds, and no overlap is lost."""
+    from pyspark.sql import functions as F
+
+    from sparkeval.operators import matching
+
+    tiny = [("crowd", k, float(k % 40), float(k // 40), 0.9) for k in range(1600)]
+    giant = [("other", k, 10.0 * k, 5.0, 1000.0) for k in range(50)] + [("crowd", 9000, -5.0, -5.0, 300.0)]
+    box = F.struct(F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + F.col("s")).alias("x2"), (F.col("y") + F.col("s")).alias("y2"))
+    rows = spark.createDataFrame(tiny + giant, "image_id string, k int, x double, y double, s double").withColumn("geom", box)
+    shifted = rows.withColumn("x", F.col("x") + 0.5).withColumn("geom", box)
+    got = matching.overlapping(rows, shifted, ["image_id"]).select("image_id", "a.k", F.col("b.k").alias("j")).collect()
+    objects = tiny + giant
+    want = sorted(
+        (i, k, j) for i, k, x, y, s in objects for h, j, u, v, t in objects
+        if i == h and max(x, u + 0.5) < min(x + s, u + 0.5 + t) and max(y, v) < min(y + s, v + t)
+    )
+    assert sorted(map(tuple, got)) == want
+    sized = matching._sized(rows, False)
+    own = matching._tiled(sized, F.array(F.struct(F.col("_class").alias("grid"), F.lit(True).alias("of_a"))))
+    assert own.where("image_id = 'crowd'").groupBy("_role", "_tx", "_ty").count().agg(F.max("count")).first()[0] <= 16
