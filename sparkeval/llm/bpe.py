@@ -173,7 +173,7 @@ class Encoder:
         if len(self.words) >= self.limit:
             self.words.clear()
         known = self.words
-        new = {w for text in words for w in text[1:] if w not in known}
+        new = set().union(*(text[1:] for text in words)).difference(known)
         known.update(zip(new, self._encode([" " + w for w in new])))
         heads = self._encode([text[0] for text in words])
         out = [head + b"".join(map(known.__getitem__, text[1:])) for head, text in zip(heads, words)]

@@ -55,7 +55,7 @@ class LibraryEncoder:
         words = [split_words(t) for t in texts]
         if len(self.words) >= self.limit:
             self.words.clear()
-        new = list({w for text in words for w in text[1:] if w not in self.words})
+        new = list(set().union(*(text[1:] for text in words)).difference(self.words))
         self.words.update(zip(new, self._ids([" " + w for w in new])))
         heads = self._ids([text[0] for text in words])
         out = [head + b"".join(map(self.words.__getitem__, text[1:])) for head, text in zip(heads, words)]
@@ -69,7 +69,7 @@ def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id", memo: int = 1 << 20, shard_bytes: int = 32 << 20) -> DataFrame:
+def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, text: str = "text", key: str = "doc_id", memo: int = 1 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """Writes the files and returns the manifest: shard, path, n_docs, n_ids and ``start`` (ids in the files before).
 
     Documents go out in ascending ``key`` (null keys first, equal keys by text), each followed by ``end_id``. Whole texts;
