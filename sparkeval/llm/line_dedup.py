@@ -58,9 +58,7 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     n = F.col("n")
     size_class = F.floor(F.log2("n"))
     both = F.when(100 * n >= percent * F.pow(F.lit(2), size_class + 1), F.array(size_class, size_class + 1)).otherwise(F.array(size_class))
-    # One bit of 64 for each prefix token: bits that the other set's lacks are tokens that it lacks.
-    bits = F.aggregate("prefix", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(t, F.lit(64)))))
-    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix", bits.alias("bits")).select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
+    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix", "bits").select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
     bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
     places = places.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
     first = places.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
@@ -70,19 +68,16 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
         """Pairs (a before b) that can be similar by size, by the places of shared tokens, and by their number.
 
         Before a shared token, the sets share at most as many tokens as the smaller place; from it on, at most what is left.
-        Of the prefix that ends first in the order, every token that is not shared is missing from the other set. How many
-        prefix tokens a pair shares is first bounded by the bits, then counted.
+        Every bit of one set that the other lacks is a token that the other lacks. Of the prefix that ends first in the
+        order, every token that is not shared is missing from the other set.
         """
         n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
         i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
         need = F.ceil(percent * (n + m) / (100 + percent))
         left = F.least(n - i, m - j)
         least = F.greatest(need - F.greatest(_ceil_share(n, percent), _ceil_share(m, percent)) + 1, F.lit(1))
-        most = F.least(
-            n - _ceil_share(n, percent) + 1 - F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("cbits"))),
-            m - _ceil_share(m, percent) + 1 - F.bit_count(F.col("cbits").bitwiseAND(F.bitwise_not("bits"))),
-        )
-        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need) & (most >= least))
+        most = F.least(n - F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("cbits"))), m - F.bit_count(F.col("cbits").bitwiseAND(F.bitwise_not("bits"))))
+        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need) & (most >= need))
         # The least number of shared tokens is one for a pair; the lowest bit says that the place of some token leaves enough.
         marked = near.select(F.col("cid").alias("a"), F.col("id").alias("b"), (least * 2 + (left >= need).cast("bigint")).alias("mark"))
         counted = marked.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("mark").alias("mark"))
@@ -127,10 +122,12 @@ def dedup_lines(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     sets = lines.select("key", "row", "place", ranked_tokens(F.col("line"), levels).alias("tokens"))
     n = F.size("tokens")
     prefix = F.when(n * (100 - percent) >= percent, F.transform(F.slice("tokens", 1, (n - _ceil_share(n, percent) + 1).cast("int")), lambda t: F.hash(t)))
-    marked = sets.select(F.xxhash64("tokens").alias("set"), n.alias("n"), F.struct("key", "row", "place").alias("first"), F.coalesce(prefix, F.array().cast("array<int>")).alias("prefix"))
-    grouped = marked.groupBy("set", "n").agg(F.min("first").alias("first"), F.first("prefix").alias("prefix"))
-    ordered = grouped.select("first.*", "n", "prefix").orderBy("key", "row", "place")
-    classes = scratch.write(ordered.select(F.monotonically_increasing_id().alias("id"), "row", "place", "n", "prefix"), "line-classes")
+    # One bit of 64 for each token.
+    bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(t, F.lit(64)).cast("int"))))
+    marked = sets.select(F.xxhash64("tokens").alias("set"), n.alias("n"), F.struct("key", "row", "place").alias("first"), F.coalesce(prefix, F.array().cast("array<int>")).alias("prefix"), bits.alias("bits"))
+    grouped = marked.groupBy("set", "n").agg(F.min("first").alias("first"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    ordered = grouped.select("first.*", "n", "prefix", "bits").orderBy("key", "row", "place")
+    classes = scratch.write(ordered.select(F.monotonically_increasing_id().alias("id"), "row", "place", "n", "prefix", "bits"), "line-classes")
     gone = removed_classes(scratch, texts.select("row", "text"), classes, levels, percent)
     kept = scratch.write(classes.join(gone, "id", "left_anti").groupBy("row").agg(F.collect_set("place").alias("kept")), "line-kept")
     scratch.drop(classes)
