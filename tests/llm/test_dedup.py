@@ -207,3 +207,51 @@ def test__exact_runs_of_fifty_words_are_all_found(docs):
     want = {i for owners in runs.values() if len(owners) > 1 for i in owners}
     got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
     assert want <= got and len(want) > 10
+
+
+def words_hashes(text):
+    import pyarrow as pa
+
+    return substring_dedup.word_hashes(pa.array([text]))[0]
+
+
+def centred(make, first):
+    """Texts from ``make()``, drawn again until the one at ``first`` is the smallest node, the centre of all groups."""
+    while True:
+        texts = make()
+        nodes = [substring_dedup.sequence_node(words_hashes(t)) for t in texts]
+        if min(nodes) == nodes[first]:
+            return texts
+
+
+def test__staggered_excerpts_keep_their_partners(docs):
+    """d shares 60 words with b and 49 with x; x, the centre, explains b's words first."""
+    rng = random.Random(31)
+    rows = []
+    for k in range(12):
+        def make():
+            whole = random_text(rng, 120, 10**6).split()
+            return [" ".join(whole[:64]) + " " + random_text(rng, 20, 10**6), " ".join(whole), random_text(rng, 20, 10**6) + " " + " ".join(whole[15:75])]
+
+        rows += [(10 * k + i, t) for i, t in enumerate(centred(make, 0))]
+    got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
+    assert got == {i for i, _ in rows}
+
+
+def test__three_way_near_copies_are_all_found(docs):
+    """x~b and b~d reach 0.8, x~d does not; x is the centre of every group."""
+    rng = random.Random(32)
+    rows = []
+    for k in range(12):
+        def make():
+            b = random_text(rng, 64, 10**6).split()
+            x, d = b.copy(), b.copy()
+            x[34] = f"x{rng.random()}"
+            d[32] = f"d{rng.random()}"
+            return [" ".join(t) for t in (x, b, d)]
+
+        rows += [(10 * k + i, t) for i, t in enumerate(centred(make, 0))]
+        x, b, d = (shingles(t, 5) for _, t in rows[-3:])
+        assert len(x & b) / len(x | b) >= 0.8 and len(b & d) / len(b | d) >= 0.8 and len(x & d) / len(x | d) < 0.8
+    got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
+    assert got == {i for i, _ in rows}
