@@ -255,3 +255,22 @@ def test__three_way_near_copies_are_all_found(docs):
         assert len(x & b) / len(x | b) >= 0.8 and len(b & d) / len(b | d) >= 0.8 and len(x & d) / len(x | d) < 0.8
     got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
     assert got == {i for i, _ in rows}
+
+
+def test__recall_of_edited_passages(docs):
+    """Pairs of 50 to 60 words with one or two edits, against an alignment of everything."""
+    rng = random.Random(41)
+    rows, want = [], set()
+    for k in range(400):
+        a = random_text(rng, rng.randint(50, 60), 10**6).split()
+        b = a.copy()
+        for _ in range(rng.choice([1, 1, 2])):
+            b[rng.randint(1, len(b) - 2)] = f"e{rng.random()}"
+        texts = [" ".join([random_text(rng, 20, 10**6), *t, random_text(rng, 20, 10**6)]) for t in (a, b)]
+        x, y = (words_hashes(t) for t in texts)
+        if substring_dedup.align(x, y, [(0, 0, 0, len(x), 0, 0, 0, len(y))], 50, 80):
+            want |= {2 * k, 2 * k + 1}
+        rows += [(2 * k + i, t) for i, t in enumerate(texts)]
+    got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
+    print(f"recall {len(got & want)} of {len(want)}")
+    assert got <= want and len(got & want) >= 0.995 * len(want) and len(want) > 300
