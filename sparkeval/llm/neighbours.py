@@ -76,14 +76,16 @@ def _usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("v") == (length[0] if length else 0))
 
 
-def nearest(vectors: DataFrame, k: int = 20, queries: str = "id % 20 = 0", curves: int = 24, window: int = 1000, axes: int = 8, bits: int = 4, sample: int = 2000, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 20, queries: str = "id % 20 = 0", curves: int = 24, window: int = 1000, axes: int = 8, bits: int = 4, sample: int = 2000, share: int = 50, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each query row, nearest first, ties to the smaller id.
 
     Candidates are all rows but the query's own. Null, zero and non-finite vectors, vectors with such components, of another
     length than most, or without id take no part. Rows that repeat id and vector are one row. Equal vectors are searched
     once and are all candidates, so copies cost nothing and none is lost. Fewer rows than ``k`` give all of them; an empty
     table gives an empty one. Only the grid spread is fitted on ``sample`` vectors; every row is indexed on every curve. A
-    query sees at least the 2 * ``window`` rows around it on each curve, or its whole partition if that is smaller.
+    query sees at least the 2 * ``window`` rows around it on each curve, or its whole partition if that is smaller. The window
+    grows with the table: it is at least a ``share``-th of the rows, and a partition holds about four windows, so recall
+    does not fall with size and the comparisons grow with the square of it.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -95,7 +97,8 @@ def nearest(vectors: DataFrame, k: int = 20, queries: str = "id % 20 = 0", curve
     index = Curves(_level(fitted, longest or 1.0), curves, axes, bits)
     sent = spark.sparkContext.broadcast((index.turns, index.spread, index.shift))
     row_bytes = 8 * (dim or 1) + 64
-    parts = max(1, int((total or 0) * 1.1 * curves * row_bytes // (32 << 20)))
+    window = max(window, -(-(total or 0) // share))
+    parts = max(1, int((total or 0) * 1.1 * curves // max((32 << 20) // row_bytes, 4 * window)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Curves.__new__(Curves)

@@ -41,6 +41,16 @@ def test__recall(spark):
         assert all(abs(s - v[q] @ v[a]) < 1e-9 for a, s in rows) and q not in {a for a, _ in rows}
 
 
+def test__windows_grow_with_the_table(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(6000, 12))
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>").repartition(6)
+    want, got = brute(np.arange(6000), v), result(neighbours.nearest(table, window=10, queries="id >= 0"))
+    hits = sum(len({a for a, _ in want[q]} & {a for a, _ in got[q]}) for q in want)
+    print(f"recall {hits / (20 * len(want))}")
+    assert hits / (20 * len(want)) > 0.95
+
+
 def test__copies_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(5)
     v = rng.normal(size=(300, 8))
