@@ -32,9 +32,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar sets of five-word shingles: the smallest doc_id, once. Rows without an id stay."""
-    gone = near_dedup.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One document of each group of similar sets of five-word shingles: the smallest doc_id, once. Rows without an id stay.
+
+    Rows that repeat a doc_id with another text are judged by their own text.
+    """
+    code = fresh(docs.columns, "code")
+    gone = near_dedup.near_duplicates(docs, width=5, percent=80, codes=True).where("NOT kept").select("doc_id", F.col("code").alias(code)).distinct()
+    named = docs.where("doc_id IS NOT NULL").withColumn(code, F.xxhash64("text")).join(gone, ["doc_id", code], "left_anti")
+    return named.dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

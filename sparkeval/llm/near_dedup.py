@@ -67,8 +67,9 @@ def _sets(part: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, node and bands of each row; no bands where only an equal set can be similar, no node for an empty set."""
+    """doc_id, n, node, bands (and code, if there is one) of each row; no bands where only an equal set can be similar, no node for an empty set."""
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
+    more = [c for c in docs.columns if c == "code"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
@@ -78,10 +79,10 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for i, keys in zip(large, band_keys(sketch([sets[i] for i in large])) if large else []):
                 bands[i] = keys
             nodes = [set_node(s) if len(s) else None for s in sets]
-            columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "node", "bands"])
+            columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), *(part.column(c) for c in more)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "node", "bands", *more])
 
-    return docs.mapInArrow(run, "doc_id bigint, " + SIGNED)
+    return docs.mapInArrow(run, "doc_id bigint, " + SIGNED + "".join(f", {c} bigint" for c in more))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -113,17 +114,20 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", codes: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links) and kept (doc_id is component_id).
 
     A document's set: distinct runs of ``width`` words (runs outside space and 0x09-0x0D, A-Z lower-cased), or all words as
     one run if there are fewer. Null, empty and wordless texts have an empty set, link with nothing and stay. A row without
     doc_id has no component and stays. Rows that repeat a doc_id keep their rows: each is linked by its own text. An empty
-    table gives an empty one. Sets are held as 64-bit hashes of their runs. Extra columns are ignored.
+    table gives an empty one. Sets are held as 64-bit hashes of their runs. Extra columns are ignored. ``codes`` adds a column
+    ``code``, the xxhash64 of the row's text, which tells apart the rows of a repeated doc_id.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    more = ["code"] if codes else []
+    texts = texts.withColumn("code", F.xxhash64("text")) if codes else texts
     signed = scratch.write(signatures(texts, width, percent), "signatures")
     named = signed.where("doc_id IS NOT NULL AND node IS NOT NULL")
     classes = scratch.write(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
@@ -131,10 +135,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     rooted = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     component = scratch.write(rooted.join(least, "root").select("node", "component_id"), "components")
-    out = signed.select("doc_id", "n", "node").join(component, "node", "left")
+    out = signed.select("doc_id", "n", "node", *more).join(component, "node", "left")
     alone = F.col("doc_id").isNull() | F.col("node").isNull()
     component_id = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    result = out.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), (alone | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+    result = out.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"), (alone | (F.col("doc_id") == F.col("component_id"))).alias("kept"), *more)
     scratch.drop(classes)
     return result
 

@@ -58,6 +58,15 @@ def test__near_duplicates_go_but_one(spark):
     assert sorted((r.doc_id for r in out.collect()), key=repr) == sorted([3, 1, None, 7, 8], key=repr)
 
 
+def test__near_duplicates_go_by_row(spark):
+    rng = random.Random(3)
+    base, clean = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(100)) for _ in range(2))
+    rows = [(1, base), (2, base + " more"), (2, clean), (None, clean), (None, clean)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, code string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([rows[0], *rows[2:]], key=repr)
+
+
 def test__pipeline_runs(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert 0 < out.count() <= spark.read.parquet(f"{FOLDER}/documents.parquet").count()
