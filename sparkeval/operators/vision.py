@@ -102,14 +102,18 @@ def keypoint_results(faces: DataFrame, images: DataFrame, nmse_threshold: float
     return out.withColumn("outcome", outcome)
 
 
-def keypoint_case(results: DataFrame, by: Sequence[str], points: int = 5) -> DataFrame:
-    """Mean distances, mean MSE and NMSE, failure counts and rates per test case."""
+def keypoint_case(results: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Mean distances (``avg_dist``, an entry for each keypoint), mean MSE and NMSE, failure counts and rates per test case."""
     align, detect = F.count_if(F.col("outcome") == "failure_to_align"), F.count_if(F.col("outcome") == "failure_to_detect")
-    return results.groupBy(*by).agg(
-        *[F.avg(F.get("dist", F.lit(i))).alias(f"avg_dist_{i}") for i in range(points)],
+    cases = results.groupBy(*by).agg(
         F.avg("mse").alias("avg_mse"), F.avg("nmse").alias("avg_nmse"), align.alias("n_fail_to_align"), detect.alias("n_fail_to_detect"),
         ((align + detect) / F.count("*")).alias("failure_rate"),
     )
+    each = results.select(*by, F.posexplode("dist").alias("_point", "_dist")).groupBy(*by, "_point").agg(F.avg("_dist").alias("_avg"))
+    means = each.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("_point", "_avg"))), lambda x: x["_avg"]).alias("avg_dist"))
+    means = means.withColumnsRenamed({c: f"_by_{i}" for i, c in enumerate(by)})
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)]
+    return cases.join(means, same, "left").drop(*[f"_by_{i}" for i in range(len(by))])
 
 
 # -- tracks --------------------------------------------------------------------

@@ -141,7 +141,7 @@ def d22(spark, sf):
 def e42(spark, sf):
     cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("image_id"), F.col("o_orderpriority").alias("priority"))
     t = vision.keypoint_case(keypoints(spark, sf).join(cases, "image_id"), ["priority"])
-    return t.select("priority", F.round("avg_dist_0", 4).alias("avg_dist_0"), r6("avg_mse").alias("avg_mse"), r6("avg_nmse").alias("avg_nmse"), "n_fail_to_align", "n_fail_to_detect", r6("failure_rate").alias("failure_rate"))
+    return t.select("priority", F.round(F.get("avg_dist", F.lit(0)), 4).alias("avg_dist_0"), r6("avg_mse").alias("avg_mse"), r6("avg_nmse").alias("avg_nmse"), "n_fail_to_align", "n_fail_to_detect", r6("failure_rate").alias("failure_rate"))
 
 
 # -- tracks ------------------------------------------------------------------------

@@ -274,3 +274,12 @@ def test__suite_edits_and_copy(spark):
     assert sorted(tuple(r) for r in suites.copy_standard(s, "a", "b", ["g"]).collect()) == [("a", "g", "x"), ("b", "g", "x")]
     with pytest.raises(ValueError):
         suites.copy_standard(s, "a", "a", ["g"])
+
+
+def test__keypoint_case_reports_every_keypoint(spark):
+    from sparkeval.operators import vision
+
+    rows = [("a", [float(i) for i in range(7)]), ("a", [float(i + 2) for i in range(7)]), (None, [1.0] * 6), ("c", None)]
+    table = spark.createDataFrame([(c, d, 0.1, 0.1, "success" if d else "failure_to_detect") for c, d in rows], "case string, dist array<double>, mse double, nmse double, outcome string")
+    got = {r["case"]: r.avg_dist for r in vision.keypoint_case(table, ["case"]).collect()}
+    assert got == {"a": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], None: [1.0] * 6, "c": None}
