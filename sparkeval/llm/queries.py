@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkeval.llm import bpe, decontamination, html_text, language_id, line_dedup, near_dedup, neighbours, quality, sql, substring_dedup, token_files
+from sparkeval.llm import bpe, decontamination, html_text, infill, language_id, license_scan, line_dedup, near_dedup, neighbours, quality, spelling, sql, substring_dedup, token_files
 from sparkeval.llm.common import ORACLES, QUERIES, new_path, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,3 +78,18 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query("op11_fill_in_middle", sql.INFILL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(read(spark, sf_dir, "documents"))
+
+
+@query("op12_license_scan", sql.LICENSES)
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants", sql.VARIANTS)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
