@@ -12,7 +12,6 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkeval.functions.types import struct_of
@@ -24,9 +23,9 @@ def _block_count(df: DataFrame, rows: int) -> int:
     return max(1, -(-df.count() // rows))
 
 
-def block_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, fn: Callable, schema: str, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Apply ``fn(a_block, b_block)`` to every pair of blocks; blocks hold about ``rows`` rows."""
-    na, nb = _block_count(a, rows), _block_count(b, rows)
+def block_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, fn: Callable, schema: str, rows: int = BLOCK_ROWS, b_rows: int | None = None) -> DataFrame:
+    """Apply ``fn(a_block, b_block)`` to every pair of blocks; blocks hold about ``rows`` rows, those of ``b`` about ``b_rows`` if given."""
+    na, nb = _block_count(a, rows), _block_count(b, b_rows or rows)
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = a.withColumn("_a", F.pmod(F.xxhash64(a_id), F.lit(na)).cast("int")).withColumn("_b", spread(nb))
     right = b.withColumn("_b", F.pmod(F.xxhash64(b_id), F.lit(nb)).cast("int")).withColumn("_a", spread(na))
@@ -37,62 +36,6 @@ def matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in series]) if len(series) else np.zeros((0, 1))
 
 
-def similarity_top_k(queries: DataFrame, corpus: DataFrame, k: int, cosine: bool = False, rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, item_id, sim, rank): the k most similar items of each query, itself excluded, ties by item id.
-
-    Each block pair keeps its own best k per query; the best of those are the best overall.
-    """
-
-    def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        cm, ids = matrix(c["embedding"]), c["item_id"].to_numpy()
-        by_id = np.argsort(ids, kind="stable")
-        cm, ids = cm[by_id], ids[by_id]
-        if cosine and len(cm):
-            cm = cm / np.linalg.norm(cm, axis=1, keepdims=True)
-        for start in range(0, len(q), 256):
-            part = q.iloc[start : start + 256]
-            qm = matrix(part["embedding"])
-            if cosine:
-                qm = qm / np.linalg.norm(qm, axis=1, keepdims=True)
-            if not len(ids):
-                continue
-            sims = qm @ cm.T
-            sims[part["query_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-            order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-            for row, qid, pick in zip(sims, part["query_id"], order):
-                keep = pick[np.isfinite(row[pick])]
-                out.append(pd.DataFrame({"query_id": qid, "item_id": ids[keep], "sim": row[keep]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "item_id": [], "sim": []})
-
-    found = block_join(queries, corpus, "query_id", "item_id", best, "query_id long, item_id long, sim double", rows)
-    order = W.partitionBy("query_id").orderBy(F.col("sim").desc(), "item_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def true_item_rank(queries: DataFrame, corpus: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, similarity, rank) of each query's true item; ``queries`` carry ``true_id`` and ``similarity``.
-
-    The rank is one more than the number of other items at least as similar, ties by item id.
-    """
-
-    def ahead(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        n = np.zeros(len(q), dtype=np.int64)
-        cm, ids = matrix(c["embedding"]), c["item_id"].to_numpy()
-        for start in range(0, len(q) if len(ids) else 0, 256):
-            part = q.iloc[start : start + 256]
-            sims = matrix(part["embedding"]) @ cm.T
-            true, own = part["similarity"].to_numpy()[:, None], part["query_id"].to_numpy()[:, None]
-            target = part["true_id"].to_numpy()[:, None]
-            close = np.isclose(sims, true, rtol=0, atol=1e-12)
-            first = (sims > true) & ~close | close & (ids[None, :] < target)
-            n[start : start + len(part)] = (first & (ids[None, :] != own) & (ids[None, :] != target)).sum(axis=1)
-        return pd.DataFrame({"query_id": q["query_id"], "similarity": q["similarity"], "n": n})
-
-    parts = block_join(queries, corpus, "query_id", "item_id", ahead, "query_id long, similarity double, n long", rows)
-    return parts.groupBy("query_id", "similarity").agg((F.sum("n") + 1).alias("rank"))
-
-
 @F.pandas_udf(struct_of(n="long", dist="double", dist2="double", iou="double"))
 def box_block_sums(a: pd.Series, b: pd.Series, same: pd.Series) -> pd.DataFrame:
     """Sums over the box pairs of two blocks: pairs, centre distances, their squares, overlaps."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkeval.functions import boxes
 from sparkeval.functions.ratios import r6
 from sparkeval.functions.vectors import dot
-from sparkeval.operators import blocks, detection, joins, matching, polygons, vision
+from sparkeval.operators import blocks, detection, joins, matching, polygons, similarity, vision
 from sparkeval.plans import detection as det
 from sparkeval.plans import views
 from sparkeval.plans.detection import DET_RESULTS, IMAGE_MULTI, IOU, match_sql
@@ -311,13 +311,13 @@ TOP = "tp AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DE
 
 @query("c13_top10_similar", "SELECT query_id, item_id, round(sim, 6) AS sim, rank FROM tp WHERE rank <= 10", ctes=TOP)
 def c13(spark, sf):
-    top = blocks.similarity_top_k(*sides(spark, sf), 10)
+    top = similarity.similarity_top_k(*sides(spark, sf), 10)
     return top.select("query_id", "item_id", r6("sim").alias("sim"), F.col("rank").cast("long").alias("rank"))
 
 
 @query("g03_top_k_per_query", "SELECT query_id, item_id, rank FROM tp WHERE rank <= 3", ctes=TOP)
 def g03(spark, sf):
-    return blocks.similarity_top_k(*sides(spark, sf), 3).select("query_id", "item_id", F.col("rank").cast("long").alias("rank"))
+    return similarity.similarity_top_k(*sides(spark, sf), 3).select("query_id", "item_id", F.col("rank").cast("long").alias("rank"))
 
 
 @query("f01_true_item_rank", """SELECT query_id, round(sim, 6) AS similarity, rank, round(1.0 / rank, 6) AS reciprocal_rank, rank <= 1 AS is_top_01, rank <= 5 AS is_top_05, rank <= 10 AS is_top_10, rank <= 25 AS is_top_25, rank <= 50 AS is_top_50, rank > 50 AS total_miss
@@ -331,7 +331,7 @@ def f01(spark, sf):
     q = v.join(least, "label").select(F.col("vec_id").alias("query_id"), "embedding", F.when(F.col("vec_id") == F.col("m1"), F.col("m2")).otherwise(F.col("m1")).alias("true_id"))
     true = v.select(F.col("vec_id").alias("true_id"), F.col("embedding").alias("other"))
     q = q.join(true, "true_id").withColumn("similarity", dot("embedding", "other")).select("query_id", "embedding", "true_id", "similarity")
-    ranks = blocks.true_item_rank(q, sides(spark, sf)[1])
+    ranks = similarity.true_item_rank(q, sides(spark, sf)[1])
     return ranks.select(
         "query_id", r6("similarity").alias("similarity"), "rank", r6(1 / F.col("rank")).alias("reciprocal_rank"),
         *[(F.col("rank") <= k).alias(f"is_top_{k:02d}") for k in (1, 5, 10, 25, 50)], (F.col("rank") > 50).alias("total_miss"),
@@ -341,14 +341,14 @@ def f01(spark, sf):
 @query("g04_nearest_neighbours", """SELECT query_id, item_id, round(sim, 6) AS sim, rank FROM (SELECT q.vec_id AS query_id, c.vec_id AS item_id, list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS sim,
   row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) DESC, c.vec_id) AS rank FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id) WHERE rank <= 5""")
 def g04(spark, sf):
-    top = blocks.similarity_top_k(*sides(spark, sf), 5, cosine=True)
+    top = similarity.similarity_top_k(*sides(spark, sf), 5, cosine=True)
     return top.select("query_id", "item_id", r6("sim").alias("sim"), F.col("rank").cast("long").alias("rank"))
 
 
 @query("f10_positional_rank", "SELECT query_id, rank, item_id FROM tp WHERE rank <= 10", ctes=TOP)
 def f10(spark, sf):
     """A ranked list of ten items, as C13 gives it, becomes one row per item with its rank."""
-    top = blocks.similarity_top_k(*sides(spark, sf), 10)
+    top = similarity.similarity_top_k(*sides(spark, sf), 10)
     lists = top.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("ranked"))  # ten items
     return lists.select("query_id", F.posexplode("ranked").alias("p", "item")).select("query_id", (F.col("p") + 1).cast("long").alias("rank"), "item.item_id")
 
@@ -359,26 +359,24 @@ AP = """SELECT query_id, round(sum(CASE WHEN relevant THEN hits / rank ELSE 0 EN
 
 @query("e20_retrieval_ap", AP.format(""), ctes=TOP)
 def e20_full(spark, sf):
-    """Average precision over the whole ranking."""
-    return retrieval_ap(spark, sf, views.vectors(spark, sf).count())
+    """Average precision over the whole ranking, from the ranks of the relevant items alone."""
+    v = views.vectors(spark, sf).select("vec_id", "embedding", "label")
+    ap = similarity.retrieval_average_precision(v.withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "item_id"))
+    return ap.select("query_id", r6("ap").alias("ap"))
 
 
 @query("e20_retrieval_ap_at_50", AP.format("WHERE rank <= 50"), ctes=TOP)
 def e20_at_50(spark, sf):
     """AP(50): what lies below rank 50 counts as not found."""
-    return retrieval_ap(spark, sf, 50)
-
-
-def retrieval_ap(spark, sf, n):
     from pyspark.sql import Window as W
 
-    top = blocks.similarity_top_k(*sides(spark, sf), n)
+    top = similarity.similarity_top_k(*sides(spark, sf), 50)
     labels = views.vectors(spark, sf).select("vec_id", "label")
     sizes = labels.groupBy("label").agg((F.count("*") - 1).alias("gtp"))
     q = labels.join(sizes, "label").select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql"), "gtp")
     rows = top.join(q, "query_id").join(labels.select(F.col("vec_id").alias("item_id"), F.col("label").alias("il")), "item_id")
     rel = (F.col("ql") == F.col("il")).cast("int")
-    hits = F.sum(rel).over(W.partitionBy("query_id").orderBy("rank"))  # n rows a query
+    hits = F.sum(rel).over(W.partitionBy("query_id").orderBy("rank"))  # 50 rows a query
     return rows.withColumn("p", rel * hits / F.col("rank")).groupBy("query_id").agg(r6(F.sum("p") / F.max("gtp")).alias("ap"))
 
 

@@ -150,19 +150,6 @@ def test__span_outcomes(spark):
     assert got == [("CLS_ERROR", 1), ("CLS_LOC_ERROR", 3), ("FN", 1), ("FN", 2), ("FN", 3), ("LOC_ERROR", 2), ("OVR_GEN", 4), ("TP", 0)]
 
 
-def test__block_search_is_independent_of_block_size(spark):
-    rnd = np.random.default_rng(2)
-    vs = [(i, [float(x) for x in v]) for i, v in enumerate(rnd.normal(size=(90, 6)))]
-    q = spark.createDataFrame(vs, "query_id long, embedding array<double>")
-    c = spark.createDataFrame(vs, "item_id long, embedding array<double>")
-    top = lambda n: sorted((r.query_id, r.rank, r.item_id) for r in blocks.similarity_top_k(q, c, 4, rows=n).collect())
-    m = np.array([v for _, v in vs])
-    sims = m @ m.T
-    np.fill_diagonal(sims, -np.inf)
-    want = sorted((i, k + 1, int(j)) for i in range(90) for k, j in enumerate(np.argsort(-sims[i])[:4]))
-    assert top(4096) == want and top(17) == want
-
-
 def test__box_pair_sums_are_independent_of_block_size(spark):
     rnd = random.Random(4)
     rows = [(im, k, x, y, x + 3.0, y + 3.0) for im in range(3) for k in range(20) for x, y in [(rnd.uniform(0, 9), rnd.uniform(0, 9))]]
