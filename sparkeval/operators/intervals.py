@@ -1,8 +1,7 @@
 """Time segments and text spans: coverage, merging, subtraction, co-occurrence and speaker mapping.
 
-Segments become +1/-1 events at their ends; counts per distinct time and running sums give how many
-segments are open in every elementary interval. Nothing pairs segments with segments, so a recording
-with very many overlapping ones costs one event per end.
+All of them come from one sweep over the segments' ends (see sweep). Nothing pairs segments with
+segments, so a recording with very many overlapping ones costs one event per end.
 """
 
 from __future__ import annotations
@@ -15,78 +14,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkeval.functions.ratios import ratio
+from sparkeval.functions.types import struct_of
 from sparkeval.operators.matching import overlapping
-from sparkeval.operators.running import following, running
-from sparkeval.session import materialize
+from sparkeval.operators.sweep import Sweep
 
 MIN_ERROR = 0.2  # shortest identification error in seconds
 
 
-def coverage(events: DataFrame, by: Sequence[str], counts: Sequence[str]) -> DataFrame:
-    """(by, s, e, counts): open segments per elementary interval; ``events`` hold by, t and count changes."""
-    steps = events.groupBy(*by, "t").agg(*[F.sum(c).alias(f"_d_{c}") for c in counts])
-    steps = materialize(steps, "steps")  # read for edges, range totals, rows and neighbours
-    at = running(steps, by, "t", {c: F.col(f"_d_{c}") for c in counts}, descending=False, ahead=["t"])
-    return at.where("next IS NOT NULL").select(*by, F.col("t").alias("s"), F.col("next.t").alias("e"), *counts)
+def _either(n_ref: np.ndarray, n_hyp: np.ndarray) -> np.ndarray:
+    return n_ref + n_hyp > 0
 
 
-def ends(segments: DataFrame, by: Sequence[str], count: str, counts: Sequence[str]) -> DataFrame:
-    """Events of segments (by, s, e) that change one of several counts."""
-    zero = [F.lit(0).alias(c) for c in counts if c != count]
-    ends_ = F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias(count)), F.struct(F.col("e").alias("t"), F.lit(-1).alias(count)))).alias("v")
-    return segments.where("s < e").select(*by, ends_).select(*by, "v.t", f"v.{count}", *zero)
+def _only_ref(n_ref: np.ndarray, n_hyp: np.ndarray) -> np.ndarray:
+    return (n_ref > 0) & (n_hyp == 0)
 
 
-def joined(intervals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Merge intervals that touch: interior ends cancel, the rest alternate start and end."""
-    edge = F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("d")), F.struct(F.col("e").alias("t"), F.lit(-1).alias("d")))).alias("v")
-    net = intervals.select(*by, edge).groupBy(*by, "v.t").agg(F.sum("v.d").alias("d")).where("d <> 0")
-    net = materialize(net, "ends")
-    return following(net, by, "t", ["t"], descending=False).where("d > 0").select(*by, F.col("t").alias("s"), F.col("next.t").alias("e"))
+def _only_hyp(n_ref: np.ndarray, n_hyp: np.ndarray) -> np.ndarray:
+    return (n_hyp > 0) & (n_ref == 0)
 
 
 def merged(segments: DataFrame, by: Sequence[str]) -> DataFrame:
     """Union of overlapping or touching segments per group."""
-    return joined(coverage(ends(segments, by, "n", ["n"]), by, ["n"]).where("n > 0"), by)
-
-
-def both_sides(ref: DataFrame, hyp: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by, s, e, n_ref, n_hyp) per elementary interval."""
-    names = ["n_ref", "n_hyp"]
-    return coverage(ends(ref, by, "n_ref", names).unionByName(ends(hyp, by, "n_hyp", names)), by, names)
+    return Sweep(segments, None, by).runs(open=_either).drop("condition")
 
 
 def missed(ref: DataFrame, hyp: DataFrame, by: Sequence[str], min_length: float = 0.0) -> DataFrame:
     """Parts of ``ref`` that ``hyp`` does not cover, at least ``min_length`` long."""
-    gaps = joined(both_sides(ref, hyp, by).where("n_ref > 0 AND n_hyp = 0"), by)
+    gaps = Sweep(ref, hyp, by).runs(missed=_only_ref).drop("condition")
     return gaps.where(F.col("e") - F.col("s") >= min_length)
 
 
 def identification_errors(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str) -> DataFrame:
     """Merged intervals per recording where some reference speaker's speech differs between the sides."""
     by = [recording, speaker]
-    known = ref.select(*by).distinct()
-    cover = both_sides(ref, hyp.join(known, by, "left_semi"), by)
-    errors = [joined(cover.where(c), by).where(F.col("e") - F.col("s") >= MIN_ERROR) for c in ("n_ref > 0 AND n_hyp = 0", "n_hyp > 0 AND n_ref = 0")]
-    return merged(errors[0].unionByName(errors[1]).drop(speaker), [recording])
+    known = hyp.join(ref.select(*by).distinct(), by, "left_semi")
+    errors = Sweep(ref, known, by).runs(missed=_only_ref, added=_only_hyp).where(F.col("e") - F.col("s") >= MIN_ERROR)
+    return merged(errors.drop(speaker), [recording])
 
 
 def co_occurrence(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str) -> DataFrame:
     """(recording, ref_speaker, hyp_speaker, seconds): summed overlap of all segment pairs.
 
-    At any time the overlapping pairs number (open on one side) x (open on the other), so the sum is an
-    integral over elementary intervals; events repeat only per speaker of the other side.
+    At any time the overlapping pairs number (open on one side) x (open on the other), so the sum is an integral over the
+    sweep's times.
     """
-    pairs = ref.select(recording, F.col(speaker).alias("ref_speaker")).distinct().join(
-        hyp.select(recording, F.col(speaker).alias("hyp_speaker")).distinct(), recording
-    )
-    by, names = [recording, "ref_speaker", "hyp_speaker"], ["n_ref", "n_hyp"]
-    r = ref.withColumnRenamed(speaker, "ref_speaker").join(pairs, [recording, "ref_speaker"])
-    h = hyp.withColumnRenamed(speaker, "hyp_speaker").join(pairs, [recording, "hyp_speaker"])
-    cover = coverage(ends(r, by, "n_ref", names).unionByName(ends(h, by, "n_hyp", names)), by, names)
-    both = cover.where("n_ref > 0 AND n_hyp > 0")
-    return both.groupBy(*by).agg(F.sum((F.col("e") - F.col("s")) * F.col("n_ref") * F.col("n_hyp")).alias("seconds"))
+    pairs = Sweep(ref, hyp, [recording], speaker).totals().where("kind = 'pairs'")
+    return pairs.select(recording, F.col("ref").alias("ref_speaker"), F.col("hyp").alias("hyp_speaker"), F.col("x").alias("seconds"))
 
 
 def best_assignment(weight: np.ndarray) -> list[tuple[int, int]]:
@@ -140,47 +113,53 @@ def speaker_mapping(seconds: DataFrame, recording: str) -> DataFrame:
     return cells.select(recording, F.explode(_assign("c")).alias("m")).select(recording, "m.*").where("seconds > 0")
 
 
-def diarization_metrics(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str) -> DataFrame:
-    """Error rates per recording from durations: diarization, identification, detection, purity, coverage, Jaccard."""
-    by = [recording, speaker]
-    sides = ref.withColumn("_ref", F.lit(True)).unionByName(hyp.withColumn("_ref", F.lit(False)))
-    both = materialize(merged(sides, ["_ref", *by]), "merged")
-    r, h = both.where("_ref").drop("_ref"), both.where("NOT _ref").drop("_ref")
-    dt = F.col("e") - F.col("s")
-    cover = both_sides(r.drop(speaker), h.drop(speaker), [recording])
-    a, b = F.col("n_ref"), F.col("n_hyp")
-    zero = F.lit(0)
-    base = cover.groupBy(recording).agg(
-        F.sum(dt * a).alias("ref_s"), F.sum(dt * b).alias("hyp_s"), F.sum(dt * F.greatest(a - b, zero)).alias("miss"),
-        F.sum(dt * F.greatest(b - a, zero)).alias("false_alarm"), F.sum(dt * F.least(a, b)).alias("shared"),
-        F.sum(F.when((a > 0) & (b > 0), dt).otherwise(0.0)).alias("speech_tp"), F.sum(F.when((a == 0) & (b > 0), dt).otherwise(0.0)).alias("speech_fp"),
-        F.sum(F.when((a > 0) & (b == 0), dt).otherwise(0.0)).alias("speech_fn"), F.sum(F.when((a == 0) & (b == 0), dt).otherwise(0.0)).alias("speech_tn"),
-    )
-    seconds = materialize(co_occurrence(r, h, recording, speaker), "seconds")
-    mapping = materialize(speaker_mapping(seconds, recording), "mapping")
-    mapped = mapping.groupBy(recording).agg(F.sum("seconds").alias("correct"))
-    named = seconds.groupBy(recording).agg(F.sum(F.when(F.col("ref_speaker") == F.col("hyp_speaker"), F.col("seconds")).otherwise(0.0)).alias("identified"))
-    top = lambda side: seconds.groupBy(recording, side).agg(F.max("seconds").alias("m")).groupBy(recording).agg(F.sum("m").alias(side[:3] + "_best"))
-    length = lambda d, n: d.groupBy(*by).agg(F.sum(dt).alias(n))
-    per = length(r, "rs").withColumnRenamed(speaker, "ref_speaker").join(mapping, [recording, "ref_speaker"], "left")
-    per = per.join(length(h, "hs").withColumnRenamed(speaker, "hyp_speaker"), [recording, "hyp_speaker"], "left")
-    either = F.col("rs") + F.coalesce("hs", F.lit(0.0)) - F.coalesce("seconds", F.lit(0.0))
-    jaccard = per.groupBy(recording).agg(F.avg(1 - F.coalesce("seconds", F.lit(0.0)) / either).alias("jaccard_error_rate"))
-    out = base
-    for part in (mapped, named, top("hyp_speaker"), top("ref_speaker"), jaccard):
-        out = out.join(part, recording, "left")
-    out = out.fillna(0.0, ["correct", "identified", "hyp_best", "ref_best"])
-    c = F.col
-    return out.select(
-        recording,
-        ratio(c("false_alarm") + c("miss") + c("shared") - c("correct"), "ref_s").alias("diarization_error_rate"),
-        "jaccard_error_rate",
-        ratio("hyp_best", "hyp_s").alias("purity"), ratio("ref_best", "ref_s").alias("coverage"),
-        ratio(c("speech_tp") + c("speech_tn"), c("speech_tp") + c("speech_tn") + c("speech_fp") + c("speech_fn")).alias("detection_accuracy"),
-        ratio("speech_tp", c("speech_tp") + c("speech_fp")).alias("detection_precision"), ratio("speech_tp", c("speech_tp") + c("speech_fn")).alias("detection_recall"),
-        ratio(c("false_alarm") + c("miss") + c("shared") - c("identified"), "ref_s").alias("identification_error_rate"),
-        ratio("identified", "hyp_s").alias("identification_precision"), ratio("identified", "ref_s").alias("identification_recall"),
+_RATES = (
+    "diarization_error_rate", "jaccard_error_rate", "purity", "coverage", "detection_accuracy", "detection_precision", "detection_recall",
+    "identification_error_rate", "identification_precision", "identification_recall",
+)
+
+
+def _rates(totals: dict[tuple, float]) -> dict[str, float]:
+    """Error rates of one recording from its total durations by (kind, ref, hyp)."""
+    g = {kind: x for (kind, r, h), x in totals.items() if r is None and h is None}
+    rs = {r: x for (kind, r, h), x in totals.items() if kind == "length" and r is not None}
+    hs = {h: x for (kind, r, h), x in totals.items() if kind == "length" and h is not None}
+    both = {(r, h): x for (kind, r, h), x in totals.items() if kind == "both"}
+    # As in speaker_mapping, the speakers are those with shared time, in order of name.
+    refs, hyps = sorted({r for r, _ in both}), sorted({h for _, h in both})
+    weight = np.array([[both.get((r, h), 0.0) for h in hyps] for r in refs]).reshape(len(refs), len(hyps))
+    chosen = {refs[i]: hyps[j] for i, j in best_assignment(weight) if weight[i, j] > 0} if refs else {}
+    correct = sum(both[r, h] for r, h in chosen.items())
+    identified = sum(x for (r, h), x in both.items() if r == h)
+    best = lambda side: sum(max(x for key, x in both.items() if key[side] == name) for name in {key[side] for key in both})
+    jaccard = []
+    for r, length in rs.items():
+        seconds = both.get((r, chosen.get(r)), 0.0)
+        jaccard.append(1 - seconds / (length + (hs.get(chosen.get(r), 0.0)) - seconds))
+    per = lambda a, b: a / b if b else 0.0
+    tp, fp, fn, tn = (g.get(f"speech_{k}", 0.0) for k in ("tp", "fp", "fn", "tn"))
+    wrong = g.get("false_alarm", 0.0) + g.get("miss", 0.0) + g.get("shared", 0.0)
+    ref_s, hyp_s = g.get("ref_s", 0.0), g.get("hyp_s", 0.0)
+    values = (
+        per(wrong - correct, ref_s), sum(jaccard) / len(jaccard) if jaccard else None, per(best(1), hyp_s), per(best(0), ref_s),
+        per(tp + tn, tp + fp + fn + tn), per(tp, tp + fp), per(tp, tp + fn), per(wrong - identified, ref_s), per(identified, hyp_s), per(identified, ref_s),
     )
+    return dict(zip(_RATES, values))
+
+
+@F.pandas_udf(struct_of(**dict.fromkeys(_RATES, "double")))
+def _all_rates(totals: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_rates({(x["kind"], x["ref"], x["hyp"]): x["x"] for x in rows}) for rows in totals], columns=list(_RATES))
+
+
+def diarization_metrics(ref: DataFrame, hyp: DataFrame, recording: str, speaker: str) -> DataFrame:
+    """Error rates per recording from durations: diarization, identification, detection, purity, coverage, Jaccard.
+
+    All durations come from one sweep; a recording's totals, one for each pair of its speakers, then meet in one row.
+    """
+    totals = Sweep(ref, hyp, [recording], speaker).totals().where("kind <> 'pairs'")
+    rows = totals.groupBy(recording).agg(F.collect_list(F.struct("kind", "ref", "hyp", "x")).alias("totals"))
+    return rows.select(recording, _all_rates("totals").alias("m")).select(recording, "m.*")
 
 
 def span_outcomes(gts: DataFrame, preds: DataFrame, tags: Sequence[str] | None = None) -> DataFrame:
