@@ -288,7 +288,7 @@ def j03(spark, sf):
     """Every event arrives twice; one call per id is kept."""
     s = calls(event_stream(spark, sf)).select("event_id", "start", "user_id", "value")
     twice = s.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("_copy")
-    return ingest.first_calls(twice, ["event_id"]).select("event_id", "user_id", "value")
+    return ingest.first_calls(twice, ["event_id"], new_path(spark, "first-calls")).select("event_id", "user_id", "value")
 
 
 @query("j04_call_elapsed", "SELECT event_id, round(floor(round(value * 1000000, 3)) / 1000000, 6) AS elapsed_s, epoch_us(ts) AS start_us FROM events")
@@ -304,15 +304,15 @@ LIVE = """SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS window_us, event_t
 @query("j05_live_metrics", LIVE)
 def j05(spark, sf):
     s = event_stream(spark, sf).selectExpr("ts", "event_type AS stratum", "event_id % 3 AS tp", "event_id % 2 AS fp", "event_id % 5 AS fn")
-    rates = ingest.live_rates(ingest.live_counts(s, "ts", ["stratum"]))
+    rates = ingest.live_rates(ingest.live_counts(s, "ts", ["stratum"], new_path(spark, "live")))
     return rates.select(F.unix_micros("window_start").alias("window_us"), "stratum", "tp", "fp", "fn", "n", r6("precision").alias("precision"), r6("recall").alias("recall"))
 
 
 @query("j06_progress_per_case", "SELECT event_type AS test_case, count(*) AS samples, CAST(sum(event_id % 3) AS BIGINT) AS tp FROM events GROUP BY 1")
 def j06(spark, sf):
-    """Samples evaluated so far, per test case: each batch adds its counts, whatever the number of cases."""
+    """Samples evaluated so far, per test case, whatever the number of cases."""
     s = event_stream(spark, sf).selectExpr("event_type AS test_case", "event_id % 3 AS tp")
-    return ingest.batch_totals(s, "progress", ["test_case"], {"samples": F.count("*"), "tp": F.sum("tp")})
+    return ingest.running_totals(s, ["test_case"], {"samples": F.count("*"), "tp": F.sum("tp")}, new_path(spark, "progress"))
 
 
 # -- user-defined evaluation --------------------------------------------------------

@@ -349,7 +349,7 @@ def e32(spark, sf):
 def e33(spark, sf):
     from sparkeval.sources.datasets import change_counts
 
-    return change_counts(views.ver(spark, sf, 1), views.ver(spark, sf, 2))
+    return change_counts(views.ver(spark, sf, 1), views.ver(spark, sf, 2), ["id"])
 
 
 @query("e34_difficulty_score", "SELECT id, round(avg(d), 6) AS difficulty, round(max(d) FILTER (WHERE model = 'b') - max(d) FILTER (WHERE model = 'a'), 6) AS delta FROM df GROUP BY 1", ctes=DIFF)

@@ -1,6 +1,8 @@
-"""Versioned datasets and model results as parquet snapshots below one root folder.
+"""Versioned datasets and model results as parquet below one root folder.
 
-A commit is one folder; the commit log is a small table next to it. One writer per dataset is assumed.
+A dataset's rows lie in buckets by a hash of their ids. A commit is one folder with the buckets it wrote: all of them when it
+replaces the dataset, only those of the new ids when it adds to it. The commit log and the list of written buckets are small
+tables next to it; a version is read from the last written folder of each bucket. One writer per dataset is assumed.
 """
 
 from __future__ import annotations
@@ -9,18 +11,30 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkeval.operators import checks
 
 MAX_RECORDS_PER_FILE = 2_000_000
+BUCKETS = 16
 
 
-def change_counts(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(n_added, n_removed): a changed row is one removal and one addition."""
-    cols = sorted(new.columns)
-    tagged = old.select(*cols, F.lit(-1).alias("_w")).unionAll(new.select(*cols, F.lit(1).alias("_w")))
-    net = tagged.groupBy(*cols).agg(F.sum("_w").alias("w"))
+def row_hash(df: DataFrame, types: dict[str, T.DataType]) -> Column:
+    """64-bit hash of a row's values in the given columns and types; a missing column counts as null, and nulls have their place."""
+    parts = []
+    for name, kind in sorted(types.items()):
+        value = F.lit(None).cast(kind) if name not in df.columns else F.col(name) if df.schema[name].dataType == kind else F.col(name).cast(kind)
+        parts += [F.to_json(value) if isinstance(kind, T.MapType) else value, value.isNull()]
+    return F.xxhash64(*parts)
+
+
+def change_counts(old: DataFrame, new: DataFrame, ids: Sequence[str] = ()) -> DataFrame:
+    """(n_added, n_removed): a changed row is one removal and one addition. Rows are compared by ids and a hash of all values."""
+    types = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
+    row = lambda df, w: df.select(*ids, row_hash(df, types).alias("_h"), F.lit(w).alias("_w"))
+    net = row(old, -1).unionAll(row(new, 1)).groupBy(*ids, "_h").agg(F.sum("_w").alias("w"))
     return net.agg(F.coalesce(F.sum(F.greatest("w", F.lit(0))), F.lit(0)).alias("n_added"), F.coalesce(F.sum(F.greatest(-F.col("w"), F.lit(0))), F.lit(0)).alias("n_removed"))
 
 
@@ -41,8 +55,8 @@ def upserted(old: DataFrame, new: DataFrame, ids: Sequence[str]) -> DataFrame:
 class Datasets:
     """Datasets, their commits and the results of models on them."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     # -- paths and small tables -------------------------------------------------
     def _exists(self, path: str) -> bool:
@@ -55,11 +69,28 @@ class Datasets:
     def _snapshot(self, dataset: str, commit: int) -> str:
         return f"{self.root}/datasets/{dataset}/commit={commit}"
 
+    _LOG = "dataset string, commit int, timestamp double, n_added long, n_removed long, ids string, tags string, buckets int, whole boolean, schema string, batch string"
+    _WRITTEN = "dataset string, commit int, bucket int"
+
+    def _small(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        return self.spark.read.schema(schema).parquet(path) if self._exists(path) else self.spark.createDataFrame([], schema)
+
     def commits(self) -> DataFrame:
-        schema = "dataset string, commit int, timestamp double, n_added long, n_removed long, ids string, tags string"
-        if not self._exists(f"{self.root}/commits"):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
+        return self._small("commits", self._LOG)
+
+    def written(self, dataset: str) -> DataFrame:
+        """(commit, bucket) of every bucket that a commit wrote."""
+        return self._small("buckets", self._WRITTEN).where(F.col("dataset") == dataset).select("commit", "bucket")
+
+    def _read(self, dataset: str, row, only: list[int] | None = None) -> DataFrame:
+        """A version from the last folder of each bucket up to its commit."""
+        log = self.commits().where((F.col("dataset") == dataset) & (F.col("commit") <= row.commit) & F.col("whole"))
+        base = log.agg(F.max("commit")).first()[0]
+        last = self.written(dataset).where(F.col("commit").between(base, row.commit)).groupBy("bucket").agg(F.max("commit").alias("commit")).collect()  # one row a bucket
+        paths = [f"{self._snapshot(dataset, r.commit)}/_bucket={r.bucket}" for r in last if only is None or r.bucket in only]
+        schema = T._parse_datatype_json_string(row.schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     # -- datasets ---------------------------------------------------------------
     def list_datasets(self) -> DataFrame:
@@ -69,39 +100,54 @@ class Datasets:
         row = self.commits().where(F.col("dataset") == dataset).orderBy(F.col("commit").desc()).first()
         return row
 
-    def upload(self, dataset: str, df: DataFrame, ids: Sequence[str] | None = None, append_only: bool = False, tags: Sequence[str] = ()) -> int:
-        """Write a new version: replace everything, or add and overwrite by id."""
+    def upload(self, dataset: str, df: DataFrame, ids: Sequence[str] | None = None, append_only: bool = False, tags: Sequence[str] = (), batch: str | None = None) -> int:
+        """Write a new version: replace everything, or add and overwrite by id. A ``batch`` that was committed before changes nothing."""
+        if batch is not None:
+            done = self.commits().where((F.col("dataset") == dataset) & (F.col("batch") == batch)).first()
+            if done is not None:
+                return done.commit
         ids = sorted(ids or checks.infer_id_fields(df.columns))
         checks.check_keys(df, ids)
         last = self._latest(dataset)
         if "data_type" not in df.columns:
             df = df.withColumn("data_type", checks.data_type(df))
         commit = 1 if last is None else last.commit + 1
-        old = None if last is None else self.spark.read.parquet(self._snapshot(dataset, last.commit))
-        if old is not None and append_only:
+        buckets = self.buckets if last is None else last.buckets
+        whole = last is None or not append_only
+        touched = None
+        if last is not None and append_only:
+            old = self._read(dataset, last)
+            types = {f.name: f.dataType for f in upserted(old.limit(0), df.limit(0), ids).schema.fields}
+            df = df.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
+            whole = any(f.dataType != types[f.name] for f in old.schema.fields)  # a column's type grew: every file is written again
+            if not whole:
+                touched = [r[0] for r in df.select(self._bucket(df, ids, buckets)).distinct().collect()]
+                old = self._read(dataset, last, touched)
             df = upserted(old, df, ids)
-        path = self._snapshot(dataset, commit)
-        df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
-        written = self.spark.read.parquet(path)
-        if old is None:
-            added, removed = written.count(), 0
         else:
-            names = sorted(set(old.columns) | set(written.columns))
-            pad = lambda d: d.select(*[F.col(c).cast("string").alias(c) if c in d.columns else F.lit(None).cast("string").alias(c) for c in names])
-            added, removed = change_counts(pad(old), pad(written)).first()
-        self._append("commits", [(dataset, commit, time.time(), added, removed, ",".join(ids), ",".join(tags))], self.commits().schema.simpleString()[7:-1].replace(":", " "))
+            old = None if last is None else self._read(dataset, last)
+        path = self._snapshot(dataset, commit)
+        placed = df.withColumn("_bucket", self._bucket(df, ids, buckets)).repartition("_bucket")
+        placed.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("_bucket").parquet(path)
+        found = self.spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
+        held = [(dataset, commit, r[0]) for r in found.select("_bucket").distinct().collect()]
+        if held:
+            self._append("buckets", held, self._WRITTEN)
+        new = found.drop("_bucket")
+        added, removed = (new.count(), 0) if old is None else change_counts(old, new, ids).first()
+        self._append("commits", [(dataset, commit, time.time(), added, removed, ",".join(ids), ",".join(tags), buckets, whole, df.schema.json(), batch)], self._LOG)
         return commit
 
+    @staticmethod
+    def _bucket(df: DataFrame, ids: Sequence[str], buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*ids), F.lit(buckets)).cast("int").alias("_bucket")
+
     def download(self, dataset: str, commit: int | None = None, properties: DataFrame | None = None) -> DataFrame:
         """Datapoints at the latest or a given commit, optionally with extracted property columns."""
-        if commit is None:
-            last = self._latest(dataset)
-            if last is None:
-                raise ValueError(f"no dataset {dataset}")
-            commit = last.commit
-        elif self.commits().where((F.col("dataset") == dataset) & (F.col("commit") == commit)).isEmpty():
-            raise ValueError(f"no commit {commit} of {dataset}")
-        df = self.spark.read.parquet(self._snapshot(dataset, commit))
+        row = self._latest(dataset) if commit is None else self.commits().where((F.col("dataset") == dataset) & (F.col("commit") == commit)).first()
+        if row is None:
+            raise ValueError(f"no dataset {dataset}" if commit is None else f"no commit {commit} of {dataset}")
+        df = self._read(dataset, row)
         return df if properties is None else df.join(properties, self.ids(dataset), "left")
 
     def ids(self, dataset: str) -> list[str]:

@@ -1,4 +1,8 @@
-"""Incremental ingestion, traced calls and live metrics on Structured Streaming."""
+"""Incremental ingestion, traced calls and live metrics on Structured Streaming.
+
+Every query keeps its progress and, where it aggregates, its state below a folder that the caller names: started again on the
+same folder it goes on where it stopped, and a batch that runs twice counts once.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkeval.functions.ratios import f1_score, precision, recall
-from sparkeval.session import new_path
 from sparkeval.sources.datasets import Datasets
 
+MOST_CASES = 100  # test cases whose counts travel with a query's progress
 FLUSH = "30 seconds"  # fixed interval between flushes of traced calls
 
 
@@ -23,10 +27,9 @@ def stream_of(spark: SparkSession, path: str, schema, files_per_trigger: int | N
     return reader.parquet(path)
 
 
-def run(stream: DataFrame, name: str, batch: Callable[[DataFrame, int], None], mode: str = "append", available_now: bool = True):
-    """Start a query into a batch function; progress is kept in the shared folder."""
-    spark = stream.sparkSession
-    writer = stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", new_path(spark, f"progress-{name}"))
+def run(stream: DataFrame, folder: str, batch: Callable[[DataFrame, int], None], mode: str = "append", available_now: bool = True):
+    """Start, or start again, a query into a batch function; its progress and state are kept in ``folder``."""
+    writer = stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", f"{folder}/progress")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=FLUSH)
     query = writer.start()
     if available_now:
@@ -35,34 +38,70 @@ def run(stream: DataFrame, name: str, batch: Callable[[DataFrame, int], None], m
 
 
 def ingest(stream: DataFrame, store: Datasets, dataset: str, ids: Sequence[str], available_now: bool = True):
-    """Every batch is validated and upserted as one commit."""
-    return run(stream, "ingest", lambda df, _: store.upload(dataset, df, ids, append_only=True), available_now=available_now)
-
-
-def batch_tables(stream: DataFrame, name: str, batch: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Run ``batch`` on every micro-batch and return all results; a batch that runs again replaces its own rows."""
-    path = new_path(stream.sparkSession, name)
-    run(stream, name, lambda df, b: batch(df).write.mode("overwrite").parquet(f"{path}/b={b}"))
-    return stream.sparkSession.read.parquet(path).drop("b")
+    """Every batch is validated and upserted as one commit that remembers it; a batch that runs again makes no second one."""
+    folder = f"{store.root}/streams/{dataset}"
+    return run(stream, folder, lambda df, b: store.upload(dataset, df, ids, append_only=True, batch=f"stream:{b}"), available_now=available_now)
 
 
-def first_calls(calls: DataFrame, ids: Sequence[str], time: str = "start") -> DataFrame:
-    """The call of earliest start per id, over everything that has arrived; late calls count, nothing is kept in memory.
+def first_calls(calls: DataFrame, ids: Sequence[str], folder: str, time: str = "start") -> DataFrame:
+    """The call of earliest start per id, over everything that has arrived; late calls count.
 
-    Every batch stores its own first calls; reading takes the first of those. Equal starts go to the smallest row.
+    The first call of each id is the query's state. A batch writes the state of the ids it touched, replacing what it wrote if
+    it runs again; the earliest counts. Equal starts go to the smallest row.
     """
     rest = [c for c in calls.columns if c not in (*ids, time)]
 
     def first(df: DataFrame) -> DataFrame:
-        return df.groupBy(*ids).agg(F.min(F.struct(time, *rest)).alias("_r")).select(*ids, "_r.*")
+        return df.groupBy(*ids).agg(F.min(F.struct(time, *rest)).alias("_r"))
 
-    return first(batch_tables(calls, "first-calls", first))
+    run(first(calls), folder, lambda df, b: df.write.mode("overwrite").parquet(f"{folder}/changed/b={b}"), mode="update")
+    changed = calls.sparkSession.read.parquet(f"{folder}/changed").drop("b")
+    return changed.groupBy(*ids).agg(F.min("_r").alias("_r")).select(*ids, "_r.*")
 
 
-def batch_totals(results: DataFrame, name: str, by: Sequence[str], sums: dict) -> DataFrame:
-    """Additive aggregates per key, exact however late a row is: every batch stores its part, reading adds them up."""
-    parts = batch_tables(results, name, lambda df: df.groupBy(*by).agg(*[e.alias(n) for n, e in sums.items()]))
-    return parts.groupBy(*by).agg(*[F.sum(n).alias(n) for n in sums])
+def running_totals(results: DataFrame, by: Sequence[str], sums: dict, folder: str) -> DataFrame:
+    """Aggregates per key over everything that has arrived, exact however late a row is; state and output are one row per key.
+
+    Every batch writes all totals to its own folder and then points to it, so readers see one whole batch or the next.
+    """
+    totals = results.groupBy(*by).agg(*[e.alias(n) for n, e in sums.items()])
+    spark = results.sparkSession
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{folder}/totals/b={batch}")
+        spark.range(1).select(F.lit(batch).alias("b")).coalesce(1).write.mode("append").parquet(f"{folder}/done")
+
+    run(totals, folder, write, mode="complete")
+    last = spark.read.parquet(f"{folder}/done").agg(F.max("b")).first()[0]
+    return spark.read.schema(totals.schema).parquet(f"{folder}/totals/b={last}")
+
+
+def with_progress(results: DataFrame, case: str, cases: Sequence[str], sums: dict | None = None, name: str = "progress") -> DataFrame:
+    """The same stream; each batch's progress report carries the rows, and given sums, of every listed test case.
+
+    The metrics are counted while the rows pass, without another job. Their number is bounded: at most MOST_CASES cases.
+    """
+    if len(cases) > MOST_CASES:
+        raise ValueError(f"{len(cases)} test cases, more than the {MOST_CASES} that a progress report may carry")
+    metrics = [F.count("*").alias("samples")]
+    for i, c in enumerate(cases):
+        of = F.col(case).eqNullSafe(F.lit(c))
+        metrics.append(F.count_if(of).alias(f"samples_{i}"))
+        metrics += [F.sum(F.when(of, F.col(e))).alias(f"{n}_{i}") for n, e in (sums or {}).items()]
+    return results.observe(name, *metrics)
+
+
+def progress_of(query, cases: Sequence[str], sums: dict | None = None, name: str = "progress") -> dict[str, dict[str, float]]:
+    """Totals per test case from the progress reports of a query's batches (those that Spark keeps, 100 by default)."""
+    out = {c: dict.fromkeys(("samples", *(sums or {})), 0) for c in cases}
+    for report in query.recentProgress:
+        row = report.observedMetrics.get(name)
+        if row is None:
+            continue
+        for i, c in enumerate(cases):
+            for n in out[c]:
+                out[c][n] += row[f"{n}_{i}"] or 0
+    return out
 
 
 def with_elapsed(calls: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -76,13 +115,13 @@ def trace(calls: DataFrame, path: str, ids: Sequence[str], inputs: Sequence[str]
         df.select(*ids, *inputs).write.mode("overwrite").parquet(f"{path}/datapoints/batch={batch_id}")
         with_elapsed(df).select("model_name", *ids, *outputs, "elapsed_s").write.mode("overwrite").partitionBy("model_name").parquet(f"{path}/results/batch={batch_id}")
 
-    return run(calls, "trace", write, available_now=available_now)
+    return run(calls, path, write, available_now=available_now)
 
 
-def live_counts(results: DataFrame, time: str, by: Sequence[str], window: str = "1 day") -> DataFrame:
+def live_counts(results: DataFrame, time: str, by: Sequence[str], folder: str, window: str = "1 day") -> DataFrame:
     """Sums of tp/fp/fn per time window and stratum; no watermark, so no late row is lost."""
     timed = results.withColumn("window_start", F.window(time, window)["start"])
-    return batch_totals(timed, "live", ["window_start", *by], {**{c: F.sum(c) for c in ("tp", "fp", "fn")}, "n": F.count("*")})
+    return running_totals(timed, ["window_start", *by], {**{c: F.sum(c) for c in ("tp", "fp", "fn")}, "n": F.count("*")}, folder)
 
 
 def live_rates(counts: DataFrame) -> DataFrame:

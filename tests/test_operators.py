@@ -229,7 +229,7 @@ def test__stream_equals_batch_for_one_and_many_batches(spark):
     batch = ingest.live_rates(df.groupBy(day, "stratum").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], F.count("*").alias("n")))
     want = sorted(tuple(r) for r in batch.collect())
     for files_per_trigger in (None, 1):
-        s = ingest.live_counts(ingest.stream_of(spark, path, df.schema, files_per_trigger), "ts", ["stratum"])
+        s = ingest.live_counts(ingest.stream_of(spark, path, df.schema, files_per_trigger), "ts", ["stratum"], new_path(spark, "live"))
         got = ingest.live_rates(s)
         assert sorted(tuple(r) for r in got.select(*batch.columns).collect()) == want
 
@@ -241,7 +241,7 @@ def test__late_calls_count_and_the_earliest_wins(spark):
         spark.createDataFrame(part, "id int, s long, v string").selectExpr("id", "timestamp_seconds(s * 86400) AS start", "v").coalesce(1).write.parquet(f"{path}/{k}")
     schema = spark.read.parquet(f"{path}/0").schema
     calls = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
-    assert sorted((r.id, r.v) for r in ingest.first_calls(calls, ["id"]).collect()) == [(1, "late but first"), (2, "y"), (3, "very late")]
+    assert sorted((r.id, r.v) for r in ingest.first_calls(calls, ["id"], new_path(spark, "first")).collect()) == [(1, "late but first"), (2, "y"), (3, "very late")]
 
 
 @pytest.mark.parametrize("scores", [[i / 37 % 1.0 for i in range(300)], [-0.5, 0.35, 0.72], [None, 0.5, float("nan"), 0.505, 0.5], [], [-0.004, 0.004, 12.5, -3.0, 0.11, 0.1]])
