@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkeval.functions import boxes
 from sparkeval.functions.ratios import r6
 from sparkeval.functions.vectors import dot
-from sparkeval.operators import blocks, detection, joins, matching, polygons, similarity, vision
+from sparkeval.operators import blocks, detection, joins, levels, matching, polygons, similarity, vision
 from sparkeval.plans import detection as det
 from sparkeval.plans import views
 from sparkeval.plans.detection import DET_RESULTS, IMAGE_MULTI, IOU, match_sql
@@ -190,28 +190,56 @@ INTER3 = "(least(g.x2,i.x2)-greatest(g.x1,i.x1))*(least(g.y2,i.y2)-greatest(g.y1
 IOU3 = f"""CASE WHEN least(g.x2,i.x2) > greatest(g.x1,i.x1) AND least(g.y2,i.y2) > greatest(g.y1,i.y1) THEN {INTER3} /
   ((g.x2-g.x1)*(g.y2-g.y1)*(2 + g.gt_idx % 2)+(i.x2-i.x1)*(i.y2-i.y1)*(2 + i.inf_idx % 2)-{INTER3}) ELSE 0.0 END"""
 MATCH3 = match_sql("m", "w_det_gt", "w_det_inf", "i.label = g.label", op=">= CASE gt_label WHEN 'A' THEN 0.7 ELSE 0.5 END", iou=IOU3)
+CLASSES = {"A": "Car", "N": "Pedestrian", "R": "Cyclist"}
+
+
+def solid(df, idx):
+    return df.withColumn("geom", F.struct("geom.*", F.lit(0.0).alias("z1"), (2 + F.col(idx) % 2).cast("double").alias("z2")))
 
 
 @query("d28_match_3d_by_class", "SELECT label, kind, count(*) AS n FROM (SELECT label, kind FROM m_all UNION ALL SELECT label, 'unmatched_gt' FROM m_fn) GROUP BY 1, 2", ctes=MATCH3)
 def d28b(spark, sf):
-    """Each class has its own overlap threshold: car 0.7, pedestrian and cyclist 0.5."""
-
-    def solid(df, idx):
-        return df.withColumn("geom", F.struct("geom.*", F.lit(0.0).alias("z1"), (2 + F.col(idx) % 2).cast("double").alias("z2")))
+    """Each class has its own overlap threshold: car 0.7, pedestrian and cyclist 0.5. One match for all classes: overlaps below their class's threshold count as none."""
 
     def overlaps(a, b):
         pairs = matching.overlapping(a, b, ["image_id", "grp"])
-        return pairs.withColumn("iou", boxes.box3d_iou(F.col("a.geom"), F.col("b.geom")))
+        pairs = pairs.withColumn("iou", boxes.box3d_iou(F.col("a.geom"), F.col("b.geom")))
+        least = F.when(F.col("grp.label") == "A", vision.CLASS_OVERLAP["Car"]).otherwise(vision.CLASS_OVERLAP["Pedestrian"])
+        return pairs.where(F.col("iou") >= least)
 
-    g, i = solid(det.gts(spark, sf), "gt_idx"), solid(det.infs(spark, sf), "inf_idx")
-    parts = [
-        matching.match(g.where(F.col("label") == label), i.where(F.col("label") == label), vision.CLASS_OVERLAP[name], ["label"], overlaps=overlaps)
-        for label, name in (("A", "Car"), ("N", "Pedestrian"), ("R", "Cyclist"))
-    ]
-    m = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    m = matching.match(solid(det.gts(spark, sf), "gt_idx"), solid(det.infs(spark, sf), "inf_idx"), min(vision.CLASS_OVERLAP.values()), ["label"], overlaps=overlaps)
     return m.groupBy(F.coalesce("inf.label", "gt.label").alias("label"), "kind").agg(F.count("*").alias("n"))
 
 
+STATE3 = "CASE WHEN y2 - y1 >= h AND gt_idx % 3 <= o AND (gt_idx % 5) * 0.15 <= t AND NOT is_ignored THEN 0 ELSE 1 END"
+LEVELS3 = f"""lv(level, h, o, t) AS (VALUES ('easy', 40, 0, 0.15), ('moderate', 25, 1, 0.3), ('hard', 25, 2, 0.5)),
+gl AS (SELECT g.*, level, {STATE3} AS state FROM w_det_gt g, lv),
+il AS (SELECT i.*, level, CASE WHEN score < 0.2 THEN NULL WHEN y2 - y1 < h THEN 1 ELSE 0 END AS state FROM w_det_inf i, lv),
+pr AS (SELECT g.image_id, g.label, g.level, g.gt_idx, i.inf_idx, g.state AS gs, i.state AS st, {IOU3} AS iou FROM gl g JOIN il i ON g.image_id = i.image_id AND g.label = i.label AND g.level = i.level WHERE i.state IS NOT NULL),
+of_ AS (SELECT image_id, label, level, gt_idx, gs, list({{'st': st, 'i': inf_idx}} ORDER BY st, CASE WHEN st = 0 THEN -iou ELSE 0 END, inf_idx) AS c, row_number() OVER (PARTITION BY image_id, label, level ORDER BY gt_idx) AS k
+  FROM pr WHERE iou > CASE label WHEN 'A' THEN 0.7 ELSE 0.5 END GROUP BY 1, 2, 3, 4, 5),
+st_(image_id, label, level, k, gt_idx, gs, pick, used) AS (
+  SELECT image_id, label, level, k, gt_idx, gs, c[1], [c[1].i] FROM of_ WHERE k = 1 UNION ALL
+  SELECT o.image_id, o.label, o.level, o.k, o.gt_idx, o.gs, p.pick, CASE WHEN p.pick IS NULL THEN p.used ELSE list_append(p.used, p.pick.i) END
+  FROM of_ o JOIN (SELECT s.*, list_filter(n.c, lambda x: NOT list_contains(s.used, x.i))[1] AS nxt FROM st_ s JOIN of_ n ON n.image_id = s.image_id AND n.label = s.label AND n.level = s.level AND n.k = s.k + 1) q ON o.image_id = q.image_id AND o.label = q.label AND o.level = q.level AND o.k = q.k + 1,
+  LATERAL (SELECT q.nxt AS pick, q.used AS used) p),
+tk AS (SELECT * FROM st_ WHERE pick IS NOT NULL)"""
+
+
+@query("d28_match_levels", """SELECT label AS cls, level, count(*) FILTER (WHERE state = 0) AS valid, count(*) FILTER (WHERE state = 1) AS ignored, any_value(m) AS matched, any_value(ab) AS absorbed,
+  count(*) FILTER (WHERE state = 0 AND (image_id, label, level, gt_idx) NOT IN (SELECT (image_id, label, level, gt_idx) FROM tk)) AS missed, any_value(f) AS false FROM gl
+  JOIN (SELECT label, level, count(*) FILTER (WHERE gs = 0 AND pick.st = 0) AS m, count(*) FILTER (WHERE NOT (gs = 0 AND pick.st = 0)) AS ab FROM tk GROUP BY 1, 2) USING (label, level)
+  JOIN (SELECT label, level, count(*) FILTER (WHERE state = 0 AND (image_id, label, level, inf_idx) NOT IN (SELECT (image_id, label, level, pick.i) FROM tk)) AS f FROM il GROUP BY 1, 2) USING (label, level) GROUP BY 1, 2""", ctes=LEVELS3, recursive=True)
+def d28c(spark, sf):
+    """All three levels in one pass: harder and never-counting objects absorb inferences, small inferences are ignored, faint ones out of play."""
+    height = F.col("geom.y2") - F.col("geom.y1")
+    g, i = solid(det.gts(spark, sf), "gt_idx"), solid(det.infs(spark, sf), "inf_idx")
+    g = g.withColumn("states", levels.difficulty_states(height, F.col("gt_idx") % 3, (F.col("gt_idx") % 5) * 0.15, F.col("is_ignored"))).withColumnRenamed("label", "cls")
+    i = i.withColumn("states", levels.inference_states(height, counted=F.col("score") >= 0.2)).withColumnRenamed("label", "cls")
+    found = levels.match_levels(g, i, {k: vision.CLASS_OVERLAP[name] for k, name in CLASSES.items()})
+    return levels.level_counts(found, g)
+
+
 # -- box properties ----------------------------------------------------------------
 @query("d30_box_properties", """SELECT image_id, gt_idx, round((x2 - x1) / (y2 - y1), 6) AS aspect_ratio, round((x2 - x1) * (y2 - y1) / 10000, 6) AS relative_area,
   round(sqrt(((x1 + x2) / 2 - 50) ** 2 + ((y1 + y2) / 2 - 50) ** 2) / (sqrt(20000) / 2), 6) AS relative_distance FROM w_det_gt""")
