@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,7 @@ from sparkeval.functions.ratios import ratio
 from sparkeval.functions.types import struct_of
 
 _EDIT = 1 << 32  # one edit outweighs any number of hits
+GROUP_CELLS = 1 << 16  # table cells that advance together
 
 
 def words(c: Column) -> Column:
@@ -27,26 +28,66 @@ def normalized(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?U)\b(a|an|the)\b", " "), r"\s+", " "))
 
 
-def _coded(a, b) -> tuple[np.ndarray, np.ndarray]:
-    codes: dict[str, int] = {}
-    return tuple(np.array([codes.setdefault(w, len(codes)) for w in side], dtype=np.int64) for side in (a, b))
+def _ragged(side: Sequence, codes: np.ndarray, fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word ids of texts as the rows of one array, filled up behind their ends, and the texts' lengths."""
+    lengths = np.array([len(x) for x in side], dtype=np.int64)
+    out = np.full((len(side), int(lengths.max(initial=0))), fill, dtype=np.int64)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = codes
+    return out, lengths
+
+
+def in_step(ref: pd.Series, cand: pd.Series, table: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``table(a, n, b, m)`` over groups of text pairs of about one length, as word ids; its results in order, and both lengths.
+
+    All pairs of a group advance together, a word of each reference at a time, so short texts share their steps. A group
+    holds GROUP_CELLS table cells or a single pair.
+    """
+    sides = [[() if x is None else x for x in column] for column in (ref, cand)]
+    n, m = (np.array([len(x) for x in side], dtype=np.int64) for side in sides)
+    out = np.zeros(len(n), dtype=np.int64)
+    order = np.argsort(np.maximum(n, m), kind="stable")
+    at = 0
+    while at < len(order):
+        width = np.maximum(n, m)[order[at:]] + 1
+        size = max(1, int(np.searchsorted(width * np.arange(1, len(width) + 1), GROUP_CELLS, "right")))
+        group = order[at : at + size]
+        first, second = ([side[i] for i in group] for side in sides)
+        codes = pd.factorize(np.array([w for x in (*first, *second) for w in x], dtype=object))[0]
+        cut = int(n[group].sum())
+        (x, nx), (y, ny) = _ragged(first, codes[:cut], -1), _ragged(second, codes[cut:], -2)
+        out[group] = table(x, nx, y, ny)
+        at += size
+    return out, n, m
+
+
+def _edits(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """For each pair the least of edits * _EDIT - hits."""
+    shift = np.arange(b.shape[1] + 1, dtype=np.int64) * _EDIT
+    row = np.tile(shift, (len(a), 1))
+    for i in range(a.shape[1]):
+        step = row + _EDIT
+        step[:, 1:] = np.minimum(step[:, 1:], row[:, :-1] + np.where(b == a[:, i : i + 1], -1, _EDIT))
+        step = np.minimum.accumulate(step - shift, axis=1) + shift
+        row = np.where((i < n)[:, None], step, row)
+    return row[np.arange(len(a)), m]
+
+
+def _common(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """For each pair the length of the longest common subsequence; words behind an end equal none."""
+    row = np.zeros((len(a), b.shape[1] + 1), dtype=np.int64)
+    for i in range(a.shape[1]):
+        step = row.copy()
+        step[:, 1:] = np.maximum(step[:, 1:], row[:, :-1] + (b == a[:, i : i + 1]))
+        row = np.maximum.accumulate(step, axis=1)
+    return row[np.arange(len(a)), m]
 
 
 @F.pandas_udf(struct_of(cost="long", hits="long", n_ref="long", n_cand="long"))
 def aligned(ref: pd.Series, cand: pd.Series) -> pd.DataFrame:
     """Fewest word edits from ``ref`` to ``cand`` and, among those, the most hits."""
-    out = []
-    for r, c in zip(ref, cand):
-        a, b = _coded(r, c)
-        shift = np.arange(len(b) + 1, dtype=np.int64) * _EDIT
-        row = shift.copy()
-        for word in a:
-            step = row + _EDIT
-            step[1:] = np.minimum(step[1:], row[:-1] + np.where(b == word, -1, _EDIT))
-            row = np.minimum.accumulate(step - shift) + shift
-        cost = -(-int(row[-1]) // _EDIT)
-        out.append((cost, cost * _EDIT - int(row[-1]), len(a), len(b)))
-    return pd.DataFrame(out, columns=["cost", "hits", "n_ref", "n_cand"])
+    least, n, m = in_step(ref, cand, _edits)
+    cost = -(-least // _EDIT)
+    return pd.DataFrame({"cost": cost, "hits": cost * _EDIT - least, "n_ref": n, "n_cand": m})
 
 
 def edit_counts(df: DataFrame, ref: str, cand: str) -> DataFrame:
@@ -72,16 +113,7 @@ def character_error_rate(ref: str, cand: str) -> Column:
 @F.pandas_udf(struct_of(lcs="long"))
 def common_subsequence(ref: pd.Series, cand: pd.Series) -> pd.DataFrame:
     """Length of the longest common word subsequence."""
-    out = []
-    for r, c in zip(ref, cand):
-        a, b = _coded(r, c)
-        row = np.zeros(len(b) + 1, dtype=np.int64)
-        for word in a:
-            step = row.copy()
-            step[1:] = np.maximum(step[1:], row[:-1] + (b == word))
-            row = np.maximum.accumulate(step)
-        out.append(int(row[-1]))
-    return pd.DataFrame({"lcs": out})
+    return pd.DataFrame({"lcs": in_step(ref, cand, _common)[0]})
 
 
 def rouge_l(df: DataFrame, ref: str, cand: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from itertools import permutations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,22 @@ def test__word_alignment_against_brute_force(spark):
         assert r.rouge_l == pytest.approx(2 * n / (len(a) + len(b)) if n else 0.0)
 
 
+def test__pairs_of_any_length_advance_together():
+    rnd = random.Random(3)
+    sizes = [0, 0, 1, 2, 3, 5, 8, 40, 41, 300, 7, 6, 5, 4]
+    ref, cand = ([[rnd.choice("abcde") for _ in range(n)] for n in rnd.sample(sizes, len(sizes))] for _ in range(2))
+    ref[3], cand[5] = None, None
+    least, n, m = text.in_step(pd.Series(ref), pd.Series(cand), text._edits)
+    common = text.in_step(pd.Series(ref), pd.Series(cand), text._common)[0]
+    for i, (a, b) in enumerate(zip(ref, cand)):
+        a, b = a or [], b or []
+        cost = -(-int(least[i]) // text._EDIT)
+        assert (cost, cost * text._EDIT - int(least[i])) == edits(a, b) and common[i] == lcs(a, b) and (n[i], m[i]) == (len(a), len(b))
+    long = [str(rnd.randrange(300)) for _ in range(6000)]
+    least, _, _ = text.in_step(pd.Series([long, ["x"]]), pd.Series([long[:2000] + ["new"] + long[2001:], ["x"]]), text._edits)
+    assert least.tolist() == [text._EDIT - 5999, -1]
+
+
 def test__meteor_and_bleu_examples(spark):
     df = spark.createDataFrame([(1, "the president then spoke to the audience", "the president spoke to the audience")], "id int, ref string, cand string")
     p, r = 1.0, 6 / 7
