@@ -79,6 +79,31 @@ def check_results(columns: Sequence[str], ids: Sequence[str], thresholded: Seque
         raise ValueError("blank tag")
 
 
+def result_violations(uploads: DataFrame, results: DataFrame, ids: Sequence[str], thresholded: Sequence[str] = ()) -> DataFrame:
+    """(rule, model, eval_config, n) of everything that makes result sets unacceptable; nothing if all are fine.
+
+    ``uploads`` have a row per result set (model, eval_config, tag), ``results`` the rows (model, eval_config, ids, fields).
+    Rules: ``duplicate_config`` a model's configuration uploaded n times; ``blank_tag``; ``duplicate_id`` ids that stand more
+    than once in a set; ``no_result`` rows whose fields besides ids and thresholded ones are all null.
+    """
+    run = ["model", "eval_config"]
+    fields = [c for c in results.columns if c not in (*run, *ids, *thresholded)]
+    twice = uploads.groupBy(*run).agg(F.count("*").alias("n")).where("n > 1").withColumn("rule", F.lit("duplicate_config"))
+    blank = uploads.where(F.trim("tag") == "").groupBy(*run).agg(F.count("*").alias("n")).withColumn("rule", F.lit("blank_tag"))
+    repeated = results.groupBy(*run, *ids).agg(F.count("*").alias("_n")).where("_n > 1").groupBy(*run).agg(F.count("*").alias("n")).withColumn("rule", F.lit("duplicate_id"))
+    some = F.lit(False)
+    for c in fields:
+        some = some | F.col(c).isNotNull()
+    empty = results.where(~some).groupBy(*run).agg(F.count("*").alias("n")).withColumn("rule", F.lit("no_result"))
+    out = twice.unionByName(blank).unionByName(repeated).unionByName(empty)
+    return out.select("rule", *run, "n")
+
+
+def repeated_names(names: DataFrame, scope: Sequence[str], name: str) -> DataFrame:
+    """(scope, name, n) of names given more than once within their scope, such as metrics of a group or test cases of a standard."""
+    return names.groupBy(*scope, name).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def valid_locator(c: Column, image: bool = False) -> Column:
     """A null locator passes."""
     return c.isNull() | F.lower(c).rlike(IMAGE_LOCATOR if image else LOCATOR)
@@ -130,6 +155,18 @@ def valid_polygon(points: Column) -> Column:
     return F.size(points) >= 3
 
 
+def histogram_fault(buckets: Column, frequency: Column) -> Column:
+    """Why a histogram is not valid: ``few`` edges, ``sizes`` that do not fit, edges not ``rising``; null if it is."""
+    rising = F.forall(F.sequence(F.lit(1), F.size(buckets) - 1), lambda i: F.get(buckets, i) > F.get(buckets, i - 1))
+    return F.when(F.size(buckets) < 2, "few").when(F.size(buckets) != F.size(frequency) + 1, "sizes").when(~rising, "rising")
+
+
+def matrix_fault(labels: Column, matrix: Column) -> Column:
+    """Why a confusion matrix is not valid: ``few`` labels, wrong number of ``rows`` or ``columns``; null if it is."""
+    n = F.size(labels)
+    return F.when(n < 2, "few").when(F.size(matrix) != n, "rows").when(~F.forall(matrix, lambda row: F.size(row) == n), "columns")
+
+
 def valid_histogram(buckets: Column, frequency: Column) -> Column:
     rising = F.forall(F.sequence(F.lit(1), F.size(buckets) - 1), lambda i: F.get(buckets, i) > F.get(buckets, i - 1))
     return (F.size(buckets) == F.size(frequency) + 1) & (F.size(buckets) >= 2) & rising

@@ -15,6 +15,22 @@ def after_edits(edits: DataFrame, keys: Sequence[str], order: str, action: str =
     return last.where(F.col(action) != removed).drop(action, order)
 
 
+def replayed(edits: DataFrame, suite: str, case: str, sample: str, order: str, action: str = "action") -> DataFrame:
+    """(suite, case, sample and the other columns) that an edit log leaves in test suites.
+
+    ``reset`` empties a suite (its case is null), ``replace`` puts a case of the same name in the old one's place and ``drop``
+    takes it out (their sample is null), ``add`` and ``remove`` are edits of one sample. Only edits after a case's last barrier
+    count, the later of its suite's last reset and its own last replacement; of those the last edit of a sample decides. So
+    no log is replayed in order: barriers are maxima, one per suite and one per case.
+    """
+    at = F.col(order)
+    resets = edits.where(F.col(action) == "reset").groupBy(suite).agg(F.max(at).alias("_reset"))
+    cases = edits.where(f"`{case}` IS NOT NULL").groupBy(suite, case).agg(F.max(F.when(F.col(action).isin("replace", "drop"), at)).alias("_own"))
+    barriers = cases.join(resets, suite, "left").select(suite, case, F.greatest("_own", "_reset").alias("_barrier"))  # a row per case
+    counted = edits.where(F.col(action).isin("add", "remove")).join(barriers, [suite, case]).where(F.col("_barrier").isNull() | (at > F.col("_barrier"))).drop("_barrier")
+    return after_edits(counted, [suite, case, sample], order, action)
+
+
 def reset_suite(current: DataFrame, suite: str) -> DataFrame:
     return current.where(F.col("suite") != suite)
 

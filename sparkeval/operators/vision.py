@@ -216,6 +216,30 @@ def pair_metrics(verdicts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return out.withColumn("fmr", ratio("fm", "imposter")).withColumn("fnmr", ratio("fnm", "genuine"))
 
 
+def face_case_metrics(pairs: DataFrame, samples: DataFrame, threshold: float, baseline_fnmr: float) -> DataFrame:
+    """One row: pair counts, false matches and non-matches, pair failures and failures to enroll with their rates, and the change of FNMR.
+
+    ``pairs`` (a, b, is_match, similarity) list each pair from one or both of its images; the listing of the image that comes
+    last decides, and a pair without similarity is a pair failure. ``samples`` (image_id, failed) say which images failed to
+    enroll by box or to align by keypoints; a pair listed by one of those, or itself without similarity, fails to enroll.
+    """
+    own = samples.select(F.col("image_id").alias("a"), "failed")
+    listed = pairs.join(own, "a", "left").withColumn("failed", F.coalesce("failed", F.lit(False)) | F.col("similarity").isNull())
+    last = F.max_by(F.struct("is_match", "similarity", "failed"), "a").alias("v")
+    unique = listed.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(last).select("v.*")
+    verdicts = pair_verdicts(unique, threshold)
+    counts = verdicts.agg(
+        F.count("*").alias("pairs"), F.count_if("is_match").alias("genuine"), F.count_if(~F.col("is_match")).alias("imposter"), F.count_if("is_fm").alias("fm"), F.count_if("is_fnm").alias("fnm"),
+        F.count_if(F.col("similarity").isNull()).alias("pair_failures"), F.count_if("failed").alias("fte"),
+    )
+    out = counts.crossJoin(samples.agg(F.count("*").alias("_samples")))  # two single rows
+    fnmr = ratio("fnm", "genuine")
+    return out.select(
+        "pairs", "genuine", "imposter", "fm", "fnm", ratio("fm", "imposter").alias("fmr"), fnmr.alias("fnmr"), (fnmr - baseline_fnmr).alias("delta_fnmr"),
+        "pair_failures", ratio("pair_failures", "pairs").alias("pair_failure_rate"), "fte", ratio("fte", "_samples").alias("fter"),
+    )
+
+
 def thresholds_at_fmr(df: DataFrame, rates: Sequence[float], eps: float = 1e-9) -> DataFrame:
     """(fmr, threshold): score of the imposter at the rank the rate allows; every pair is listed twice, so ranks go in twos.
 

@@ -226,6 +226,27 @@ def h04(spark, sf):
     return suites.after_edits(e, ["test_case", "sample"], "event_id").select("test_case", "sample", "truth")
 
 
+LOG = """lg AS (SELECT user_id % 7 AS suite, CASE WHEN a = 'reset' THEN NULL ELSE user_id END AS test_case, CASE WHEN a IN ('reset', 'replace', 'drop') THEN NULL ELSE event_id % 50 END AS sample, a AS action, value AS truth, event_id AS n
+  FROM (SELECT *, CASE WHEN event_id % 397 = 0 THEN 'reset' WHEN event_type = 'purchase' AND event_id % 13 = 0 THEN 'replace' WHEN event_type = 'view' AND event_id % 41 = 0 THEN 'drop' WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS a FROM events)),
+ls AS (SELECT suite, test_case, sample, arg_max(truth, n) AS truth, arg_max(action, n) AS action FROM lg e WHERE action IN ('add', 'remove')
+  AND n > coalesce((SELECT max(n) FROM lg r WHERE r.suite = e.suite AND r.action = 'reset'), -1) AND n > coalesce((SELECT max(n) FROM lg r WHERE r.suite = e.suite AND r.test_case = e.test_case AND r.action IN ('replace', 'drop')), -1) GROUP BY 1, 2, 3)"""
+
+
+@query("h04_suite_replay", "SELECT suite, test_case, sample, truth FROM ls WHERE action = 'add'", ctes=LOG)
+def h04_replay(spark, sf):
+    """Suites after a log with resets, cases replaced by name, cases taken out, and edits of single samples."""
+    n = F.col("event_id")
+    kind = F.col("event_type")
+    action = F.when(n % 397 == 0, "reset").when((kind == "purchase") & (n % 13 == 0), "replace").when((kind == "view") & (n % 41 == 0), "drop").when(kind == "error", "remove").otherwise("add")
+    e = table(spark, sf, "events").withColumn("action", action)
+    whole = F.col("action").isin("reset", "replace", "drop")
+    e = e.select(
+        (F.col("user_id") % 7).alias("suite"), F.when(F.col("action") != "reset", F.col("user_id")).alias("test_case"), F.when(~whole, n % 50).alias("sample"),
+        "action", F.col("value").alias("truth"), n.alias("n"),
+    )
+    return suites.replayed(e, "suite", "test_case", "sample", "n").select("suite", "test_case", "sample", "truth")
+
+
 @query("h05_bulk_cases", """SELECT segment AS test_case, count(*) AS n FROM w_dp WHERE segment <> 'BUILDING' GROUP BY 1 UNION ALL SELECT 'BUILDING', count(*) FROM w_dp WHERE segment = 'BUILDING' AND price > 100000 UNION ALL SELECT 'rich', count(*) FROM w_dp WHERE price > 300000""")
 def h05(spark, sf):
     points = views.dp(spark, sf)

@@ -49,6 +49,18 @@ def b04(spark, sf):
     return res.groupBy("model", "eval_config").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))
 
 
+@query("b04_result_violations", """SELECT 'duplicate_config' AS rule, model, eval_config, count(DISTINCT id % k) AS n FROM w_res, (SELECT 3 AS k) WHERE model = 'b' GROUP BY 2, 3 UNION ALL
+  SELECT 'blank_tag', model, eval_config, 1 FROM w_res WHERE model = 'a' GROUP BY 2, 3 UNION ALL
+  SELECT 'duplicate_id', model, eval_config, count(*) FROM w_res WHERE id % 13 = 0 GROUP BY 2, 3 UNION ALL SELECT 'no_result', model, eval_config, sum(CASE WHEN id % 13 = 0 THEN 2 ELSE 1 END)::BIGINT FROM w_res WHERE id % 7 = 0 GROUP BY 2, 3""")
+def b04_violations(spark, sf):
+    """Result sets with everything wrong: a configuration sent in three parts, a blank tag, repeated ids, rows without any result."""
+    res = views.res(spark, sf).withColumn("score", F.expr("CASE WHEN id % 7 <> 0 THEN score END")).select("model", "eval_config", "id", "score", "tp")
+    rows = res.unionByName(res.where("id % 13 = 0"))
+    part = F.when(F.col("model") == "b", F.col("id") % 3).otherwise(F.lit(0))
+    uploads = res.select("model", "eval_config", part.alias("part"), F.when(F.col("model") == "a", " ").otherwise("ok").alias("tag")).distinct()
+    return checks.result_violations(uploads, rows, ["id"], ["tp"])
+
+
 @query("b05_bad_locators", """SELECT doc_id, regexp_full_match(lower(locator), '(s3|gs|https)://(.+/)+.+') AS valid, regexp_full_match(lower(locator), '(s3|gs|https)://(.+/)+.+[.](png|jpe?g|gif|tiff?)') AS valid_image FROM loc""", ctes=LOC)
 def b05(spark, sf):
     c = F.col("locator")
@@ -205,6 +217,34 @@ def b20(spark, sf):
     )
 
 
+@query("b20_plot_faults", """WITH a AS (SELECT lang, doc_id, n_chars, [CASE WHEN doc_id % 4 = 0 THEN -i ELSE i END for i in range(n_chars % 6)] AS b, range(n_chars % 6 - CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END) AS f,
+  range(n_chars % 4) AS l, [range(n_chars % 4 + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END) for i in range(n_chars % 4 + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END)] AS m FROM documents),
+z AS (SELECT lang, 'histogram' AS kind, CASE WHEN len(b) < 2 THEN 'few' WHEN len(b) <> len(f) + 1 THEN 'sizes' WHEN doc_id % 4 = 0 THEN 'rising' END AS fault FROM a UNION ALL
+  SELECT lang, 'matrix', CASE WHEN len(l) < 2 THEN 'few' WHEN len(m) <> len(l) THEN 'rows' WHEN len(m[1]) <> len(l) THEN 'columns' END FROM a)
+SELECT lang, kind, coalesce(fault, 'none') AS fault, count(*) AS n FROM z GROUP BY 1, 2, 3""")
+def b20_faults(spark, sf):
+    """Histograms and matrices of every kind of fault, and without any, by language."""
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    chars, doc = F.col("n_chars").cast("long"), F.col("doc_id")
+    edges = F.transform(upto(chars % 6), lambda i: F.when(doc % 4 == 0, -i).otherwise(i))
+    counts = upto(chars % 6 - F.when(doc % 3 == 0, 2).otherwise(1))
+    side = chars % 4
+    matrix = F.transform(upto(side + F.when(doc % 7 == 0, 1).otherwise(0)), lambda i: upto(side + F.when(doc % 5 == 0, 1).otherwise(0)))
+    faults = F.array(F.struct(F.lit("histogram").alias("kind"), checks.histogram_fault(edges, counts).alias("fault")), F.struct(F.lit("matrix").alias("kind"), checks.matrix_fault(upto(side), matrix).alias("fault")))
+    z = table(spark, sf, "documents").select("lang", F.explode(faults).alias("z"))
+    return z.groupBy("lang", "z.kind", F.coalesce("z.fault", F.lit("none")).alias("fault")).agg(F.count("*").alias("n"))
+
+
+@query("b21_repeated_names", """SELECT r_name AS scope, left(n_name, 1) AS name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL
+  SELECT 'test cases', trim(lower(segment)), count(DISTINCT priority) FROM w_dp GROUP BY 2 HAVING count(DISTINCT priority) > 1""")
+def b21_names(spark, sf):
+    """Metric labels that repeat within a group, and test-case names that repeat in a standard."""
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
+    metrics = n.select(F.col("r_name").alias("scope"), F.left("n_name", F.lit(1)).alias("name"))
+    cases = views.dp(spark, sf).select("segment", "priority").distinct().select(F.lit("test cases").alias("scope"), F.trim(F.lower("segment")).alias("name"))
+    return checks.repeated_names(metrics.unionByName(cases), ["scope"], "name")
+
+
 @query("b21_standard_checks", "SELECT segment AS test_case, count(*) AS n FROM w_res JOIN w_dp USING (id) GROUP BY 1")
 def b21(spark, sf):
     standard.check_standard(groups(), strata())

@@ -144,6 +144,14 @@ def e42(spark, sf):
     return t.select("priority", F.round(F.get("avg_dist", F.lit(0)), 4).alias("avg_dist_0"), r6("avg_mse").alias("avg_mse"), r6("avg_nmse").alias("avg_nmse"), "n_fail_to_align", "n_fail_to_detect", r6("failure_rate").alias("failure_rate"))
 
 
+@query("e42_keypoint_distances", """SELECT priority, i - 1 AS keypoint, round(avg(sqrt(dx * dx * i * i + dy * dy)), 4) AS avg_dist FROM kr, range(1, 6) t(i) WHERE mse IS NOT NULL GROUP BY 1, 2""", ctes=KP)
+def e42_distances(spark, sf):
+    """The mean distance of every keypoint per test case."""
+    cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("image_id"), F.col("o_orderpriority").alias("priority"))
+    t = vision.keypoint_case(keypoints(spark, sf).join(cases, "image_id"), ["priority"])
+    return t.select("priority", F.posexplode("avg_dist").alias("keypoint", "d")).select("priority", F.col("keypoint").cast("long").alias("keypoint"), F.round("d", 4).alias("avg_dist"))
+
+
 # -- tracks ------------------------------------------------------------------------
 @query("d29_track_risk", """SELECT user_id, event_id, round(least(greatest((mx - 1000) / 44000, 0), 1), 6) AS risk_score, CASE WHEN least(greatest((mx - 1000) / 44000, 0), 1) > 0.9 THEN 'high' ELSE 'low' END AS risk
   FROM (SELECT user_id, event_id, max(value * value) OVER (PARTITION BY user_id) AS mx FROM events WHERE value * value > 100)""")
@@ -320,6 +328,32 @@ def e40(spark, sf):
     return m.withColumn("fmr", r6("fmr")).withColumn("fnmr", r6("fnmr"))
 
 
+ALIGN = FACES + """,
+sm AS (SELECT vec_id AS i, iou < 0.5 OR 3 * abs(embedding[2]::DOUBLE) > 0.5 AS failed FROM embeddings JOIN fv ON fv.i = vec_id),
+up AS (SELECT greatest(p.a, p.b) AS last, p.is_match, CASE WHEN x.iou < 0.5 OR y.iou < 0.5 THEN NULL ELSE p.similarity END AS similarity FROM w_pair p JOIN fv x ON x.i = p.a JOIN fv y ON y.i = p.b),
+uf AS (SELECT up.*, sm.failed OR similarity IS NULL AS failed FROM up JOIN sm ON sm.i = last)"""
+
+
+def face_failures(spark, sf):
+    """Images whose box misses the ground truth, or whose keypoints lie too far off it."""
+    off = views.vectors(spark, sf).select(F.col("vec_id").alias("image_id"), (3 * F.abs(F.col("embedding")[1])).alias("nmse"))
+    return face_boxes(spark, sf).join(off, "image_id").select("image_id", "bbox_iou", ((F.col("bbox_iou") < 0.5) | (F.col("nmse") > 0.5)).alias("failed"))
+
+
+@query("e40_face_case_metrics", """SELECT count(*) AS pairs, count(*) FILTER (WHERE is_match) AS genuine, count(*) FILTER (WHERE NOT is_match) AS imposter, count(*) FILTER (WHERE NOT is_match AND similarity > 0.1) AS fm, count(*) FILTER (WHERE is_match AND similarity <= 0.1) AS fnm,
+  round(fm / imposter, 6) AS fmr, round(fnm / genuine, 6) AS fnmr, round(fnm / genuine - 0.1, 6) AS delta_fnmr, count(*) FILTER (WHERE similarity IS NULL) AS pair_failures, round(pair_failures / pairs, 6) AS pair_failure_rate, count(*) FILTER (WHERE failed) AS fte,
+  round(fte / (SELECT count(*) FROM sm), 6) AS fter FROM uf""", ctes=ALIGN)
+def e40_case(spark, sf):
+    """Every pair listed from both ends; failures to enroll come from boxes, keypoints and missing similarities."""
+    found = face_failures(spark, sf)
+    p = swapped(views.pair(spark, sf))
+    missing = found.where("bbox_iou < 0.5").select(F.col("image_id"), F.lit(True).alias("out"))
+    p = p.join(missing.withColumnsRenamed({"image_id": "a", "out": "oa"}), "a", "left").join(missing.withColumnsRenamed({"image_id": "b", "out": "ob"}), "b", "left")
+    p = p.select("a", "b", "is_match", F.when(F.col("oa").isNull() & F.col("ob").isNull(), F.col("similarity")).alias("similarity"))
+    m = vision.face_case_metrics(p, found, 0.1, 0.1)
+    return m.select(*[r6(c).alias(c) if c in ("fmr", "fnmr", "delta_fnmr", "pair_failure_rate", "fter") else c for c in m.columns])
+
+
 @query("e41_threshold_at_fmr", """SELECT r.fmr, round(s.similarity - 1e-9, 6) AS threshold FROM (SELECT CAST(f AS DOUBLE) AS fmr, (round_even(CAST(f AS DOUBLE) * (SELECT 2 * count(*) FROM w_pair WHERE NOT is_match) / 2, 0) - 1) * 2 AS k FROM (VALUES (0.01), (0.05), (0.1), (0.25)) t(f)) r
   JOIN (SELECT similarity, row_number() OVER (ORDER BY similarity DESC) - 1 AS i FROM (SELECT similarity FROM w_pair WHERE NOT is_match UNION ALL SELECT similarity FROM w_pair WHERE NOT is_match)) s ON s.i = r.k""")
 def e41(spark, sf):
