@@ -88,15 +88,17 @@ def image_metrics(matches: DataFrame, thresholds: DataFrame | float, fallback: f
     return out
 
 
-def threshold_grid(infs: DataFrame, points: int = curves.CURVE_POINTS) -> DataFrame:
-    """Confidence grid: the distinct raw scores, or evenly spaced ones if there are at least ``points`` scores."""
-    span = infs.agg(F.count("score").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
-    even = span.where(F.col("n") >= points).select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k")
-    ).select(F.when(F.col("k") == points - 1, F.col("hi")).otherwise(F.col("lo") + F.col("k") * (F.col("hi") - F.col("lo")) / (points - 1)).alias("threshold"))
-    n = span.select("n").scalar()
-    few = infs.select(F.col("score").alias("threshold")).distinct().where(n < points)
-    return even.unionByName(few)
+def threshold_grid(infs: DataFrame, points: int = curves.CURVE_POINTS, by: Sequence[str] = ()) -> DataFrame:
+    """(by, threshold): the raw scores with their repeats, or evenly spaced ones where a group has at least ``points`` scores."""
+    by = list(by)
+    scores = infs.where("score IS NOT NULL")
+    span = scores.groupBy(*by).agg(F.count("score").alias("_n"), F.min("score").alias("_lo"), F.max("score").alias("_hi"))
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_k")
+    step = F.col("_lo") + F.col("_k") * (F.col("_hi") - F.col("_lo")) / (points - 1)
+    even = span.where(F.col("_n") >= points).select(*by, "_lo", "_hi", grid).select(*by, F.when(F.col("_k") == points - 1, F.col("_hi")).otherwise(step).alias("threshold"))
+    small = span.where(F.col("_n") < points).select(*by, F.lit(1).alias("_few"))
+    few = scores.join(small, by, "left_semi") if by else scores.where(span.select(F.col("_n") < points).scalar())
+    return even.unionByName(few.select(*by, F.col("score").alias("threshold")))
 
 
 def thresholded_counts(matches: DataFrame, grid: Sequence[float], by: Sequence[str] = ("image_id", "label")) -> DataFrame:

@@ -211,3 +211,10 @@ def query_parameter(url: Column, name: str) -> Column:
 
 def qa_correct(bert_f1: Column, rouge_1: Column, threshold: float) -> Column:
     return F.round((bert_f1 + rouge_1) / 2, 3) >= threshold
+
+
+def question_suite(answers: DataFrame, case: str = "test_case", story: str = "story") -> DataFrame:
+    """One row: distinct stories over all test cases, questions and correct answers counted per case, overall accuracy to three digits."""
+    cases = answers.groupBy(case).agg(F.count_if("correct").alias("n_correct"), F.count("*").alias("n")).agg(F.sum("n").alias("n_questions"), F.sum("n_correct").alias("n_correct"))
+    stories = answers.agg(F.count_distinct(story).alias("n_stories"))
+    return cases.crossJoin(stories).select("n_stories", "n_questions", "n_correct", F.round(ratio("n_correct", "n_questions"), 3).alias("overall_accuracy"))  # two single rows

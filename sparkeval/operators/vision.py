@@ -107,7 +107,7 @@ def keypoint_case(results: DataFrame, by: Sequence[str]) -> DataFrame:
     align, detect = F.count_if(F.col("outcome") == "failure_to_align"), F.count_if(F.col("outcome") == "failure_to_detect")
     cases = results.groupBy(*by).agg(
         F.avg("mse").alias("avg_mse"), F.avg("nmse").alias("avg_nmse"), align.alias("n_fail_to_align"), detect.alias("n_fail_to_detect"),
-        ((align + detect) / F.count("*")).alias("failure_rate"),
+        F.count("*").alias("n_samples"), ((align + detect) / F.count("*")).alias("failure_rate"),
     )
     each = results.select(*by, F.posexplode("dist").alias("_point", "_dist")).groupBy(*by, "_point").agg(F.avg("_dist").alias("_avg"))
     means = each.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("_point", "_avg"))), lambda x: x["_avg"]).alias("avg_dist"))
@@ -116,6 +116,13 @@ def keypoint_case(results: DataFrame, by: Sequence[str]) -> DataFrame:
     return cases.join(means, same, "left").drop(*[f"_by_{i}" for i in range(len(by))])
 
 
+def keypoint_suite(cases: DataFrame) -> DataFrame:
+    """One row: population variances of the cases' mean errors and failure rates."""
+    n = F.col("n_samples")
+    rates = {"average_mse": F.col("avg_mse"), "average_nmse": F.col("avg_nmse"), "detection_failure_rate": F.col("n_fail_to_detect") / n, "alignment_failure_rate": F.col("n_fail_to_align") / n, "failure_rate": F.col("failure_rate")}
+    return cases.agg(*[F.var_pop(c).alias(f"variance_{name}") for name, c in rates.items()])
+
+
 # -- tracks --------------------------------------------------------------------
 RISK_LOW_AREA, RISK_HIGH_AREA, HIGH_RISK = 1000.0, 45000.0, 0.9  # fixed values of the risk score
 MIN_BOX_AREA = 100.0

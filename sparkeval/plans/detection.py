@@ -249,6 +249,15 @@ def d14(spark, sf):
     return detection.threshold_grid(views.det_inf(spark, sf)).select(F.round("threshold", 9).alias("threshold"))
 
 
+@query("d14_threshold_grid_by_group", """SELECT label, NULL AS image_id, round(min(score) + k * (max(score) - min(score)) / 500, 9) AS threshold FROM w_det_inf, range(501) t(k) GROUP BY label, k
+  UNION ALL SELECT NULL, image_id, round(score, 9) FROM w_det_inf""")
+def d14_groups(spark, sf):
+    """Labels have more scores than points and get an even grid; images have fewer and keep them all, repeats too."""
+    infs = views.det_inf(spark, sf)
+    grids = detection.threshold_grid(infs, by=["label"]).unionByName(detection.threshold_grid(infs, by=["image_id"]), allowMissingColumns=True)
+    return grids.select("label", "image_id", F.round("threshold", 9).alias("threshold"))
+
+
 DET_RESULTS = SCORES.replace("w_det_inf", "f_inf") + THRESH
 
 

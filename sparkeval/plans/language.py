@@ -330,6 +330,14 @@ def i15(spark, sf):
     return views.binary(spark, sf).groupBy("stratum").agg(F.count_if(ok).alias("correct"), F.count("*").alias("n"))
 
 
+@query("e39_question_suite", """SELECT count(DISTINCT conv_id) AS n_stories, count(*) AS n_questions, count(*) FILTER (WHERE round((length(text) % 100 / 100.0 + turn % 7 / 7.0) / 2, 3) >= 0.5) AS n_correct,
+  round(count(*) FILTER (WHERE round((length(text) % 100 / 100.0 + turn % 7 / 7.0) / 2, 3) >= 0.5) / count(*), 3) AS overall_accuracy FROM conversations""")
+def e39_questions(spark, sf):
+    """A question-answering suite whose stories lie in several test cases: each counts once."""
+    c = table(spark, sf, "conversations").withColumn("correct", text.qa_correct(F.length("text") % 100 / 100, F.col("turn") % 7 / 7, 0.5))
+    return text.question_suite(c.select(F.col("role").alias("test_case"), F.col("conv_id").alias("story"), "correct"))
+
+
 @query("e46_consistency_score", """SELECT user_id, round(count(b.event_id) FILTER (WHERE a.event_type = b.event_type) / nullif(count(b.event_id), 0), 6) AS consistency, any_value(h) AS hallucination
   FROM (SELECT user_id AS u, event_id, event_type FROM events) a JOIN (SELECT user_id, round(avg((value > 50)::INT), 6) AS h FROM events GROUP BY 1) g ON g.user_id = a.u LEFT JOIN (SELECT user_id AS v, event_id, event_type FROM events) b ON a.u = b.v AND a.event_id < b.event_id GROUP BY 1""")
 def e46(spark, sf):

@@ -118,8 +118,9 @@ def a11(spark, sf):
     return versions(spark, sf).download("points", 1).drop("data_type")
 
 
-@query("a12_list_datasets", "SELECT DISTINCT d AS dataset FROM (VALUES ('points'), ('labels')) t(d) WHERE EXISTS (SELECT 1 FROM w_dp) AND EXISTS (SELECT 1 FROM labels)")
+@query("a12_list_datasets", "SELECT 'points' AS dataset, 3 AS n_commits, count(*) AS n_datapoints FROM w_ver WHERE version = 3 UNION ALL SELECT 'labels', 1, count(*) FROM labels")
 def a12(spark, sf):
+    """Every dataset with its size, which the added and removed rows of its commits make up."""
     return versions(spark, sf).list_datasets()
 
 
@@ -137,41 +138,56 @@ def a13(spark, sf):
 def with_results(spark, sf):
     """Results of two models on the latest version; ids unknown to it are dropped, a second upload updates."""
     store = versions(spark, sf)
-    if (spark.sparkContext.applicationId, sf) not in _COUNTS:
+    if (spark.sparkContext.applicationId, sf) not in _RESULTS:
         res = views.res(spark, sf)
         a = res.where("model = 'a'").select("id", "score", "tp")
         b = res.where("model = 'b'").select("id", "score", "tp")
-        counts = [("a", *store.upload_results("points", "a", a, tags=["base"]))]
-        counts.append(("b", *store.upload_results("points", "b", b.where("id % 2 = 0"), '{"threshold": 0.5}', tags=["new", "best"])))
-        counts.append(("b2", *store.upload_results("points", "b", b, '{"threshold": 0.5}', tags=["new", "best"])))
-        _COUNTS[spark.sparkContext.applicationId, sf] = counts
-    return store, _COUNTS[spark.sparkContext.applicationId, sf]
+        store.upload_results("points", "a", a, tags=["base"])
+        store.upload_results("points", "b", b.where("id % 2 = 0"), '{"threshold": 0.5}', tags=["new", "best"])
+        store.upload_results("points", "b", b, '{"threshold": 0.5}', tags=["new", "best"])
+        _RESULTS.add((spark.sparkContext.applicationId, sf))
+    return store
 
 
-_COUNTS: dict[tuple[str, str], list] = {}
+_RESULTS: set[tuple[str, str]] = set()
 V3 = "v3 AS (SELECT id FROM w_ver WHERE version = 3), ok AS (SELECT * FROM w_res WHERE id IN (SELECT id FROM v3))"
 
 
-@query("a14_upload_results", """SELECT 'a' AS upload, count(*) AS n_inserted, 0 AS n_updated FROM ok WHERE model = 'a' UNION ALL SELECT 'b', count(*), 0 FROM ok WHERE model = 'b' AND id % 2 = 0 UNION ALL
-  SELECT 'b2', count(*) FILTER (WHERE id % 2 = 1), count(*) FILTER (WHERE id % 2 = 0) FROM ok WHERE model = 'b'""", ctes=V3)
+@query("a14_upload_results", """SELECT 'a' AS model, 1 AS version, count(*) AS n_inserted, 0 AS n_updated FROM ok WHERE model = 'a' UNION ALL SELECT 'b', 1, count(*), 0 FROM ok WHERE model = 'b' AND id % 2 = 0 UNION ALL
+  SELECT 'b', 2, count(*) FILTER (WHERE id % 2 = 1), count(*) FILTER (WHERE id % 2 = 0) FROM ok WHERE model = 'b'""", ctes=V3)
 def a14(spark, sf):
-    return spark.createDataFrame(with_results(spark, sf)[1], "upload string, n_inserted long, n_updated long")
+    """What the store wrote down for every upload."""
+    return with_results(spark, sf).uploads("points").drop("eval_config")
 
 
 @query("a15_download_results", "SELECT p.id, p.segment, p.price, r.score, r.tp FROM (SELECT * FROM w_ver WHERE version = 3) p LEFT JOIN (SELECT * FROM w_res WHERE model = 'b') r USING (id)")
 def a15(spark, sf):
-    return with_results(spark, sf)[0].download_results("points", "b")['{"threshold": 0.5}'].drop("data_type")
+    return with_results(spark, sf).download_results("points", "b")['{"threshold": 0.5}'].drop("data_type")
 
 
 @query("a16_results_by_tag", "SELECT segment, count(*) AS n, round(sum(score), 4) AS score FROM (SELECT * FROM w_ver WHERE version = 3) LEFT JOIN (SELECT * FROM w_res WHERE model = 'b') r USING (id) GROUP BY 1")
 def a16(spark, sf):
-    found = with_results(spark, sf)[0].download_results_by_tag("points", "best")
+    found = with_results(spark, sf).download_results_by_tag("points", "best")
     return found['{"threshold": 0.5}'].groupBy("segment").agg(F.count("*").alias("n"), F.round(F.sum("score"), 4).alias("score"))
 
 
 @query("a17_models_by_tags", "SELECT DISTINCT model FROM ok WHERE model = 'b'", ctes=V3)
 def a17(spark, sf):
-    return with_results(spark, sf)[0].models("points", ["new", "best"]).select("model")
+    return with_results(spark, sf).models("points", ["new", "best"]).select("model")
+
+
+@query("a18_sized_chunks", "SELECT count(*) AS documents, count(DISTINCT doc_id) AS ids, sum(n_chars)::BIGINT AS chars, true AS several, true AS within_rows, true AS within_bytes FROM documents")
+def a18_sized(spark, sf):
+    """Documents in files of a size measured on a sample: how many rows arrive, and whether any file holds too much."""
+    docs, path, limit = table(spark, sf, "documents"), new_path(spark, "sized"), 100_000
+    each = files.write_chunks(docs, path, chunk_bytes=limit, single_bytes=limit, rows=100)
+    back = spark.read.parquet(f"{path}/chunks").select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    per_file = back.groupBy("file").agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.count_distinct("doc_id").alias("ids"), F.sum("n_chars").alias("chars"))
+    # Documents differ in length, so a file may pass the aim, but not by much.
+    return per_file.agg(
+        F.sum("n").alias("documents"), F.sum("ids").alias("ids"), F.sum("chars").alias("chars"), (F.count("*") > 1).alias("several"),
+        (F.max("n") <= each).alias("within_rows"), (F.max("bytes") <= 3 * limit).alias("within_bytes"),
+    )
 
 
 @query("a18_chunked_ingest", "SELECT doc_id, quality, toxic FROM labels")

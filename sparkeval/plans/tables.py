@@ -79,6 +79,13 @@ def b07(spark, sf):
     return checks.coercion_failures(table(spark, sf, "events"), {"props": "bigint", "event_type": "double", "value": "double"})
 
 
+@query("b07_trusted_sample", """WITH s AS (SELECT DISTINCT event_id FROM ((SELECT event_id FROM events ORDER BY event_id LIMIT 10) UNION ALL (SELECT event_id FROM events ORDER BY md5(event_id::VARCHAR) LIMIT 1000) UNION ALL (SELECT event_id FROM events ORDER BY event_id DESC LIMIT 10)))
+SELECT 'event_type' AS field, count(*) FILTER (WHERE try_cast(event_type AS DOUBLE) IS NULL) AS failures FROM events WHERE event_id IN (SELECT event_id FROM s) UNION ALL SELECT 'value', 0""")
+def b07_trusted(spark, sf):
+    """A trusted frame is checked on its first and last rows and a sample of a thousand."""
+    return checks.coercion_failures(checks.trusted_sample(table(spark, sf, "events"), "event_id"), {"event_type": "double", "value": "double"})
+
+
 FF = {
     "value_in": ("segment", FieldFilter(value_in=["BUILDING", "MACHINERY"]), "segment IN ('BUILDING', 'MACHINERY')"),
     "not_in": ("segment", FieldFilter(value_in=["BUILDING"], inverse=True), "segment <> 'BUILDING'"),

@@ -144,6 +144,15 @@ def e42(spark, sf):
     return t.select("priority", F.round(F.get("avg_dist", F.lit(0)), 4).alias("avg_dist_0"), r6("avg_mse").alias("avg_mse"), r6("avg_nmse").alias("avg_nmse"), "n_fail_to_align", "n_fail_to_detect", r6("failure_rate").alias("failure_rate"))
 
 
+@query("e39_keypoint_suite", """SELECT round(var_pop(m), 9) AS variance_average_mse, round(var_pop(e), 9) AS variance_average_nmse, round(var_pop(d / n), 9) AS variance_detection_failure_rate, round(var_pop(a / n), 9) AS variance_alignment_failure_rate, round(var_pop((a + d) / n), 9) AS variance_failure_rate
+  FROM (SELECT avg(mse) AS m, avg(nmse) AS e, count(*) AS n, count(*) FILTER (WHERE outcome = 'failure_to_align') AS a, count(*) FILTER (WHERE outcome = 'failure_to_detect') AS d FROM kr GROUP BY priority)""", ctes=KP)
+def e39_keypoints(spark, sf):
+    """How much the test cases of a keypoint suite differ."""
+    cases = table(spark, sf, "orders").select(F.col("o_orderkey").alias("image_id"), F.col("o_orderpriority").alias("priority"))
+    t = vision.keypoint_suite(vision.keypoint_case(keypoints(spark, sf).join(cases, "image_id"), ["priority"]))
+    return t.select(*[F.round(c, 9).alias(c) for c in t.columns])
+
+
 @query("e42_keypoint_distances", """SELECT priority, i - 1 AS keypoint, round(avg(sqrt(dx * dx * i * i + dy * dy)), 4) AS avg_dist FROM kr, range(1, 6) t(i) WHERE mse IS NOT NULL GROUP BY 1, 2""", ctes=KP)
 def e42_distances(spark, sf):
     """The mean distance of every keypoint per test case."""

@@ -94,7 +94,9 @@ class Datasets:
 
     # -- datasets ---------------------------------------------------------------
     def list_datasets(self) -> DataFrame:
-        return self.commits().select("dataset").distinct()
+        """(dataset, n_commits, n_datapoints) from the commit log."""
+        size = F.sum(F.col("n_added") - F.col("n_removed"))
+        return self.commits().groupBy("dataset").agg(F.count("*").alias("n_commits"), size.alias("n_datapoints"))
 
     def _latest(self, dataset: str):
         row = self.commits().where(F.col("dataset") == dataset).orderBy(F.col("commit").desc()).first()
@@ -165,11 +167,14 @@ class Datasets:
     def _results_path(self, dataset: str) -> str:
         return f"{self.root}/results/{dataset}"
 
+    _RUNS = "dataset string, model string, eval_config string, tags array<string>, version int, n_inserted long, n_updated long"
+
     def _runs(self) -> DataFrame:
-        schema = "dataset string, model string, eval_config string, tags array<string>, version int"
-        if not self._exists(f"{self.root}/runs"):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/runs")
+        return self._small("runs", self._RUNS)
+
+    def uploads(self, dataset: str) -> DataFrame:
+        """(model, eval_config, version, n_inserted, n_updated) of every upload of results."""
+        return self._runs().where(F.col("dataset") == dataset).select("model", "eval_config", "version", "n_inserted", "n_updated")
 
     def _current_runs(self, dataset: str) -> DataFrame:
         runs = self._runs().where(F.col("dataset") == dataset)
@@ -195,7 +200,7 @@ class Datasets:
         known.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
         total = self.spark.read.parquet(path).count()
         before = 0 if last is None else old.count()
-        self._append("runs", [(dataset, model, eval_config, list(tags), version)], "dataset string, model string, eval_config string, tags array<string>, version int")
+        self._append("runs", [(dataset, model, eval_config, list(tags), version, total - before, updated)], self._RUNS)
         return total - before, updated
 
     def _run_path(self, dataset: str, model: str, eval_config: str | None, version: int) -> str:

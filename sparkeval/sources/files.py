@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -149,3 +150,35 @@ def checked_embeddings(df: DataFrame, ids: Sequence[str], column: str = "embeddi
 
 def write_embeddings(df: DataFrame, path: str, key: str, ids: Sequence[str]) -> None:
     checked_embeddings(df, ids).withColumn("key", F.lit(key)).write.mode("append").partitionBy("key").parquet(path)
+
+
+CHUNK_BYTES, SINGLE_BYTES, PREFLIGHT_ROWS = 250_000_000, 2_000_000_000, 1000
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def chunk_rows(df: DataFrame, scratch: str, chunk_bytes: int = CHUNK_BYTES, single_bytes: int = SINGLE_BYTES, rows: int = PREFLIGHT_ROWS) -> tuple[int, int]:
+    """(rows of the frame, rows of a chunk), from the size of an export of its first rows below ``scratch``.
+
+    A frame whose whole export would not pass ``single_bytes`` is one chunk.
+    """
+    total = df.count()
+    head = min(rows, total)
+    if not head:
+        raise ValueError("nothing to export")
+    df.limit(head).coalesce(1).write.mode("overwrite").parquet(scratch)
+    per_row = folder_bytes(df.sparkSession, scratch) / head
+    return total, total if per_row * total <= single_bytes else max(1, math.ceil(chunk_bytes / per_row))
+
+
+def write_chunks(df: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, single_bytes: int = SINGLE_BYTES, rows: int = PREFLIGHT_ROWS) -> int:
+    """Write a frame as parquet files of at most so many rows as make about ``chunk_bytes``; returns that number of rows.
+
+    Rows are dealt out evenly over as many tasks as there are chunks, so no task writes more than about one file.
+    """
+    total, each = chunk_rows(df, f"{path}/_preflight", chunk_bytes, single_bytes, rows)
+    df.repartition(math.ceil(total / each)).write.mode("overwrite").option("maxRecordsPerFile", each).parquet(f"{path}/chunks")
+    return each

@@ -2,7 +2,12 @@
 
 import random
 
-from sparkeval.operators import checks, suites, vision
+import pytest
+from pyspark.sql import functions as F
+
+from sparkeval.operators import checks, detection, suites, vision
+from sparkeval.session import new_path
+from sparkeval.sources import files
 
 
 def test__suite_replay_equals_the_log_in_order(spark):
@@ -49,3 +54,30 @@ def test__face_case_metrics_take_the_last_listing(spark):
     assert (m.pairs, m.genuine, m.imposter, m.fm, m.fnm, m.pair_failures) == (4, 2, 2, 1, 1, 1)
     # p-q by its own missing similarity, p-r and s-t by the image that lists them.
     assert m.fte == 3 and m.fter == 3 / 5 and m.fmr == 0.5 and m.fnmr == 0.5 and m.delta_fnmr == 0.25 and m.pair_failure_rate == 0.25
+
+
+def test__chunks_hold_what_their_measured_size_allows(spark):
+    df = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    path = new_path(spark, "chunks")
+    each = files.write_chunks(df, path, chunk_bytes=50_000, single_bytes=100_000, rows=200)
+    back = spark.read.parquet(f"{path}/chunks")
+    sizes = [r.n for r in back.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 3 and max(sizes) <= each and sorted(r.id for r in back.collect()) == list(range(5000))
+    assert files.chunk_rows(df, f"{path}/_again") == (5000, 5000)  # below two gigabytes: one chunk
+    with pytest.raises(ValueError):
+        files.write_chunks(df.limit(0), path)
+
+
+def test__a_trusted_frame_is_checked_at_its_ends_and_on_a_sample(spark):
+    df = spark.range(3000).select("id")
+    got = sorted(r.id for r in checks.trusted_sample(df, "id", ends=5, rows=100).collect())
+    assert set(range(5)) | set(range(2995, 3000)) <= set(got) and 100 <= len(got) <= 110
+    assert checks.trusted_sample(df.where("id < 7"), "id").count() == 7
+
+
+def test__threshold_grid_keeps_repeats_below_the_points(spark):
+    df = spark.createDataFrame([("a", 0.5), ("a", 0.5), ("a", None), ("b", 0.0), ("b", 1.0), ("b", 0.2), ("b", 0.2)], "g string, score double")
+    got = sorted(tuple(r) for r in detection.threshold_grid(df, points=3, by=["g"]).collect())
+    assert got == [("a", 0.5), ("a", 0.5), ("b", 0.0), ("b", 0.5), ("b", 1.0)]
+    assert sorted(r.threshold for r in detection.threshold_grid(df.where("g = 'a'")).collect()) == [0.5, 0.5]
+    assert detection.threshold_grid(df.limit(0)).count() == 0
