@@ -63,6 +63,11 @@ class Datasets:
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath)
 
+    def _buckets_in(self, path: str) -> list[int]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        names = [s.getPath().getName() for s in at.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(at)]
+        return [int(n.removeprefix("_bucket=")) for n in names if n.startswith("_bucket=")]
+
     def _append(self, name: str, rows: list[tuple], schema: str) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
@@ -131,11 +136,10 @@ class Datasets:
         path = self._snapshot(dataset, commit)
         placed = df.withColumn("_bucket", self._bucket(df, ids, buckets)).repartition("_bucket")
         placed.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("_bucket").parquet(path)
-        found = self.spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
-        held = [(dataset, commit, r[0]) for r in found.select("_bucket").distinct().collect()]
+        held = [(dataset, commit, bucket) for bucket in self._buckets_in(path)]
         if held:
             self._append("buckets", held, self._WRITTEN)
-        new = found.drop("_bucket")
+        new = self.spark.read.schema(df.schema).parquet(*[f"{path}/_bucket={b}" for _, _, b in held]) if held else self.spark.createDataFrame([], df.schema)
         added, removed = (new.count(), 0) if old is None else change_counts(old, new, ids).first()
         self._append("commits", [(dataset, commit, time.time(), added, removed, ",".join(ids), ",".join(tags), buckets, whole, df.schema.json(), batch)], self._LOG)
         return commit
