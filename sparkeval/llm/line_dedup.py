@@ -3,9 +3,10 @@
 A line's tokens are its distinct words, lower-cased. A line goes if an earlier line (by doc_id, then place in the text) has
 a Jaccard similarity of at least ``percent`` with it. Lines of equal token sets are one class, numbered in the order of
 their first lines. Of two similar sets in one order of all tokens, the first n - ceil(t * n) + 1 tokens of each share a token
-(the prefix), the place of a shared token bounds what can still be shared, and the sizes bound each other. The order puts
-rare tokens first: it sorts by the power of two of a token's slot count, from a table of fixed size over all lines, then by
-hash, so that no count has to be looked up by a join. What passes these filters is counted on the full token sets.
+(the prefix). From the first shared token on, each set must still hold as many tokens as have to be shared, the sizes bound
+each other, and so does the parity of 64 token classes: every bit in which two parities differ is a token that only one set
+has. The order puts rare tokens first: it sorts by half powers of two of a token's slot count, from a table of fixed size
+over all lines, then by hash, so that no count has to be looked up by a join. What passes is counted on the full token sets.
 
 The classes that share a prefix token are compared with the first of them, which decides whole groups of near copies; only
 classes that this leaves undecided are then compared with every earlier class of their prefix tokens.
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch, fresh
 
-SLOT_BITS, PACK_BITS = 16, 10
+SLOT_BITS, PACK_BITS = 19, 12
+#: Levels are one ASCII character each, from "0" on.
+ZERO, TOP = 48, 78
 SPACE = "[ \\t\\x0b\\f\\r]+"
 
 
@@ -27,22 +30,27 @@ def _worded(line: Column) -> Column:
 
 
 def slot_levels(texts: DataFrame) -> Column:
-    """For each hash slot the power of two of its word count over all texts, a constant array of fixed size."""
+    """For each hash slot twice the binary logarithm of its word count over all texts, a constant of one byte for each slot."""
     words = texts.select(F.explode(F.split(F.lower("text"), "[ \\t\\n\\x0b\\f\\r]+")).alias("word"))
-    slots = words.select(F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
-    every = slots.unionByName(texts.sparkSession.range(1 << SLOT_BITS).selectExpr("id AS slot", "1L AS n")).groupBy("slot").agg(F.sum("n").alias("n"))
-    level = F.struct("slot", F.log2("n").cast("int").cast("string").alias("level"))
-    packed = every.groupBy(F.shiftright("slot", PACK_BITS).alias("part")).agg(F.array_sort(F.collect_list(level)).alias("levels"))
-    rows = packed.select("part", F.array_join(F.transform("levels", lambda x: x.level), ",")).collect()
-    return F.split(F.lit(",".join(r[1] for r in sorted(rows))), ",").cast("array<bigint>")
+    slots = words.select(F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS).cast("int").alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    level = F.char(F.least(F.floor(2 * F.log2("n")), F.lit(TOP)) + ZERO)
+    cell = F.struct(F.col("slot").bitwiseAND((1 << PACK_BITS) - 1).alias("at"), level.alias("level"))
+    packed = slots.groupBy(F.shiftright("slot", PACK_BITS).alias("part")).agg(F.array_sort(F.collect_list(cell)).alias("cells"))  # at most 2^PACK_BITS
+    gap = lambda x, i: F.repeat(F.lit("0"), x.at - F.coalesce(F.get(F.col("cells"), i - 1).at, F.lit(-1)) - 1)
+    filled = F.array_join(F.transform("cells", lambda x, i: F.concat(gap(x, i), x.level)), "")
+    found = dict(packed.select("part", F.rpad(filled, 1 << PACK_BITS, "0")).collect())
+    blank = "0" * (1 << PACK_BITS)
+    return F.lit("".join(found.get(part, blank) for part in range(1 << (SLOT_BITS - PACK_BITS))).encode())
 
 
 def ranked_tokens(line: Column, levels: Column) -> Column:
-    """The line's distinct tokens in the global order: level in the top bits, 57 bits of hash below."""
+    """The line's distinct tokens in the global order: level in the top bits, 56 bits of hash below."""
 
     def rank(word: Column) -> Column:
         token = F.xxhash64(word)
-        return F.shiftleft(F.get(levels, F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int")), 57) + token.bitwiseAND((1 << 57) - 1)
+        slot = F.shiftrightunsigned(token, 64 - SLOT_BITS).cast("int")
+        level = F.ascii(F.substring(levels, slot + 1, 1).cast("string")) - ZERO
+        return F.shiftleft(level.cast("bigint"), 56) + token.bitwiseAND((1 << 56) - 1)
 
     words = F.split(F.btrim(F.lower(line), F.lit(" \t\x0b\f\r")), SPACE)
     return F.sort_array(F.array_distinct(F.transform(words, rank)))
@@ -52,44 +60,44 @@ def _ceil_share(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
+def _near(percent: int) -> Column:
+    """Whether the set (at, bits) can be similar to (cat, cbits) if the token of these places is the first that they share."""
+    n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
+    i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
+    need = F.ceil(percent * (n + m) / (100 + percent))
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return sizes & (F.least(n - i, m - j) >= need) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("cbits"))) <= n + m - 2 * need)
+
+
 def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     """(id) of the classes that have an earlier similar class."""
     # A bucket is a token and a size class, twofold wide; sets that can be similar to sets of the next class are in that one too.
     n = F.col("n")
     size_class = F.floor(F.log2("n"))
     both = F.when(100 * n >= percent * F.pow(F.lit(2), size_class + 1), F.array(size_class, size_class + 1)).otherwise(F.array(size_class))
-    places = classes.select("id", "n", F.explode(both).alias("class"), "prefix", "bits").select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
-    bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
-    places = places.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
-    first = places.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
-    groups = scratch.write(places.join(first, "token"), "line-groups")
-
-    def fits(pairs: DataFrame) -> DataFrame:
-        """Pairs (a before b) that can be similar by size, by the places of shared tokens, and by their number.
-
-        Before a shared token, the sets share at most as many tokens as the smaller place; from it on, at most what is left.
-        Every bit of one set that the other lacks is a token that the other lacks. Of the prefix that ends first in the
-        order, every token that is not shared is missing from the other set.
-        """
-        n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
-        i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
-        need = F.ceil(percent * (n + m) / (100 + percent))
-        left = F.least(n - i, m - j)
-        least = F.greatest(need - F.greatest(_ceil_share(n, percent), _ceil_share(m, percent)) + 1, F.lit(1))
-        most = F.least(n - F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("cbits"))), m - F.bit_count(F.col("cbits").bitwiseAND(F.bitwise_not("bits"))))
-        near = pairs.where((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(i, j) + left >= need) & (most >= need))
-        # The least number of shared tokens is one for a pair; the lowest bit says that the place of some token leaves enough.
-        marked = near.select(F.col("cid").alias("a"), F.col("id").alias("b"), (least * 2 + (left >= need).cast("bigint")).alias("mark"))
-        counted = marked.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("mark").alias("mark"))
-        return counted.where("c >= shiftright(mark, 1) AND mark % 2 = 1").select("a", "b")
-
-    star = scratch.write(fits(groups.where("id > cid")), "line-pairs")
+
+    def places(of: DataFrame) -> DataFrame:
+        single = of.select("id", "n", F.explode(both).alias("class"), "prefix", "bits").select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
+        bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
+        return single.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
+
+    all_ = places(classes)
+    first = all_.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
+    pair = [F.col("cid").alias("a"), F.col("id").alias("b")]
+    star = scratch.write(all_.join(first, "token").where((F.col("id") > F.col("cid")) & _near(percent)).select(*pair).distinct(), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
-    open_ = groups.join(decided, "id", "left_anti").where("id > cid").select("token", "id", "at", "bits")
-    earlier = groups.select("token", F.col("id").alias("cid"), F.col("at").alias("cat"), F.col("bits").alias("cbits"))
-    more = scratch.write(fits(open_.join(earlier, "token").where("cid < id")), "line-pairs")
+    # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with. Both
+    # sides of the join are then the same rows and one exchange serves them.
+    known = decided.select("id", F.lit(True).alias("known"))
+    signed = classes.join(known, "id", "left").withColumn("id", F.when(F.col("known"), -1 - F.col("id")).otherwise(F.col("id"))).drop("known")
+    signed = scratch.write(signed, "line-signed")
+    open_ = places(signed)
+    earlier = places(signed).withColumnsRenamed({"id": "cid", "at": "cat", "bits": "cbits"})
+    number = F.when(F.col("cid") < 0, -1 - F.col("cid")).otherwise(F.col("cid"))
+    pairs = open_.join(earlier, "token").where((number < F.col("id")) & _near(percent)).select(number.alias("a"), F.col("id").alias("b"))
+    more = scratch.write(pairs.distinct(), "line-pairs")
     late = scratch.write(_similar(scratch, docs, classes, more, levels, percent), "line-decided")
-    scratch.drop(groups, star, more)
+    scratch.drop(signed, star, more)
     return decided.unionByName(late).distinct()
 
 
@@ -122,8 +130,8 @@ def dedup_lines(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     sets = lines.select("key", "row", "place", ranked_tokens(F.col("line"), levels).alias("tokens"))
     n = F.size("tokens")
     prefix = F.when(n * (100 - percent) >= percent, F.transform(F.slice("tokens", 1, (n - _ceil_share(n, percent) + 1).cast("int")), lambda t: F.hash(t)))
-    # One bit of 64 for each token.
-    bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(t, F.lit(64)).cast("int"))))
+    # The parity of the tokens in each of 64 classes.
+    bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(63).cast("int"))))
     marked = sets.select(F.xxhash64("tokens").alias("set"), n.alias("n"), F.struct("key", "row", "place").alias("first"), F.coalesce(prefix, F.array().cast("array<int>")).alias("prefix"), bits.alias("bits"))
     grouped = marked.groupBy("set", "n").agg(F.min("first").alias("first"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     ordered = grouped.select("first.*", "n", "prefix", "bits").orderBy("key", "row", "place")
