@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch, fresh
 
-SLOT_BITS, PACK_BITS = 19, 12
+SLOT_BITS, PACK_BITS = 17, 12
 #: Levels are one ASCII character each, from "0" on.
 ZERO, TOP = 48, 78
 SPACE = "[ \\t\\x0b\\f\\r]+"
