@@ -1,13 +1,16 @@
 """Main text of web pages with site style trees.
 
-The pages of a host are merged into one tree: a node is a chain of elements with their classes and ids. Each page adds to a
-node its presentation (the kinds of its children in order) and, if it holds text, its content. A node seen on m pages has
+The pages of a host are merged into one tree. A node is an element below its parent's node, keyed by the parent's
+presentation there (the kinds of its children in order, runs taken once) and by its own kind (element, classes and id,
+digits made equal). Each page gives a node its presentation and, if it holds text, its contents. On a host of M pages, with
+K more that share nothing with it or each other, a presentation or content seen on c pages has
 
-    presentation importance  - sum p log_m p  over its presentations,
-    content importance       1 - mean over its distinct contents of log_m (pages that show the content),
+    presentation importance  1 - sum c log c / ((M + K) log (M + K))  over a node's presentations (their entropy),
+    content importance       1 - log c / log (M + K).
 
-and its importance is the content's if it holds text, else the presentation's. Branches of low importance are removed from
-every page, next to those whose element, role, class or id says that they are no article.
+The K pages are the rule for small hosts: what few pages repeat stays. Importances are combined up each page's own tree: a node
+has 0.1 of its presentation's and 0.9 of the mean, by length, of what it holds. A content or a branch, with all below it,
+goes if that is low. Elements, roles, classes and ids that say that they are no article are removed besides.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from sparkeval.llm.textbits import chunks
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>?""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "select"}
+DIGITS = re.compile(r"\d+")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -45,19 +49,67 @@ NO_ARTICLE_WORDS = set(
     " pager popup promo promoted promotion related replies respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe"
     " subscription toolbar topbar widget".split()
 )
+#: Of these, what marks an element inside an article as a part of a longer name too; the others must be a whole class, id or role.
+CLEAR_WORDS = set(
+    "ad ads adv advert advertisement adverts advertising adbox breadcrumb breadcrumbs comment comments consent cookie cookies disqus navbar newsletter"
+    " promo promoted sidebar sponsor sponsored".split()
+)
 #: These mark a page's head outside an article, and an article's own head inside one.
 HEAD_WORDS = {"header", "hero"}
-LOW, PAGES, SCOPE = 0.2, 8, 0.6
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Importance below which a node goes, outside and inside an article or main element.
+LOW, LOW_INSIDE = 0.15, 0.06
+#: Pages added to each host, and a presentation's share of a node's importance.
+PRIOR, OWN = 8, 0.1
+#: Presentations of this importance or more count as 1, and so do contents of LOW or more: a host keeps few others.
+PLAIN = 0.5
+#: A page that would keep less than this share of its text is a copy and stays whole (outside, inside).
+STAYS = (0.2, 0.5)
 SOFT, HARD = 1, 2  # marked by a word, marked by the element
 
 
 class Node:
-    """An open element: its name, its chain's hash, its children's kinds, and whether it is no article or inside one."""
+    """An open element: its name, its place among the page's block elements, and whether it is no article or inside one."""
+
+    __slots__ = ("at", "gone", "inside", "name")
+
+    def __init__(self, name: str, at: int, gone: int, inside: bool):
+        self.name, self.at, self.gone, self.inside = name, at, gone, inside
+
+
+class Page:
+    """A page's block elements, parents before children, and its blocks of text in page order."""
+
+    __slots__ = ("blocks", "fixed", "kinds", "name", "up")
+
+    def __init__(self):
+        self.up: list[int] = []
+        self.name: list[tuple] = []  # element, class, id
+        self.kinds: list[list] = []  # names of the children in order
+        self.fixed: list[bool] = []  # holds an article or is one of its outermost elements
+        self.blocks: list[tuple[int, str, int, bool, bool]] = []  # element, text, named no article, inside, heading
+
+    def add(self, up: int, name: tuple, fixed: bool) -> int:
+        self.up.append(up)
+        self.name.append(name)
+        self.kinds.append([])
+        self.fixed.append(fixed)
+        return len(self.up) - 1
+
+    def keys(self) -> tuple[list[int], list[int]]:
+        """Each element's node in the host's tree, and its presentation."""
+        memo: dict[tuple, int] = {}
 
-    __slots__ = ("gone", "kinds", "name", "path", "scope")
+        def hashed(key: tuple) -> int:
+            if key not in memo:
+                memo[key] = _hash(*key)
+            return memo[key]
 
-    def __init__(self, name: str, path: int, gone: int, scope: int):
-        self.name, self.path, self.gone, self.scope, self.kinds = name, path, gone, scope, []
+        shapes = [hashed(tuple(k for k, _ in groupby(kinds))) for kinds in self.kinds]
+        nodes: list[int] = []
+        for up, name in zip(self.up, self.name):
+            nodes.append(hashed((nodes[up], shapes[up], name)) if nodes else 0)
+        return nodes, shapes
 
 
 def _hash(*parts) -> int:
@@ -65,34 +117,22 @@ def _hash(*parts) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def parse(page: str) -> tuple[list[tuple[int, str, int, int, bool]], list[tuple[int, int]]]:
-    """Blocks (path, text, named no article, scope, heading) in page order, and (path, presentation) of every node closed.
+def parse(page: str) -> Page:
+    """The page's elements and blocks. Inside is what an article or main element holds.
 
-    Scope 2 is inside an article element, 1 inside main, 0 elsewhere. Malformed markup is read as browsers do in the common
-    cases: elements end with their container, an end tag without a start counts for nothing.
+    Malformed markup is read as browsers do in the common cases: elements end with their container, an end tag without a
+    start counts for nothing.
     """
-    memo: dict[tuple, int] = {}
-    blocks, nodes, words = [], [], []
-    stack = [Node("", 0, 0, 0)]
+    out = Page()
+    words = []
+    stack = [Node("", out.add(0, ("",), True), 0, False)]
     owner = stack[0]
 
     def flush() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            heading = any(n.name in ("h1", "h2", "h3", "h4", "h5", "h6") for n in stack[-4:])
-            blocks.append((owner.path, text, owner.gone, owner.scope, heading))
-
-    def close(down_to: int) -> None:
-        while len(stack) > down_to:
-            node = stack.pop()
-            if node.kinds or node.name in BLOCK:
-                nodes.append((node.path, _memo(tuple(k for k, _ in groupby(node.kinds)))))
-
-    def _memo(key: tuple) -> int:
-        if key not in memo:
-            memo[key] = _hash(*key)
-        return memo[key]
+            out.blocks.append((owner.at, text, owner.gone, owner.inside, any(n.name in HEADINGS for n in stack[-4:])))
 
     at = 0
     size = len(page)
@@ -112,7 +152,7 @@ def parse(page: str) -> tuple[list[tuple[int, str, int, int, bool]], list[tuple[
                 if stack[depth].name == name:
                     if name in BLOCK:
                         flush()
-                    close(depth)
+                    del stack[depth:]
                     break
                 if stack[depth].name in ("article", "main", "body") and name not in ("article", "main", "body", "html"):
                     break
@@ -129,38 +169,44 @@ def parse(page: str) -> tuple[list[tuple[int, str, int, int, bool]], list[tuple[
             if name == "hr":
                 flush()
             words.append(" ")
-            stack[-1].kinds.append(name)
+            out.kinds[stack[-1].at].append(name)
             continue
         if name in BLOCK:
             flush()
             ends = ENDS.get(name) or (("p",) if name not in HOLDS or name in ("div", "ul", "ol", "table", "blockquote", "section", "article") else ())
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name in ends:
-                    close(depth)
+                    del stack[depth:]
                     break
                 if stack[depth].name in HOLDS:
                     break
         up = stack[-1]
         marks = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(found[3])} if found[3] else {}
-        path = _memo((up.path, name, marks.get("class", ""), marks.get("id", "")))
-        said = set(re.split(r"[^a-z]+", " ".join(marks.values()).lower())) if marks else ()
-        scope = max(up.scope, 2 if name == "article" else 1 if name == "main" else 0)
+        whole = set(" ".join(marks.values()).lower().split()) if marks else ()
+        said = set(re.split(r"[^a-z]+", " ".join(whole))) if marks else ()
+        inside = up.inside or name in ("article", "main")
         gone = up.gone
         if name in ("article", "main"):
             # A marked wrapper around an article does not hide it; an article that is a comment, or in an aside, stays hidden.
             gone = HARD if up.gone == HARD or {"comment", "comments", "reply", "replies"}.intersection(said) else 0
-        elif name in NO_ARTICLE or (name == "header" and scope == 0):
+        elif name in NO_ARTICLE or (name == "header" and not inside):
             gone = HARD
-        elif name not in ("html", "body") and (NO_ARTICLE_WORDS.intersection(said) or (scope == 0 and HEAD_WORDS.intersection(said))):
+        elif name in ("html", "body"):
+            pass
+        elif inside and (NO_ARTICLE_WORDS.intersection(whole) or CLEAR_WORDS.intersection(said)):
             gone = max(gone, SOFT)
+        elif not inside and (NO_ARTICLE_WORDS | HEAD_WORDS).intersection(said):
+            gone = max(gone, SOFT)
+        here = up.at
         if name in BLOCK:
-            up.kinds.append(path)
-        stack.append(Node(name, path, gone, scope))
+            kind = (name, DIGITS.sub("0", marks.get("class", "")), DIGITS.sub("0", marks.get("id", ""))) if marks else (name,)
+            out.kinds[up.at].append(kind)
+            here = out.add(up.at, kind, name in ("article", "main", "html", "body"))
+        stack.append(Node(name, here, gone, inside))
         if name in BLOCK:
             owner = stack[-1]
     flush()
-    close(1)
-    return blocks, nodes
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -171,77 +217,100 @@ def host_of(url: Column) -> Column:
     return F.substring_index(host, "@", -1)
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance, scope, heading, text) of every node of every host's tree."""
+SEEN = pa.schema([("host", pa.string()), ("node", pa.int64()), ("shape", pa.int64())])
+
+
+def style_tree(pages: DataFrame, scratch: Scratch, least: float | None = None) -> DataFrame:
+    """(host, node, content, importance) of the nodes of every host's tree.
+
+    A content's node is the hash of its element's node and its text. With ``least`` only contents below it, and
+    presentations below PLAIN: of a host of M pages with b blocks each these are at most b * (M + K) ** least and 4 * b.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html"):
-            rows = set()
-            for i, (host, page) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist())):
-                blocks, nodes = parse(page or "")
-                own = {(host, path, 1, _hash(text), scope, heading) for path, text, gone, scope, heading in blocks if not gone}
-                own |= {(host, path, 0, kinds, 0, False) for path, kinds in nodes}
-                rows.update((i, *r) for r in own)
-            yield pa.RecordBatch.from_pylist([dict(zip(("host", "path", "kind", "feature", "scope", "heading"), r[1:])) for r in rows], schema=SEEN)
-
-    schema = "host string, path bigint, kind int, feature bigint, scope int, heading boolean"
-    seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, schema)
-    counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("c"), F.max("scope").alias("scope"), F.max("heading").alias("heading"))
-    per = counts.groupBy("host", "path", "kind").agg(
-        F.sum("c").alias("shown"), F.max("c").alias("top"), F.count("*").alias("kinds"), F.sum(F.log("c")).alias("logs"), F.sum(F.col("c") * F.log("c")).alias("clogs"), F.max("scope").alias("scope"), F.max("heading").alias("heading")
-    )
-    # The number of pages of a node: each closed node gives one presentation a page (more if it repeats there).
-    m = F.greatest(F.max(F.when(F.col("kind") == 0, F.col("shown"))), F.max("top"))
-    node = per.groupBy("host", "path").agg(
-        m.alias("pages"), F.max(F.when(F.col("kind") == 1, F.col("logs") / F.col("kinds"))).alias("content"),
-        F.max(F.when(F.col("kind") == 0, F.log("shown") - F.col("clogs") / F.col("shown"))).alias("shape"), F.max("scope").alias("scope"), F.max("heading").alias("heading"),
-    )
-    content = 1 - F.col("content") / F.log("pages")
-    importance = F.when(F.col("pages") <= 1, 1.0).when(F.col("content").isNotNull(), content).otherwise(F.col("shape") / F.log("pages"))
-    return node.select("host", "path", "pages", importance.alias("importance"), "scope", "heading", F.col("content").isNotNull().alias("text"))
-
-
-SEEN = pa.schema([("host", pa.string()), ("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("scope", pa.int32()), ("heading", pa.bool_())])
-
-
-def noise(tree: DataFrame, low: float = LOW, pages: int = PAGES, scope: float = SCOPE) -> DataFrame:
-    """(host, paths): the text nodes to remove from a host's pages.
-
-    Nodes on at least ``pages`` pages with an importance below ``low``. Inside an article or main element they go only if the
-    host's articles as a whole matter (their text nodes' mean importance reaches ``scope``) and are no headings: a host whose
-    pages are copies of one article keeps it.
-    """
-    texts = tree.where("text")
-    articles = texts.where("scope > 0").groupBy("host").agg((F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("inner"))
-    weak = texts.where((F.col("pages") >= pages) & (F.col("importance") < low)).join(articles, "host", "left")
-    goes = (F.col("scope") == 0) | (~F.col("heading") & (F.col("inner") >= scope))
-    return weak.where(goes).groupBy("host").agg(F.collect_set("path").alias("paths"))
+            hosts, ids, kinds = [], [], []
+            for host, html_ in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+                page = parse(html_ or "")
+                nodes, shapes = page.keys()
+                seen: dict[int, set] = {}
+                for node, shape in zip(nodes, shapes):
+                    seen.setdefault(node, set()).add(shape)
+                contents = {_hash(nodes[at], text) for at, text, gone, _, _ in page.blocks if not gone}
+                # An element that recurs on a page has the set of its presentations there; node 0 counts the page.
+                ids += [*seen, *contents]
+                kinds += [next(iter(x)) if len(x) == 1 else _hash(*sorted(x)) for x in seen.values()] + [None] * len(contents)
+                hosts += [host] * (len(seen) + len(contents))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(ids, pa.int64()), pa.array(kinds, pa.int64())], schema=SEEN)
+
+    seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, node bigint, shape bigint")
+    counts = seen.groupBy("host", "node", "shape").agg(F.count("*").alias("c"))
+    content = F.col("shape").isNull()
+    if least is not None:  # a host has at least the c pages: no importance is below that on a host of c pages
+        counts = counts.where(F.when(content, 1 - F.log("c") / F.log(F.col("c") + PRIOR) < least).otherwise((F.col("c") > 1) | (F.col("node") == 0)))
+    counts = scratch.write(counts, "style-counts")
+    hosts = counts.where("node = 0").groupBy("host").agg((F.sum("c") + PRIOR).alias("all"))
+    nodes = counts.groupBy("host", "node", content.alias("content")).agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.log("c")).alias("clogs"))
+    shape = 1 - F.col("clogs") / (F.col("all") * F.log("all"))
+    importance = F.when(F.col("content"), 1 - F.log("c") / F.log("all")).otherwise(shape)
+    tree = nodes.join(hosts, "host").select("host", "node", "content", importance.alias("importance"))
+    return tree if least is None else tree.where(F.col("importance") < F.when(F.col("content"), least).otherwise(PLAIN))
 
 
 def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row.
 
     Character references are decoded, white space inside a block becomes one space, empty blocks vanish, and the blocks are
-    joined by line feeds in page order. If a page has article elements with text, only they count, else its main element,
-    else its body. Null and empty html give an empty text; a null url is a host of its own; repeated rows give equal rows and
+    joined by line feeds in page order. If a page has article or main elements with text, only what they hold counts, else its
+    body. Null and empty html give an empty text; a null url is a host of its own; repeated rows give equal rows and
     count as pages; clashing columns are ignored; an empty table gives an empty one. Whole pages, whatever their size.
     """
-    spark = pages.sparkSession
-    scratch = Scratch(spark)
-    found = scratch.write(noise(style_tree(pages), low), "style-noise")
-    rows = pages.select("page_id", "url", "html").withColumn("host", host_of(F.col("url"))).join(found, "host", "left").select("page_id", "url", "html", "paths")
+    scratch = Scratch(pages.sparkSession)
+    low_ones = style_tree(pages, scratch, low).groupBy("host").agg(F.collect_list(F.struct("node", "importance")).alias("low"))
+    found = scratch.write(low_ones, "style-noise")
+    rows = pages.select("page_id", "url", "html").withColumn("host", host_of(F.col("url"))).join(found, "host", "left").select("page_id", "url", "html", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html"):
-            texts = [main_text(page or "", frozenset(paths or ())) for page, paths in zip(part.column("html").to_pylist(), part.column("paths").to_pylist())]
+            texts = []
+            for i, page in enumerate(part.column("html").to_pylist()):
+                weak = part.column("low")[i].as_py() or ()
+                texts.append(main_text(page or "", {x["node"]: x["importance"] for x in weak}, low))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(np.asarray([len(t) for t in texts], np.int64))], names=["page_id", "url", "text", "n_chars"])
 
     kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}["page_id"]
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
 
 
-def main_text(page: str, gone: frozenset[int] = frozenset()) -> str:
-    blocks, _ = parse(page)
-    kept = [(text, scope) for path, text, named, scope, _ in blocks if not named and path not in gone]
-    best = max((scope for _, scope in kept), default=0)
-    return "\n".join(text for text, scope in kept if scope == best).encode("utf-8", "replace").decode()
+def unimportant(page: Page, blocks: list[tuple], weak: dict[int, float], bound: float) -> set[int]:
+    """Places in ``blocks`` of what the host's tree removes from this page: contents and whole branches below ``bound``."""
+    nodes, _ = page.keys()
+    own = [weak.get(_hash(nodes[at], text), 1.0) if not (heading and inside) else 1.0 for at, text, _, inside, heading in blocks]
+    length, total = [0.0] * len(nodes), [0.0] * len(nodes)
+    for (at, text, *_), x in zip(blocks, own):
+        length[at] += len(text)
+        total[at] += len(text) * x
+    for at in range(len(nodes) - 1, 0, -1):  # children come after their parents
+        if length[at]:
+            total[at] = length[at] * (OWN * weak.get(nodes[at], 1.0) + (1 - OWN) * total[at] / length[at])
+            length[page.up[at]] += length[at]
+            total[page.up[at]] += total[at]
+    gone = [False] * len(nodes)
+    for at in range(1, len(nodes)):
+        gone[at] = gone[page.up[at]] or (not page.fixed[at] and 0 < length[at] and total[at] < bound * length[at])
+    return {i for i, (block, x) in enumerate(zip(blocks, own)) if x < bound or gone[block[0]]}
+
+
+def main_text(html_: str, weak: dict[int, float] | None = None, low: float = LOW) -> str:
+    """The text of one page; ``weak`` holds the importances of its host's nodes, those that are missing are 1."""
+    page = parse(html_)
+    blocks = [b for b in page.blocks if not b[2]]
+    inside = any(b[3] for b in blocks)
+    if inside:
+        blocks = [b for b in blocks if b[3]]
+    if weak:
+        out = unimportant(page, blocks, weak, min(low, LOW_INSIDE) if inside else low)
+        rest = sum(len(b[1]) for i, b in enumerate(blocks) if i not in out)
+        if rest >= STAYS[inside] * sum(len(b[1]) for b in blocks):
+            blocks = [b for i, b in enumerate(blocks) if i not in out]
+    return "\n".join(b[1] for b in blocks).encode("utf-8", "replace").decode()

@@ -92,14 +92,74 @@ def test__extract(spark):
     assert html_text.extract(table.limit(0)).count() == 0
 
 
-def test__style_tree_removes_what_a_host_repeats(spark):
-    """A box without telling names, equal on all pages of a host, goes; so does nothing of pages that are copies of each other."""
-    pages = [(i, f"https://site.example/{i}", f"<body><div><span>Best site ever</span></div><div><p>Story {i} begins</p><p>and ends {i * 7}</p></div></body>") for i in range(40)]
+def test__words_and_articles():
+    """A main element's own text counts next to its article's, and inside an article a part of a longer name is no mark."""
+    assert html_text.main_text("<main><h1>Title</h1><p>Lead</p><article><p>Body.</p></article></main><p>out") == "Title\nLead\nBody."
+    article = '<article><h1>H</h1><p id="widget-4">a</p><section class="related-work"><p>b</p></section><p class="search-tips">c</p><div class="related"><p>no</p></div><div class="comment-list">no</div></article>'
+    assert html_text.main_text(article) == "H\na\nb\nc"
+    assert html_text.main_text('<div class="related-work"><p>b</p></div><p>c') == "c"
+
+
+def sites() -> list[tuple[int, str, str]]:
+    box = "<div><span>Best site ever</span></div>"
+    pages = [(i, f"https://site.example/{i}", f"<body>{box}<div><p>Story {i} begins</p><p>and ends {i * 7}</p></div></body>") for i in range(40)]
     pages += [(100 + i, f"https://copy.example/{i}", "<article><h1>Same</h1><p>text of all</p></article>") for i in range(40)]
     pages += [(200 + i, f"https://art.example/{i}", f"<article><h1>Title {i}</h1><p>text {i}</p><div><p class=x>Read more below</p></div><p>more {i}</p></article>") for i in range(40)]
-    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
-    assert got[7] == "Best site ever\nStory 7 begins\nand ends 49" or got[7] == "Story 7 begins\nand ends 49"
-    assert got[105] == "Same\ntext of all" and got[207] == "Title 7\ntext 7\nmore 7"
-    tree = html_text.style_tree(spark.createDataFrame(pages, "page_id bigint, url string, html string")).where("host = 'art.example' AND text")
-    importance = sorted(r.importance for r in tree.collect())
-    assert importance[0] < 0.01 and importance[-1] > 0.99
+    links = "".join(f"<li>Link {k}</li>" for k in range(30))  # a menu without a name, one of its entries differs from page to page
+    pages += [(300 + i, f"https://menu.example/{i}", f"<body><div><ul>{links}<li>Ad no {i}</li></ul></div><p>Welcome</p><p>{'word ' * 150}{i}</p></body>") for i in range(200)]
+    pages += [(600 + i, f"https://few.example/{i}", f"<body>{box}<p>Story {i}</p></body>") for i in range(6)]
+    near = "<p>a first paragraph that all of the copies hold</p><p>a second one</p>"
+    pages += [(700 + i, f"https://near.example/{i}", f"<body><h1>A</h1>{near}<p>{i}</p></body>") for i in range(60)]
+    return pages
+
+
+def test__style_tree_removes_what_a_host_repeats(spark):
+    """Unnamed boxes, menus and lines that a host repeats go, branches as a whole; copies, and what few pages repeat, stay."""
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(sites(), "page_id bigint, url string, html string").repartition(5)).collect()}
+    for i in range(40):
+        assert got[i] == f"Story {i} begins\nand ends {i * 7}"
+        assert got[100 + i] == "Same\ntext of all" and got[200 + i] == f"Title {i}\ntext {i}\nmore {i}"
+    assert all(got[300 + i] == "word " * 150 + str(i) for i in range(200))
+    assert all(got[600 + i] == f"Best site ever\nStory {i}" for i in range(6))
+    assert all(got[700 + i] == f"A\na first paragraph that all of the copies hold\na second one\n{i}" for i in range(60))
+
+
+def test__style_tree_against_trees_in_memory(spark):
+    """Importances against trees built page by page in plain Python."""
+    from math import log
+
+    import pytest
+
+    pages = sites()
+    hosts: dict = {}
+    for _, url, page in pages:
+        hosts.setdefault(url.split("/")[2], []).append(html_text.parse(page))
+    want = {}
+    for host, parsed in hosts.items():
+        shown: dict = {}
+        for page in parsed:
+            nodes, shapes = page.keys()
+            on_page = {(n, False, frozenset(s for m, s in zip(nodes, shapes) if m == n)) for n in nodes}
+            on_page |= {(html_text._hash(nodes[at], text), True, None) for at, text, gone, *_ in page.blocks if not gone}
+            for key in on_page:
+                shown[key] = shown.get(key, 0) + 1
+        base = len(parsed) + html_text.PRIOR
+        for (node, content, _), c in shown.items():
+            if content:
+                want[host, node, True] = 1 - log(c) / log(base)
+            else:
+                want[host, node, False] = want.get((host, node, False), 1.0) - c * log(c) / (base * log(base))
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(5)
+    scratch = html_text.Scratch(spark)
+    got = {(r.host, r.node, r.content): r.importance for r in html_text.style_tree(table, scratch).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    few = {(r.host, r.node, r.content): r.importance for r in html_text.style_tree(table, scratch, 0.15).collect()}
+    assert set(few) == {k for k, x in want.items() if x < (0.15 if k[2] else html_text.PLAIN)}
+    assert min(got.values()) < 0.06
+
+
+def test__very_long_pages(spark):
+    page = "<article>" + "".join(f"<p>line {i}</p>" for i in range(60000)) + "</article>"
+    got = html_text.extract(spark.createDataFrame([(1, "http://a.b/", page), (2, "http://a.b/", "<div>" * 3000 + "deep")], "page_id bigint, url string, html string")).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert texts[1] == "\n".join(f"line {i}" for i in range(60000)) and texts[2] == "deep"
