@@ -5,8 +5,9 @@ a Jaccard similarity of at least ``percent`` with it. Lines of equal token sets
 their first lines. Of two similar sets in one order of all tokens, the first n - ceil(t * n) + 1 tokens of each share a token
 (the prefix). From the first shared token on, each set must still hold as many tokens as have to be shared, the sizes bound
 each other, and so does the parity of 64 token classes: every bit in which two parities differ is a token that only one set
-has. The order puts rare tokens first: it sorts by half powers of two of a token's slot count, from a table of fixed size
-over all lines, then by hash, so that no count has to be looked up by a join. What passes is counted on the full token sets.
+has. Two sets must also share enough prefix tokens: the rest of the one whose prefix ends first cannot make up for more. The
+order puts rare tokens first: it sorts by half powers of two of a token's slot count, from a table of fixed size over all
+lines, then by hash, so that no count has to be looked up by a join. What passes is counted on the full token sets.
 
 The classes that share a prefix token are compared with the first of them, which decides whole groups of near copies; only
 classes that this leaves undecided are then compared with every earlier class of their prefix tokens.
@@ -60,13 +61,41 @@ def _ceil_share(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def _near(percent: int) -> Column:
-    """Whether the set (at, bits) can be similar to (cat, cbits) if the token of these places is the first that they share."""
-    n, m = F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31)
-    i, j = F.col("at").bitwiseAND((1 << 31) - 1), F.col("cat").bitwiseAND((1 << 31) - 1)
-    need = F.ceil(percent * (n + m) / (100 + percent))
+def _places() -> tuple[Column, Column, Column, Column]:
+    """Sizes of the two sets and places of a token that they share, from (at, cat)."""
+    low = (1 << 31) - 1
+    return F.shiftrightunsigned("at", 31), F.shiftrightunsigned("cat", 31), F.col("at").bitwiseAND(low), F.col("cat").bitwiseAND(low)
+
+
+def _need(percent: int) -> Column:
+    """How many tokens the two sets of (at, cat) have to share."""
+    n, m, _, _ = _places()
+    return F.ceil(percent * (n + m) / (100 + percent))
+
+
+def _alike(percent: int) -> Column:
+    """Whether the sets (at, bits) and (cat, cbits) can be similar by their sizes and parities."""
+    n, m, _, _ = _places()
     sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return sizes & (F.least(n - i, m - j) >= need) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("cbits"))) <= n + m - 2 * need)
+    return sizes & (F.bit_count(F.col("bits").bitwiseXOR(F.col("cbits"))) <= n + m - 2 * _need(percent))
+
+
+def _first(percent: int) -> Column:
+    """Whether they can be similar if the token of these places is the first that they share."""
+    n, m, i, j = _places()
+    return F.least(n - i, m - j) >= _need(percent)
+
+
+def _any(percent: int) -> Column:
+    """Whether they can be similar if they share the token of these places, be it the first or not."""
+    n, m, i, j = _places()
+    return F.least(i, j) + F.least(n - i, m - j) >= _need(percent)
+
+
+def _enough(percent: int) -> Column:
+    """How many prefix tokens they have to share: the prefix that ends first holds all that they share up to its end."""
+    n, m, _, _ = _places()
+    return _need(percent) - _ceil_share(F.greatest(n, m), percent) + 1
 
 
 def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: Column, percent: int) -> DataFrame:
@@ -84,7 +113,7 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     all_ = places(classes)
     first = all_.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
     pair = [F.col("cid").alias("a"), F.col("id").alias("b")]
-    star = scratch.write(all_.join(first, "token").where((F.col("id") > F.col("cid")) & _near(percent)).select(*pair).distinct(), "line-pairs")
+    star = scratch.write(all_.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent) & _first(percent)).select(*pair).distinct(), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
     # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with. Both
     # sides of the join are then the same rows and one exchange serves them.
@@ -94,8 +123,11 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     open_ = places(signed)
     earlier = places(signed).withColumnsRenamed({"id": "cid", "at": "cat", "bits": "cbits"})
     number = F.when(F.col("cid") < 0, -1 - F.col("cid")).otherwise(F.col("cid"))
-    pairs = open_.join(earlier, "token").where((number < F.col("id")) & _near(percent)).select(number.alias("a"), F.col("id").alias("b"))
-    more = scratch.write(pairs.distinct(), "line-pairs")
+    # Two sets may meet in two size classes; the larger one's own is where their shared tokens are counted.
+    met = open_.join(earlier, "token").where((number < F.col("id")) & _alike(percent) & _any(percent))
+    met = met.where(F.col("token").bitwiseAND(255) == F.floor(F.log2(F.greatest(*_places()[:2]))))
+    hits = met.groupBy(number.alias("a"), F.col("id").alias("b"), _enough(percent).alias("enough")).agg(F.count("*").alias("shared"), F.max(_first(percent)).alias("first"))
+    more = scratch.write(hits.where("first AND shared >= enough").select("a", "b"), "line-pairs")
     late = scratch.write(_similar(scratch, docs, classes, more, levels, percent), "line-decided")
     scratch.drop(signed, star, more)
     return decided.unionByName(late).distinct()
