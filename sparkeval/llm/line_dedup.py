@@ -111,9 +111,12 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
         return single.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
 
     all_ = places(classes)
-    first = all_.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
+    # For the star the shorter prefix does that suffices against a set of at least the same size; it only has to find most.
+    n_, place = F.shiftrightunsigned("at", 31), F.col("at").bitwiseAND((1 << 31) - 1)
+    rare = all_.where(place < n_ - F.ceil(2 * percent * n_ / (100 + percent)) + 1)
+    first = rare.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
     pair = [F.col("cid").alias("a"), F.col("id").alias("b")]
-    star = scratch.write(all_.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent) & _first(percent)).select(*pair).distinct(), "line-pairs")
+    star = scratch.write(rare.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent) & _first(percent)).select(*pair).distinct(), "line-pairs")
     decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
     # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with. Both
     # sides of the join are then the same rows and one exchange serves them.
