@@ -117,7 +117,7 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     first = rare.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
     pair = [F.col("cid").alias("a"), F.col("id").alias("b")]
     star = scratch.write(rare.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent) & _first(percent)).select(*pair).distinct(), "line-pairs")
-    decided = scratch.write(_similar(scratch, docs, classes, star, levels, percent), "line-decided")
+    decided = _similar(scratch, docs, classes, star, levels, percent)
     # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with. Both
     # sides of the join are then the same rows and one exchange serves them.
     known = decided.select("id", F.lit(True).alias("known"))
@@ -131,7 +131,7 @@ def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, level
     met = met.where(F.col("token").bitwiseAND(255) == F.floor(F.log2(F.greatest(*_places()[:2]))))
     hits = met.groupBy(number.alias("a"), F.col("id").alias("b"), _enough(percent).alias("enough")).agg(F.count("*").alias("shared"), F.max(_first(percent)).alias("first"))
     more = scratch.write(hits.where("first AND shared >= enough").select("a", "b"), "line-pairs")
-    late = scratch.write(_similar(scratch, docs, classes, more, levels, percent), "line-decided")
+    late = _similar(scratch, docs, classes, more, levels, percent)
     scratch.drop(signed, star, more)
     return decided.unionByName(late).distinct()
 
@@ -145,7 +145,9 @@ def _similar(scratch: Scratch, docs: DataFrame, classes: DataFrame, pairs: DataF
     tokens = scratch.write(picked.select("p.id", ranked_tokens(F.col("p.line"), levels).alias("tokens")).dropDuplicates(["id"]), "line-tokens")
     both = pairs.join(tokens.withColumnsRenamed({"id": "a", "tokens": "x"}), "a").join(tokens.withColumnsRenamed({"id": "b", "tokens": "y"}), "b")
     sized = both.select("b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-    return sized.where(f"100 * shared >= {percent} * (total - shared)").select(F.col("b").alias("id")).distinct()
+    out = scratch.write(sized.where(f"100 * shared >= {percent} * (total - shared)").select(F.col("b").alias("id")).distinct(), "line-decided")
+    scratch.drop(tokens)
+    return out
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
