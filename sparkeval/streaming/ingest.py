@@ -38,9 +38,16 @@ def run(stream: DataFrame, folder: str, batch: Callable[[DataFrame, int], None],
 
 
 def ingest(stream: DataFrame, store: Datasets, dataset: str, ids: Sequence[str], available_now: bool = True):
-    """Every batch is validated and upserted as one commit that remembers it; a batch that runs again makes no second one."""
-    folder = f"{store.root}/streams/{dataset}"
-    return run(stream, folder, lambda df, b: store.upload(dataset, df, ids, append_only=True, batch=f"stream:{b}"), available_now=available_now)
+    """Every batch is validated and upserted as one commit that remembers it; a batch that runs again makes no second one.
+
+    A batch without rows, as of a file that a writer's empty partition left, commits nothing.
+    """
+
+    def upload(df: DataFrame, batch: int) -> None:
+        if not df.isEmpty():
+            store.upload(dataset, df, ids, append_only=True, batch=f"stream:{batch}")
+
+    return run(stream, f"{store.root}/streams/{dataset}", upload, available_now=available_now)
 
 
 def first_calls(calls: DataFrame, ids: Sequence[str], folder: str, time: str = "start") -> DataFrame:

@@ -50,6 +50,14 @@ def test__ingest_starts_again_and_replays_without_a_second_commit(spark):
     assert again.download("d").count() == 4
 
 
+def test__ingest_passes_over_files_without_rows(spark):
+    folder, store = new_path(spark, "in"), Datasets(spark, new_path(spark, "store"))
+    for rows in ([], [(1, 5, "a", 1)], [], [(2, 6, "b", 2)]):
+        add_file(spark, folder, rows)
+    ingest.ingest(source(spark, folder), store, "d", ["id"])
+    assert sorted(r.id for r in store.download("d").collect()) == [1, 2] and store.history("d").count() == 2
+
+
 def test__totals_and_first_calls_start_again_and_replay(spark):
     folder, totals, firsts = (new_path(spark, n) for n in ("in", "totals", "firsts"))
     sums = {"samples": F.count("*"), "tp": F.sum("tp")}
