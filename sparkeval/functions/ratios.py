@@ -45,6 +45,12 @@ def specificity(fp, tn) -> Column:
     return ratio(tn, _d(fp) + _d(tn))
 
 
+def rounded(x, places: int) -> Column:
+    """Rounded as SQL engines round doubles: the scaled double decides, not its shortest decimal form, so 0.035625 gives 0.03562."""
+    scale = float(10**places)
+    return F.round(_d(x) * F.lit(scale)) / F.lit(scale)
+
+
 def r6(x) -> Column:
     """Rounded to six places for stable output."""
-    return F.round(_d(x), 6)
+    return rounded(x, 6)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkeval.functions import boxes
-from sparkeval.functions.ratios import r6
+from sparkeval.functions.ratios import r6, rounded
 from sparkeval.functions.vectors import dot
 from sparkeval.operators import blocks, detection, joins, levels, matching, polygons, similarity, vision
 from sparkeval.plans import detection as det
@@ -279,9 +279,9 @@ pp AS (SELECT g.image_id, sum({IOU}) AS pair_iou, avg(sqrt(((g.x1 + g.x2 - i.x1
   round(std_distance, 3) AS std_distance FROM gs JOIN ge USING (image_id) LEFT JOIN pp USING (image_id)""", ctes=BG)
 def d31(spark, sf):
     p = vision.box_group_properties(det.gts(spark, sf).withColumnRenamed("gt_idx", "idx"), 100, 100)
-    five = [F.round(c, 5).alias(c) for c in ("std_relative_area", "mean_relative_distance", "std_relative_distance")]
-    five += [F.round(c, 9).alias(c) for c in ("combined_area", "mean_relative_area")]
-    return p.select("image_id", "objects", "types", *five, F.round(F.abs("entropy"), 5).alias("entropy"), F.round("pair_iou", 5).alias("pair_iou"), F.round("mean_distance", 4).alias("mean_distance"), F.round("std_distance", 3).alias("std_distance"))
+    five = [rounded(c, 5).alias(c) for c in ("std_relative_area", "mean_relative_distance", "std_relative_distance")]
+    five += [rounded(c, 9).alias(c) for c in ("combined_area", "mean_relative_area")]
+    return p.select("image_id", "objects", "types", *five, rounded(F.abs("entropy"), 5).alias("entropy"), rounded("pair_iou", 5).alias("pair_iou"), rounded("mean_distance", 4).alias("mean_distance"), rounded("std_distance", 3).alias("std_distance"))
 
 
 # -- face pairs --------------------------------------------------------------------

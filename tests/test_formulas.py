@@ -81,3 +81,12 @@ def test__cuts_below(spark):
     rows = df.select("v", cuts_below("v", cuts).alias("le"), cuts_below("v", cuts, False).alias("lt")).collect()
     for r in rows:
         assert r.le == sum(c <= r.v for c in cuts) and r.lt == sum(c < r.v for c in cuts)
+
+
+def test__rounding_matches_sql(spark):
+    import duckdb
+
+    ties = [(57 / 1600, 5), (0.035625, 5), (1 / 64, 5), (0.0000125, 6), (0.1234565, 6), (-0.1234565, 6), (2.5, 0), (1.0000005, 6), (123456.7890625, 6)]
+    want = [duckdb.connect().execute(f"SELECT round({x!r}::DOUBLE, {n})").fetchone()[0] for x, n in ties]
+    got = one(spark, **{f"v{i}": ratios.rounded(F.lit(x), n) for i, (x, n) in enumerate(ties)})
+    assert [got[f"v{i}"] for i in range(len(ties))] == want
