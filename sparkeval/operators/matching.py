@@ -4,6 +4,9 @@ Inputs are one row per object: ground truths ``(image_id, gt_idx, geom, is_ignor
 inferences ``(image_id, inf_idx, geom, score, ...)``, where ``geom`` is a box struct or a ring of
 points. An inference's candidate is the ground truth of highest overlap at or above the threshold,
 taken or not, so there is no sequential dependence: two aggregates decide everything.
+
+Boxes of an image with up to ``CROWD`` objects are dealt out once, by image, and matched with windows that need no further
+exchange. Crowded images, and shapes whose overlap is no column expression, go through the tiles of ``overlapping``.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkeval.functions import boxes
@@ -18,6 +22,7 @@ from sparkeval.session import materialize
 
 SIZE_STEP = 8  # objects whose larger side lies between two powers of this are of one size class
 TILE_SCALE = 2.0  # tile side of a class over its largest object side
+CROWD = 512  # most objects of an image whose ground truths are compared as one list
 
 
 def _group(cols: Sequence[str]) -> Column:
@@ -102,12 +107,63 @@ def match(
     """
     gts = gts.withColumn("grp", _group(within))
     infs = infs.withColumn("grp", _group(within))
+    if overlaps is not box_overlaps:
+        return _match_tiled(gts, infs, iou_threshold, strict, tie, overlaps)
+    sizes = gts.select("image_id").unionAll(infs.select("image_id")).groupBy("image_id").agg(F.count("*").alias("n"))
+    crowded = materialize(sizes.where(F.col("n") > CROWD).select("image_id"), "crowded-images")
+    if crowded.isEmpty():
+        return _match_listed(gts, infs, iou_threshold, within, strict, tie)
+    few = (df.join(crowded, "image_id", "left_anti") for df in (gts, infs))
+    many = (df.join(crowded, "image_id", "left_semi") for df in (gts, infs))
+    return _match_listed(*few, iou_threshold, within, strict, tie).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
+
+
+def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within: Sequence[str], strict: bool, tie: Sequence[str]) -> DataFrame:
+    """``match`` of images with few objects: one exchange by image, every inference beside the list of its ground truths."""
+    gt, inf = (F.struct(*[F.col(c) for c in df.columns if c != "grp"]) for df in (gts, infs))
+    rows = gts.select("image_id", gt.alias("gt")).unionByName(infs.select("image_id", inf.alias("inf")), allowMissingColumns=True)
+    rows = rows.repartition("image_id")  # everything else of a row follows from the object
+    own = lambda c: F.when(F.col("gt").isNotNull(), F.col(f"gt.{c}")).otherwise(F.col(f"inf.{c}")).alias(c)
+    grp = F.struct(*[own(c) for c in within]) if within else _group(())
+    rank = F.struct(F.col("gt.is_ignored").alias("late"), *[F.col(f"gt.{c}") for c in tie], F.col("gt.gt_idx"))
+    rows = rows.select("*", grp.alias("grp"), F.when(F.col("gt").isNotNull(), rank).alias("rank"))
+    listed = F.when(F.col("gt").isNotNull(), F.struct("rank", "gt"))
+    rows = rows.withColumn("near_by", F.collect_list(listed).over(W.partitionBy("image_id", "grp")))
+    a, b = (lambda g: g["gt"]["geom"]), F.col("inf.geom")
+
+    def meets(g: Column) -> Column:
+        return (F.greatest(a(g)["x1"], b["x1"]) < F.least(a(g)["x2"], b["x2"])) & (F.greatest(a(g)["y1"], b["y1"]) < F.least(a(g)["y2"], b["y2"]))
+
+    overlap = F.transform("near_by", lambda g, i: F.struct((-F.when(meets(g), boxes.box_iou(a(g), b))).alias("neg"), g["rank"].alias("rank"), i.alias("i")))
+    rows = rows.withColumn("overlaps", F.when(F.col("inf").isNotNull(), F.filter(overlap, lambda o: o["neg"].isNotNull())))
+    passed = (lambda o: -o["neg"] > iou_threshold) if strict else (lambda o: -o["neg"] >= iou_threshold)
+    best = F.array_min(F.filter("overlaps", passed))
+    if iou_threshold < 0 or (iou_threshold == 0 and not strict):
+        # Without a positive threshold an object of no overlap is a candidate too: the first of the group.
+        every = F.transform("near_by", lambda g, i: F.struct(F.lit(0.0).alias("neg"), g["rank"].alias("rank"), i.alias("i")))
+        best = F.coalesce(best, F.when(F.col("inf").isNotNull(), F.array_min(every)))
+    near = F.array_max(F.transform(F.filter("overlaps", lambda o: ~o["rank"]["late"]), lambda o: -o["neg"]))
+    rows = rows.select("image_id", "grp", "rank", "gt", "inf", best.alias("best"), F.coalesce(near, F.lit(0.0)).alias("near"), F.get("near_by", best["i"])["gt"].alias("candidate"))
+    order = F.struct((-F.col("inf.score")).alias("neg"), *[F.col(f"inf.{c}").alias(f"_{c}") for c in tie], F.col("inf.inf_idx").alias("inf_idx"))
+    rows = rows.select("*", F.coalesce("rank", "best.rank").alias("spot"), F.when(F.col("best").isNotNull() & ~F.col("best.rank.late"), order).alias("claim"))
+    winner = F.min("claim").over(W.partitionBy("image_id", "grp", "spot"))  # ground truths without claim, and inferences without candidate, have none
+    rows = rows.withColumn("winner", winner)
+    taken, late = F.col("claim").isNotNull() & (F.col("claim") == F.col("winner")), F.coalesce(F.col("best.rank.late"), F.lit(False))
+    kind = F.when(F.col("inf").isNull(), "unmatched_gt").when(taken, "matched").when(late, "ignored").otherwise("unmatched_inf")
+    iou = F.when(F.col("inf").isNotNull(), F.when(taken | late, -F.col("best.neg")).otherwise(F.col("near")))
+    shown = F.when(F.col("inf").isNull(), F.col("gt")).when(taken, F.col("candidate"))
+    kept = rows.where("inf IS NOT NULL OR (NOT rank.late AND winner IS NULL)")
+    return kept.select("image_id", kind.alias("kind"), shown.alias("gt"), "inf", iou.alias("iou"))
+
+
+def _match_tiled(gts: DataFrame, infs: DataFrame, iou_threshold: float, strict: bool, tie: Sequence[str], overlaps: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """``match`` of any images: pairs from tiles, and joins on the objects' indexes."""
     gt_order = F.struct(F.col("is_ignored").alias("late"), *[F.col(c) for c in tie], F.col("gt_idx"))
     gt_geoms = gts.groupBy("image_id", "grp", "geom").agg(
         F.min(gt_order).alias("first"), F.bool_or(~F.col("is_ignored")).alias("real")
     )
     on_inf = ["image_id", *[f"_inf_{c}" for c in tie], "inf_idx"]
-    infs = infs.select("*", *[F.col(c).alias(f"_inf_{c}") for c in tie])
+    infs = infs.select("*", *[_group([c]).alias(f"_inf_{c}") for c in tie])
     pairs = overlaps(gt_geoms, infs.select("grp", "geom", *on_inf))
     passed = (F.col("iou") > iou_threshold) if strict else (F.col("iou") >= iou_threshold)
     best = pairs.groupBy("image_id", *[F.col(f"b.{c}").alias(c) for c in on_inf[1:]]).agg(
@@ -129,13 +185,13 @@ def match(
         cand = cand.withColumn("best_iou", F.coalesce("best_iou", F.lit(0.0))).drop("any_first")
     takes = cand.where("first IS NOT NULL AND NOT first.late").withColumn("gt_idx", F.col("first.gt_idx"))
     on_gt = ["image_id", *[f"_gt_{c}" for c in tie], "gt_idx"]
-    takes = takes.select("*", *[F.col(f"first.{c}").alias(f"_gt_{c}") for c in tie])
+    takes = takes.select("*", *[_group([f"first.{c}"]).alias(f"_gt_{c}") for c in tie])
     order = F.struct((-F.col("score")).alias("neg"), *[f"_inf_{c}" for c in tie], "inf_idx")
     winners = takes.groupBy(*on_gt).agg(F.min(order).alias("w")).select(
         *on_gt, *[F.col(f"w._inf_{c}").alias(f"_inf_{c}") for c in tie], F.col("w.inf_idx").alias("inf_idx")
     )
     real = gts.where("NOT is_ignored").select(
-        "image_id", "gt_idx", *[F.col(c).alias(f"_gt_{c}") for c in tie],
+        "image_id", "gt_idx", *[_group([c]).alias(f"_gt_{c}") for c in tie],
         F.struct(*[c for c in gts.columns if c != "grp"]).alias("gt"),
     )
     won = real.join(winners, on_gt, "left").select("image_id", "gt", *[c for c in on_inf if c != "image_id"])

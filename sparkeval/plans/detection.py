@@ -76,7 +76,7 @@ def gts(spark, sf):
 
 
 def infs(spark, sf):
-    return shared(spark, f"{sf}/det_inf", lambda: detection.with_boxes(views.det_inf(spark, sf)))
+    return shared(spark, f"{sf}/det_inf", lambda: detection.with_boxes(views.det_inf(spark, sf, gts(spark, sf).select("*", "geom.*"))))
 
 
 def per_label(spark, sf):

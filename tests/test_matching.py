@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkeval.operators import curves, detection
+from sparkeval.operators import curves, detection, matching
 from sparkeval.operators.matching import match, match_multiclass, overlapping
 
 GT = "image_id long, gt_idx long, label string, x1 double, y1 double, x2 double, y2 double, is_ignored boolean"
@@ -183,3 +183,29 @@ def test__giant_and_tiny_objects_do_not_crowd_a_tile(spark):
     sized = matching._sized(rows, False)
     own = matching._tiled(sized, F.array(F.struct(F.col("_class").alias("grid"), F.lit(True).alias("of_a"))))
     assert own.where("image_id = 'crowd'").groupBy("_role", "_tx", "_ty").count().agg(F.max("count")).first()[0] <= 16
+
+
+@pytest.mark.parametrize("kw", [{}, {"within": ["label"]}, {"tie": ["label"]}, {"iou_threshold": 0.0}, {"strict": True, "within": ["label"]}])
+def test__listed_and_tiled_images_match_alike(spark, monkeypatch, kw):
+    rng = random.Random(5)
+    box = lambda: (x := rng.randint(0, 12), y := rng.randint(0, 12), x + rng.randint(1, 8), y + rng.randint(1, 8))
+    label = lambda: rng.choice(["a", "b", None])
+    gts = [(i, j, label(), rng.random() < 0.2, *map(float, box())) for i in range(12) for j in range(rng.randint(0, 9))]
+    infs = [(i, j, label(), rng.randint(0, 3) / 4, *map(float, box())) for i in range(12) for j in range(rng.randint(0, 9))]
+    corners = "x1 double, y1 double, x2 double, y2 double"
+    g = detection.with_boxes(spark.createDataFrame(gts, f"image_id long, gt_idx long, label string, is_ignored boolean, {corners}"))
+    i = detection.with_boxes(spark.createDataFrame(infs, f"image_id long, inf_idx long, label string, score double, {corners}"))
+    rows = []
+    for crowd in (512, 8, 0):  # all images listed, some, none
+        monkeypatch.setattr(matching, "CROWD", crowd)
+        m = matching.match(g, i, **{"iou_threshold": 0.3, **kw})
+        rows.append(sorted(map(repr, m.select("image_id", "kind", "gt", "inf", F.round("iou", 9).alias("iou")).collect())))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 50
+
+
+def test__small_images_take_one_exchange(spark):
+    corners = "x1 double, y1 double, x2 double, y2 double"
+    g = detection.with_boxes(spark.createDataFrame([(1, 1, "a", False, 0.0, 0.0, 4.0, 4.0)], f"image_id long, gt_idx long, label string, is_ignored boolean, {corners}"))
+    i = detection.with_boxes(spark.createDataFrame([(1, 1, "a", 0.5, 0.0, 0.0, 4.0, 4.0)], f"image_id long, inf_idx long, label string, score double, {corners}"))
+    plan = matching.match(g, i, 0.5, ["label"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
