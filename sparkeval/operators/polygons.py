@@ -91,6 +91,49 @@ def small_ring_ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.divide(inter, union, out=np.zeros(pairs), where=union > 0)
 
 
+def _convex(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges turned counter-clockwise (pairs, points, 4), and which rings turn one way at every corner, once around."""
+    d = e[..., 2:] - e[..., :2]
+    n = np.roll(d, -1, axis=1)
+    turn = d[..., 0] * n[..., 1] - d[..., 1] * n[..., 0]
+    once = np.abs(np.arctan2(turn, (d * n).sum(-1)).sum(1)) < 7  # a star turns one way too, but twice around
+    back = (turn < 0).all(1)
+    e = np.where(back[:, None, None], e[:, ::-1][..., [2, 3, 0, 1]], e)
+    return e, once & ((turn > 0).all(1) | back)
+
+
+def _inside(e: np.ndarray, of: np.ndarray, closed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Twice what the edges' parts inside convex rings add to an area, and which pairs have edges that nearly lie on each other."""
+    d, h = e[..., 2:] - e[..., :2], of[..., 2:] - of[..., :2]
+    gap = e[:, :, None, :2] - of[:, None, :, :2]
+    num = h[:, None, :, 0] * gap[..., 1] - h[:, None, :, 1] * gap[..., 0]  # above 0: left of the other ring's edge
+    den = h[:, None, :, 0] * d[:, :, None, 1] - h[:, None, :, 1] * d[:, :, None, 0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = -num / den
+    start = np.where(den > 0, t, 0.0).max(-1).clip(0)
+    end = np.where(den < 0, t, 1.0).min(-1).clip(None, 1)
+    along = h[:, None, :, 0] * d[:, :, None, 0] + h[:, None, :, 1] * d[:, :, None, 1] > 0  # on an edge of the other, rings on one side
+    out = (den == 0) & ((num < 0) | ((num == 0) & ~(along & closed)))
+    live = (end > start) & ~out.any(-1)
+    p, q = (e[..., :2] - e[:, :1, :2] + d * x[..., None] for x in (start, end))
+    shift = e[:, :1, :2] - of[:, :1, :2] if not closed else 0.0  # both rings' parts around one origin
+    p, q = p + shift, q + shift
+    size = np.abs(h).sum(-1)[:, None, :]
+    near = (np.abs(den) <= 1e-9 * np.abs(d).sum(-1)[:, :, None] * size) & (np.abs(num) <= 1e-9 * size * (size + np.abs(gap).sum(-1))) & ((den != 0) | (num != 0))
+    return np.where(live, p[..., 0] * q[..., 1] - p[..., 1] * q[..., 0], 0.0).sum(-1), near.any((1, 2))
+
+
+def convex_ring_ious(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overlaps of pairs of convex rings, and which pairs they hold for: the common area is bounded by each ring's edges inside the other."""
+    (ea, sure_a), (eb, sure_b) = _convex(_edges(a)), _convex(_edges(b))
+    of_a, close_a = _inside(ea, eb, True)
+    of_b, close_b = _inside(eb, ea, False)  # an edge of both counts once
+    area = [((x := e[..., :2] - e[:, :1, :2])[..., 0] * (y := e[..., 2:] - e[:, :1, :2])[..., 1] - x[..., 1] * y[..., 0]).sum(-1) for e in (ea, eb)]
+    inter = np.maximum(of_a + of_b, 0.0)
+    union = area[0] + area[1] - inter
+    return np.divide(inter, union, out=np.zeros(len(inter)), where=union > 0), sure_a & sure_b & ~close_a & ~close_b & np.isfinite(inter)
+
+
 _SMALL, _CELLS = 16, 1_000_000
 
 
@@ -100,14 +143,18 @@ def _ring_ious(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd
     out = np.zeros(len(ax))
     sizes = pd.DataFrame({"a": ax.map(len), "b": bx.map(len)}).reset_index(drop=True)
     for (na, nb), rows in sizes.groupby(["a", "b"]).indices.items():
-        rings = [np.stack([np.stack(x.iloc[rows]), np.stack(y.iloc[rows])], axis=-1).astype(float) for x, y in ((ax, ay), (bx, by))]
+        rings = [np.stack([np.concatenate(c.to_numpy()[rows]).reshape(len(rows), -1) for c in xy], axis=-1).astype(float) for xy in ((ax, ay), (bx, by))]
         n = na + nb
         if n > _SMALL:
             out[rows] = [ring_iou(p, q) for p, q in zip(*rings)]
             continue
         step = max(1, _CELLS // ((n + n * n // 2) * n))
         for i in range(0, len(rows), step):
-            out[rows[i : i + step]] = small_ring_ious(rings[0][i : i + step], rings[1][i : i + step])
+            p, q = rings[0][i : i + step], rings[1][i : i + step]
+            found, sure = convex_ring_ious(p, q)
+            if not sure.all():
+                found[~sure] = small_ring_ious(p[~sure], q[~sure])
+            out[rows[i : i + step]] = found
     return pd.Series(out)
 
 

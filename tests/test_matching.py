@@ -209,3 +209,22 @@ def test__small_images_take_one_exchange(spark):
     i = detection.with_boxes(spark.createDataFrame([(1, 1, "a", 0.5, 0.0, 0.0, 4.0, 4.0)], f"image_id long, inf_idx long, label string, score double, {corners}"))
     plan = matching.match(g, i, 0.5, ["label"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test__convex_overlaps_equal_slabs():
+    import numpy as np
+
+    from sparkeval.operators import polygons
+
+    r = np.random.default_rng(3)
+    n = 4000
+    x, y, w, h = (r.integers(0, 9, n), r.integers(0, 9, n), r.integers(1, 9, n), r.integers(1, 9, n))
+    box = np.stack([np.stack(p, 1) for p in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))], 1).astype(float)
+    diamond = np.stack([np.stack(p, 1) for p in ((x, y - h), (x + w, y), (x, y + h), (x - w, y))], 1) / 2
+    free = r.random((n, 4, 2))  # crossed and dented rings stay with the slabs, as edges that nearly lie on each other do
+    shifted = diamond + 0.1
+    for a, b in ((box, box[::-1]), (diamond, diamond[::-1]), (box[:, ::-1], diamond[::-1]), (diamond, shifted), (free, free[::-1])):
+        want = polygons.small_ring_ious(a, b)
+        got, sure = polygons.convex_ring_ious(a, b)
+        assert np.abs(got - want)[sure].max() < 1e-12
+        assert sure.all() or a is free or b is shifted
