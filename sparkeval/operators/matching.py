@@ -70,7 +70,8 @@ def overlapping(
     right = right.withColumn("_all", in_a)
     # In grids of a: an object of a in its own, those of b in their own and in all larger ones; in grids of b, the others.
     left = _tiled(left, F.concat(F.array(role(own, True)), larger("_all", False))).drop("_all")
-    right = _tiled(right, F.concat(F.array(role(own, True), role(own, False)), larger("_all", True))).drop("_all")
+    meets_smaller = F.when(F.exists("_all", lambda c: c < own), F.array(role(own, True), role(own, False))).otherwise(F.array(role(own, True)))
+    right = _tiled(right, F.concat(meets_smaller, larger("_all", True))).drop("_all")
     on = [*keys, "_role", "_tx", "_ty"]
     packed = ["_x1", "_y1", "_x2", "_y2"]
     left = left.select(*on, "_side", F.struct(*a.columns).alias("a"), F.struct(*packed).alias("ea"))
