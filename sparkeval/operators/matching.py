@@ -23,6 +23,7 @@ from sparkeval.session import materialize
 SIZE_STEP = 8  # objects whose larger side lies between two powers of this are of one size class
 TILE_SCALE = 2.0  # tile side of a class over its largest object side
 CROWD = 512  # most objects of an image whose ground truths are compared as one list
+TASK_ROWS = 200_000  # objects a task sorts in ``_match_listed``, so that its windows need no disk however large the table
 
 
 def _group(cols: Sequence[str]) -> Column:
@@ -111,19 +112,23 @@ def match(
     if overlaps is not box_overlaps:
         return _match_tiled(gts, infs, iou_threshold, strict, tie, overlaps)
     sizes = gts.select("image_id").unionAll(infs.select("image_id")).groupBy("image_id").agg(F.count("*").alias("n"))
+    rows, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    tasks = -(-(rows or 0) // TASK_ROWS)
+    if (largest or 0) <= CROWD:
+        return _match_listed(gts, infs, iou_threshold, within, strict, tie, tasks)
     crowded = materialize(sizes.where(F.col("n") > CROWD).select("image_id"), "crowded-images")
-    if crowded.isEmpty():
-        return _match_listed(gts, infs, iou_threshold, within, strict, tie)
     few = (df.join(crowded, "image_id", "left_anti") for df in (gts, infs))
     many = (df.join(crowded, "image_id", "left_semi") for df in (gts, infs))
-    return _match_listed(*few, iou_threshold, within, strict, tie).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
+    return _match_listed(*few, iou_threshold, within, strict, tie, tasks).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
 
 
-def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within: Sequence[str], strict: bool, tie: Sequence[str]) -> DataFrame:
-    """``match`` of images with few objects: one exchange by image, every inference beside the list of its ground truths."""
+def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within: Sequence[str], strict: bool, tie: Sequence[str], tasks: int) -> DataFrame:
+    """``match`` of images with few objects: one exchange by image into at least ``tasks``, every inference beside the list of its ground truths."""
     gt, inf = (F.struct(*[F.col(c) for c in df.columns if c != "grp"]) for df in (gts, infs))
     rows = gts.select("image_id", gt.alias("gt")).unionByName(infs.select("image_id", inf.alias("inf")), allowMissingColumns=True)
-    rows = rows.repartition("image_id")  # everything else of a row follows from the object
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Everything else of a row follows from the object. A number is given beyond one task only: Spark does not merge these parts.
+    rows = rows.repartition(max(tasks, least), "image_id") if tasks > 1 else rows.repartition("image_id")
     own = lambda c: F.when(F.col("gt").isNotNull(), F.col(f"gt.{c}")).otherwise(F.col(f"inf.{c}")).alias(c)
     grp = F.struct(*[own(c) for c in within]) if within else _group(())
     rank = F.struct(F.col("gt.is_ignored").alias("late"), *[F.col(f"gt.{c}") for c in tie], F.col("gt.gt_idx"))

@@ -211,6 +211,16 @@ def test__small_images_take_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test__tasks_of_listed_images_follow_the_rows(spark, monkeypatch):
+    g, i = frames(spark, *scene(5, images=40))
+    tasks = lambda m: m.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.count("*"), F.max("n")).first()
+    few = matching.match(g, i, 0.5, ["label"])
+    monkeypatch.setattr(matching, "TASK_ROWS", 60)
+    many = matching.match(g, i, 0.5, ["label"])
+    assert tasks(many)[0] > 4 and tasks(many)[1] < 60 * 5 < tasks(few)[1]
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+
+
 def test__convex_overlaps_equal_slabs():
     import numpy as np
 
