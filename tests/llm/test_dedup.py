@@ -257,6 +257,47 @@ def test__three_way_near_copies_are_all_found(docs):
     assert got == {i for i, _ in rows}
 
 
+def linked(rows):
+    """The sets of documents that the rows connect."""
+    up = {}
+
+    def top(i):
+        while up.setdefault(i, i) != i:
+            i = up[i]
+        return i
+
+    for r in rows:
+        up[max(top(r.doc_id), top(r.source_id))] = min(top(r.doc_id), top(r.source_id))
+    out = {}
+    for i in up:
+        out.setdefault(top(i), set()).add(i)
+    return sorted(map(sorted, out.values()))
+
+
+def test__passages_link_all_texts_that_share_them(docs):
+    """x~b at the centre x explains both; d and its passage's copy y explain each other; b~d is the only link between them.
+    Documents with copies keep their links to others."""
+    rng = random.Random(33)
+    rows, want = [], []
+    for k in range(4):
+        def make():
+            b = random_text(rng, 64, 10**6).split()
+            x, d = b.copy(), b.copy()
+            x[34] = f"x{rng.random()}"
+            d[32] = f"d{rng.random()}"
+            return [" ".join(t) for t in (x, b, d)] + [" ".join(d) + " " + random_text(rng, 40, 10**6)]
+
+        rows += [(10 * k + i, t) for i, t in enumerate(centred(make, 0))]
+        want.append([10 * k + i for i in range(4)])
+    passage = random_text(rng, 60, 10**6)
+    for i in (100, 102):
+        text = f"{random_text(rng, 30, 10**6)} {passage} {random_text(rng, 30, 10**6)}"
+        rows += [(i, text), (i + 1, text)]
+    got = substring_dedup.repeated_passages(docs(rows)).collect()
+    assert linked(got) == [*want, [100, 101, 102, 103]]
+    assert {(r.doc_id, r.source_id) for r in got if r.doc_id >= 100} == {(100, 101), (101, 100), (102, 103), (103, 102), (100, 102), (102, 100)}
+
+
 def test__recall_of_edited_passages(docs):
     """Pairs of 50 to 60 words with one or two edits, against an alignment of everything."""
     rng = random.Random(41)
