@@ -4,23 +4,29 @@ A line's tokens are its distinct words, lower-cased. A line goes if an earlier l
 a Jaccard similarity of at least ``percent`` with it. Lines of equal token sets are one class, numbered in the order of
 their first lines. Of two similar sets in one order of all tokens, the first n - ceil(t * n) + 1 tokens of each share a token
 (the prefix). From the first shared token on, each set must still hold as many tokens as have to be shared, the sizes bound
-each other, and so does the parity of 64 token classes: every bit in which two parities differ is a token that only one set
-has. Two sets must also share enough prefix tokens: the rest of the one whose prefix ends first cannot make up for more. The
+each other, and so do the parities of 64 to 256 token classes, as many as the sets are large: every bit in which two parities
+differ is a token that only one set has. Two sets must also share enough prefix tokens: the rest of the one whose prefix ends first cannot make up for more. The
 order puts rare tokens first: it sorts by half powers of two of a token's slot count, from a table of fixed size over all
 lines, then by hash, so that no count has to be looked up by a join. What passes is counted on the full token sets.
 
 The classes that share a prefix token are compared with the first of them, which decides whole groups of near copies; only
-classes that this leaves undecided are then compared with every earlier class of their prefix tokens.
+classes that this leaves undecided are then compared with every earlier class of their prefix tokens, in rounds that each
+take a part of the tokens, so that no exchange holds them all.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkeval.llm.common import Scratch, fresh
 
 SLOT_BITS, PACK_BITS = 17, 12
+#: Words of a parity at most, and the rounds of the last comparison.
+WORDS, ROUNDS = 4, 3
+BITS = [f"b{k}" for k in range(WORDS)]
 #: Levels are one ASCII character each, from "0" on.
 ZERO, TOP = 48, 78
 SPACE = "[ \\t\\x0b\\f\\r]+"
@@ -73,11 +79,44 @@ def _need(percent: int) -> Column:
     return F.ceil(percent * (n + m) / (100 + percent))
 
 
-def _alike(percent: int) -> Column:
-    """Whether the sets (at, bits) and (cat, cbits) can be similar by their sizes and parities."""
+def _size_classes(n: Column, percent: int) -> Column:
+    """The twofold size classes of a set: its own, and the next one if sets of that can be similar to it."""
+    own = F.floor(F.log2(n))
+    return F.when(100 * n >= percent * F.pow(F.lit(2), own + 1), F.array(own, own + 1)).otherwise(F.array(own))
+
+
+def _width(size_class: Column) -> Column:
+    """Words of the parities in a size class: two random sets of it differ in far more bits than similar ones may."""
+    return F.least(F.lit(WORDS), F.pow(F.lit(2), F.greatest(size_class - 5, F.lit(0)))).cast("int")
+
+
+def parities(tokens: Column, percent: int) -> Column:
+    """The parity of the tokens in each of 64 classes a word, in as many words as the largest size class of the set takes."""
+
+    def word(k: int, width: int) -> Column:
+        flip = lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(63).cast("int")))
+        own = lambda acc, t: F.when(t.bitwiseAND(64 * (width - 1)) == 64 * k, flip(acc, t)).otherwise(acc)
+        return F.aggregate(tokens, F.lit(0).cast("bigint"), own if width > 1 else flip)
+
+    width = _width(F.array_max(_size_classes(F.size(tokens), percent)))
+    wide = F.when(width == 1, F.array(word(0, 1)))
+    for w in (1 << i for i in range(1, WORDS.bit_length())):
+        wide = wide.when(width == w, F.array(*[word(k, w) for k in range(w)]))
+    return F.coalesce(wide, F.array().cast("array<bigint>"))
+
+
+def folded(bits: Column, width: Column) -> list[Column]:
+    """The parities in ``width`` words, the rest of ``WORDS`` 0."""
+    part = lambda k: F.aggregate(F.filter(bits, lambda _, i: F.pmod(i, width) == k), F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x))
+    return [F.when(F.lit(k) < width, part(k)).otherwise(F.lit(0).cast("bigint")).alias(b) for k, b in enumerate(BITS)]
+
+
+def _alike(percent: int, bits: list[str]) -> Column:
+    """Whether the sets of (at, bits) and (cat, bits with a c before them) can be similar by their sizes and parities."""
     n, m, _, _ = _places()
     sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return sizes & (F.bit_count(F.col("bits").bitwiseXOR(F.col("cbits"))) <= n + m - 2 * _need(percent))
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"c{b}"))) for b in bits), F.lit(0))
+    return sizes & (differ <= n + m - 2 * _need(percent))
 
 
 def _first(percent: int) -> Column:
@@ -101,38 +140,43 @@ def _enough(percent: int) -> Column:
 def removed_classes(scratch: Scratch, docs: DataFrame, classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     """(id) of the classes that have an earlier similar class."""
     # A bucket is a token and a size class, twofold wide; sets that can be similar to sets of the next class are in that one too.
-    n = F.col("n")
-    size_class = F.floor(F.log2("n"))
-    both = F.when(100 * n >= percent * F.pow(F.lit(2), size_class + 1), F.array(size_class, size_class + 1)).otherwise(F.array(size_class))
+    def sized(of: DataFrame, width: Column) -> DataFrame:
+        single = of.select("id", "n", F.explode(_size_classes(F.col("n"), percent)).alias("class"), "prefix", "bits")
+        return single.select("id", "n", "class", "prefix", *folded(F.col("bits"), width))
 
-    def places(of: DataFrame) -> DataFrame:
-        single = of.select("id", "n", F.explode(both).alias("class"), "prefix", "bits").select("id", "n", "class", "bits", F.posexplode("prefix").alias("place", "token"))
+    def places(of: DataFrame, wanted: Column) -> DataFrame:
+        single = of.select("id", "n", "class", *BITS, F.posexplode("prefix").alias("place", "token")).where(wanted)
         bucket = F.shiftleft(F.col("token").cast("bigint"), 8) + F.col("class")
-        return single.select(bucket.alias("token"), "id", "bits", (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
+        return single.select(bucket.alias("token"), "id", *BITS, (F.shiftleft(F.col("n").cast("bigint"), 31) + F.col("place")).alias("at"))
 
-    all_ = places(classes)
+    all_ = places(sized(classes, F.lit(1)), F.lit(True)).withColumnRenamed("b0", "bits")
     # For the star the shorter prefix does that suffices against a set of at least the same size; it only has to find most.
     n_, place = F.shiftrightunsigned("at", 31), F.col("at").bitwiseAND((1 << 31) - 1)
-    rare = all_.where(place < n_ - F.ceil(2 * percent * n_ / (100 + percent)) + 1)
+    rare = all_.where(place < n_ - F.ceil(2 * percent * n_ / (100 + percent)) + 1).select("token", "id", "bits", "at")
     first = rare.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("cid"), F.min_by("at", "id").alias("cat"), F.min_by("bits", "id").alias("cbits")).where("size > 1").drop("size")
     pair = [F.col("cid").alias("a"), F.col("id").alias("b")]
-    star = scratch.write(rare.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent) & _first(percent)).select(*pair).distinct(), "line-pairs")
+    star = scratch.write(rare.join(first, "token").where((F.col("id") > F.col("cid")) & _alike(percent, ["bits"]) & _first(percent)).select(*pair).distinct(), "line-pairs")
     decided = _similar(scratch, docs, classes, star, levels, percent)
-    # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with. Both
-    # sides of the join are then the same rows and one exchange serves them.
+    # A decided class has the number -1 - id: no number is before it, so it is only what others are compared with.
     known = decided.select("id", F.lit(True).alias("known"))
     signed = classes.join(known, "id", "left").withColumn("id", F.when(F.col("known"), -1 - F.col("id")).otherwise(F.col("id"))).drop("known")
-    signed = scratch.write(signed, "line-signed")
-    open_ = places(signed)
-    earlier = places(signed).withColumnsRenamed({"id": "cid", "at": "cat", "bits": "cbits"})
-    number = F.when(F.col("cid") < 0, -1 - F.col("cid")).otherwise(F.col("cid"))
-    # Two sets may meet in two size classes; the larger one's own is where their shared tokens are counted.
-    met = open_.join(earlier, "token").where((number < F.col("id")) & _alike(percent) & _any(percent))
-    met = met.where(F.col("token").bitwiseAND(255) == F.floor(F.log2(F.greatest(*_places()[:2]))))
-    hits = met.groupBy(number.alias("a"), F.col("id").alias("b"), _enough(percent).alias("enough")).agg(F.count("*").alias("shared"), F.max(_first(percent)).alias("first"))
+    signed = scratch.write(sized(signed, _width(F.col("class"))), "line-signed")
+    number = F.greatest("cid", -1 - F.col("cid"))
+    rounds = []
+    for k in range(ROUNDS):
+        part = F.pmod("token", F.lit(ROUNDS)) == k
+        open_ = places(signed, part)
+        earlier = places(signed, part).withColumnsRenamed({"id": "cid", "at": "cat"} | {b: f"c{b}" for b in BITS})
+        # Two sets may meet in two size classes; the larger one's own is where their shared tokens are counted.
+        met = open_.join(earlier, "token").where((number < F.col("id")) & _alike(percent, BITS) & _any(percent))
+        met = met.where(F.col("token").bitwiseAND(255) == F.floor(F.log2(F.greatest(*_places()[:2]))))
+        hits = met.groupBy(number.alias("a"), F.col("id").alias("b"), _enough(percent).alias("enough")).agg(F.count("*").alias("shared"), F.max(_first(percent)).alias("first"))
+        rounds.append(scratch.write(hits, "line-hits"))
+    hits = reduce(DataFrame.unionByName, rounds).groupBy("a", "b", "enough").agg(F.sum("shared").alias("shared"), F.max("first").alias("first"))
     more = scratch.write(hits.where("first AND shared >= enough").select("a", "b"), "line-pairs")
+    scratch.drop(signed, *rounds)
     late = _similar(scratch, docs, classes, more, levels, percent)
-    scratch.drop(signed, star, more)
+    scratch.drop(star, more)
     return decided.unionByName(late).distinct()
 
 
@@ -167,9 +211,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: s
     sets = lines.select("key", "row", "place", ranked_tokens(F.col("line"), levels).alias("tokens"))
     n = F.size("tokens")
     prefix = F.when(n * (100 - percent) >= percent, F.transform(F.slice("tokens", 1, (n - _ceil_share(n, percent) + 1).cast("int")), lambda t: F.hash(t)))
-    # The parity of the tokens in each of 64 classes.
-    bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(63).cast("int"))))
-    marked = sets.select(F.xxhash64("tokens").alias("set"), n.alias("n"), F.struct("key", "row", "place").alias("first"), F.coalesce(prefix, F.array().cast("array<int>")).alias("prefix"), bits.alias("bits"))
+    marked = sets.select(F.xxhash64("tokens").alias("set"), n.alias("n"), F.struct("key", "row", "place").alias("first"), F.coalesce(prefix, F.array().cast("array<int>")).alias("prefix"), parities(F.col("tokens"), percent).alias("bits"))
     grouped = marked.groupBy("set", "n").agg(F.min("first").alias("first"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     ordered = grouped.select("first.*", "n", "prefix", "bits").orderBy("key", "row", "place")
     classes = scratch.write(ordered.select(F.monotonically_increasing_id().alias("id"), "row", "place", "n", "prefix", "bits"), "line-classes")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkeval.llm import decontamination, line_dedup, near_dedup, substring_dedup
 from sparkeval.llm.textbits import mix
@@ -150,6 +151,29 @@ def test__line_dedup(docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test__line_dedup_long_lines(spark, docs):
+    rng = np.random.default_rng(11)
+    sets = []
+    for n in (45, 58, 63, 70, 100, 118, 126, 135, 150, 210, 250, 260, 330):
+        words = [f"w{x}" for x in rng.choice(1500, n, replace=False)]
+        near, far = max(1, n // 10), n // 4
+        sets += [words, words[near:] + [f"n{n}x{i}" for i in range(near // 2)], words[far:] + [f"f{n}x{i}" for i in range(far)], words + [f"l{n}x{i}" for i in range(n // 4)]]
+    lines = [" ".join(rng.permutation(x)) for x in sets]
+    alike = {(a, b) for b, y in enumerate(sets) for a, x in enumerate(sets[:b]) if 5 * len({*x} & {*y}) >= 4 * len({*x} | {*y})}
+    got = line_dedup.dedup_lines(docs(list(enumerate(lines)))).where("n_removed > 0").select("doc_id").collect()
+    assert {r.doc_id for r in got} == {b for _, b in alike} and alike
+    # Unrelated lines of many words are told apart by their parities, so that no pair of them leaves the join.
+    table = docs(list(enumerate(lines)))
+    tokens = table.select("doc_id", line_dedup.ranked_tokens(F.col("text"), line_dedup.slot_levels(table)).alias("tokens"))
+    at = F.shiftleft(F.size("tokens").cast("bigint"), 31).alias("at")
+    wide = tokens.select("doc_id", at, F.explode(line_dedup._size_classes(F.size("tokens"), 80)).alias("class"), line_dedup.parities(F.col("tokens"), 80).alias("bits"))
+    sized = wide.select("doc_id", "at", "class", *line_dedup.folded(F.col("bits"), line_dedup._width(F.col("class"))))
+    other = sized.withColumnsRenamed({"doc_id": "other", "at": "cat"} | {b: f"c{b}" for b in line_dedup.BITS})
+    passed = sized.join(other, "class").where((F.col("doc_id") < F.col("other")) & line_dedup._alike(80, line_dedup.BITS))
+    passed = {tuple(r) for r in passed.select("doc_id", "other").collect()}
+    assert alike <= passed and all(a // 4 == b // 4 for a, b in passed)
+
+
 def test__line_dedup_odd_rows(docs):
     rows = [(None, "first line here\nnew"), (1, "first line here"), (1, "first line here"), (2, "new\nother words")]
     got = sorted(map(tuple, line_dedup.dedup_lines(docs(rows)).select("doc_id", "text", "n_removed").collect()), key=repr)
