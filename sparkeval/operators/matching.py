@@ -6,7 +6,8 @@ points. An inference's candidate is the ground truth of highest overlap at or ab
 taken or not, so there is no sequential dependence: two aggregates decide everything.
 
 Boxes of an image with up to ``CROWD`` objects are dealt out once, by image, and matched with windows that need no further
-exchange. Crowded images, and shapes whose overlap is no column expression, go through the tiles of ``overlapping``.
+exchange; polygons of an image with up to as many points likewise, a row for each of its groups. Crowded images, and shapes
+without an entry in ``GROUPED``, go through the tiles of ``overlapping``.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from sparkeval.session import materialize
 
 SIZE_STEP = 8  # objects whose larger side lies between two powers of this are of one size class
 TILE_SCALE = 2.0  # tile side of a class over its largest object side
-CROWD = 512  # most objects of an image whose ground truths are compared as one list
-TASK_ROWS = 200_000  # objects a task sorts in ``_match_listed``, so that its windows need no disk however large the table
+CROWD = 512  # most objects (points, of shapes in ``GROUPED``) of an image whose ground truths are compared as one list
+TASK_ROWS = 200_000  # objects (points) a task sorts in ``_dealt``, so that it needs no disk however large the table
+
+#: Shapes compared in Python: the overlaps of each of a list of geometries with each of another, and for how many points one counts.
+GROUPED: dict[Callable, tuple[Callable[[Column, Column], Column], Callable[[Column], Column]]] = {}
 
 
 def _group(cols: Sequence[str]) -> Column:
@@ -109,21 +113,28 @@ def match(
     """
     gts = gts.withColumn("grp", _group(within))
     infs = infs.withColumn("grp", _group(within))
-    if overlaps is not box_overlaps:
+    if overlaps is not box_overlaps and overlaps not in GROUPED:
         return _match_tiled(gts, infs, iou_threshold, strict, tie, overlaps)
-    sizes = gts.select("image_id").unionAll(infs.select("image_id")).groupBy("image_id").agg(F.count("*").alias("n"))
+    ious, points = GROUPED.get(overlaps, (None, lambda _: F.lit(1)))
+    weights = [df.select("image_id", points(F.col("geom")).alias("n")) for df in (gts, infs)]
+    sizes = weights[0].unionAll(weights[1]).groupBy("image_id").agg(F.sum("n").alias("n"))
     rows, largest = sizes.agg(F.sum("n"), F.max("n")).first()
     tasks = -(-(rows or 0) // TASK_ROWS)
+
+    def together(gts: DataFrame, infs: DataFrame) -> DataFrame:
+        rows = _dealt(gts, infs, within, tie, tasks)
+        return _match_grouped(rows, iou_threshold, strict, tie, ious) if ious else _match_listed(rows, iou_threshold, strict, tie)
+
     if (largest or 0) <= CROWD:
-        return _match_listed(gts, infs, iou_threshold, within, strict, tie, tasks)
+        return together(gts, infs)
     crowded = materialize(sizes.where(F.col("n") > CROWD).select("image_id"), "crowded-images")
     few = (df.join(crowded, "image_id", "left_anti") for df in (gts, infs))
     many = (df.join(crowded, "image_id", "left_semi") for df in (gts, infs))
-    return _match_listed(*few, iou_threshold, within, strict, tie, tasks).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
+    return together(*few).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
 
 
-def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within: Sequence[str], strict: bool, tie: Sequence[str], tasks: int) -> DataFrame:
-    """``match`` of images with few objects: one exchange by image into at least ``tasks``, every inference beside the list of its ground truths."""
+def _dealt(gts: DataFrame, infs: DataFrame, within: Sequence[str], tie: Sequence[str], tasks: int) -> DataFrame:
+    """(image_id, gt, inf, grp, rank) of every object, dealt out by image into at least ``tasks``; ``rank`` orders ground truths."""
     gt, inf = (F.struct(*[F.col(c) for c in df.columns if c != "grp"]) for df in (gts, infs))
     rows = gts.select("image_id", gt.alias("gt")).unionByName(infs.select("image_id", inf.alias("inf")), allowMissingColumns=True)
     least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -132,7 +143,11 @@ def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within:
     own = lambda c: F.when(F.col("gt").isNotNull(), F.col(f"gt.{c}")).otherwise(F.col(f"inf.{c}")).alias(c)
     grp = F.struct(*[own(c) for c in within]) if within else _group(())
     rank = F.struct(F.col("gt.is_ignored").alias("late"), *[F.col(f"gt.{c}") for c in tie], F.col("gt.gt_idx"))
-    rows = rows.select("*", grp.alias("grp"), F.when(F.col("gt").isNotNull(), rank).alias("rank"))
+    return rows.select("*", grp.alias("grp"), F.when(F.col("gt").isNotNull(), rank).alias("rank"))
+
+
+def _match_listed(rows: DataFrame, iou_threshold: float, strict: bool, tie: Sequence[str]) -> DataFrame:
+    """``match`` of the dealt boxes of images with few objects: every inference beside the list of its ground truths."""
     listed = F.when(F.col("gt").isNotNull(), F.struct("rank", "gt"))
     rows = rows.withColumn("near_by", F.collect_list(listed).over(W.partitionBy("image_id", "grp")))
     a, b = (lambda g: g["gt"]["geom"]), F.col("inf.geom")
@@ -162,6 +177,47 @@ def _match_listed(gts: DataFrame, infs: DataFrame, iou_threshold: float, within:
     return kept.select("image_id", kind.alias("kind"), shown.alias("gt"), "inf", iou.alias("iou"))
 
 
+def _match_grouped(rows: DataFrame, iou_threshold: float, strict: bool, tie: Sequence[str], ious: Callable[[Column, Column], Column]) -> DataFrame:
+    """``match`` of dealt objects of images with few points: a group of an image is one row, since what Python returns is no longer dealt by image."""
+    listed = F.collect_list(F.when(F.col("gt").isNotNull(), F.struct("rank", "gt")))
+    groups = rows.groupBy("image_id", "grp").agg(listed.alias("gts"), F.collect_list("inf").alias("infs"))
+    groups = groups.withColumn("ious", ious(F.transform("gts", lambda g: g["gt"]["geom"]), F.transform("infs", lambda x: x["geom"])))
+
+    def overlaps(j: Column) -> Column:
+        at = lambda i: F.get("ious", j * F.size("gts") + i)
+        every = F.transform("gts", lambda g, i: F.struct((-F.when(at(i) >= 0, at(i))).alias("neg"), g["rank"].alias("rank"), i.alias("i")))
+        return F.filter(every, lambda o: o["neg"].isNotNull())
+
+    def candidate(x: Column) -> Column:
+        best = F.array_min(F.filter(x["overlaps"], (lambda o: -o["neg"] > iou_threshold) if strict else (lambda o: -o["neg"] >= iou_threshold)))
+        if iou_threshold < 0 or (iou_threshold == 0 and not strict):
+            # Without a positive threshold an object of no overlap is a candidate too: the first of the group.
+            best = F.coalesce(best, F.array_min(F.transform("gts", lambda g, i: F.struct(F.lit(0.0).alias("neg"), g["rank"].alias("rank"), i.alias("i")))))
+        near = F.array_max(F.transform(F.filter(x["overlaps"], lambda o: ~o["rank"]["late"]), lambda o: -o["neg"]))
+        return F.struct(x["inf"].alias("inf"), best.alias("best"), F.coalesce(near, F.lit(0.0)).alias("near"))
+
+    def claim(x: Column) -> Column:
+        order = F.struct((-x["inf"]["score"]).alias("neg"), *[x["inf"][c].alias(f"_{c}") for c in tie], x["inf"]["inf_idx"].alias("inf_idx"))
+        return F.struct(x["inf"].alias("inf"), x["best"].alias("best"), x["near"].alias("near"), F.when(x["best"].isNotNull() & ~x["best"]["rank"]["late"], order).alias("claim"))
+
+    def winner(g: Column) -> Column:
+        return F.array_min(F.transform(F.filter("found", lambda x: x["best"]["rank"].eqNullSafe(g["rank"])), lambda x: x["claim"]))
+
+    def shown(x: Column) -> Column:
+        spot = F.get("won", x["best"]["i"])
+        taken, late = x["claim"].isNotNull() & (x["claim"] == spot["winner"]), F.coalesce(x["best"]["rank"]["late"], F.lit(False))
+        kind = F.when(taken, "matched").when(late, "ignored").otherwise("unmatched_inf")
+        return F.struct(kind.alias("kind"), F.when(taken, spot["gt"]).alias("gt"), x["inf"].alias("inf"), F.when(taken | late, -x["best"]["neg"]).otherwise(x["near"]).alias("iou"))
+
+    groups = groups.select("image_id", "gts", F.transform("infs", lambda x, j: F.struct(x.alias("inf"), overlaps(j).alias("overlaps"))).alias("found"))
+    groups = groups.select("image_id", "gts", F.transform(F.transform("found", candidate), claim).alias("found"))
+    groups = groups.select("image_id", "found", F.transform("gts", lambda g: F.struct(g["rank"].alias("rank"), g["gt"].alias("gt"), winner(g).alias("winner"))).alias("won"))
+    no_inf = F.lit(None).cast(groups.schema["found"].dataType.elementType["inf"].dataType)
+    missed = F.filter("won", lambda g: ~g["rank"]["late"] & g["winner"].isNull())
+    missed = F.transform(missed, lambda g: F.struct(F.lit("unmatched_gt").alias("kind"), g["gt"].alias("gt"), no_inf.alias("inf"), F.lit(None).cast("double").alias("iou")))
+    return groups.select("image_id", F.explode(F.concat(F.transform("found", shown), missed)).alias("row")).select("image_id", "row.*")
+
+
 def _match_tiled(gts: DataFrame, infs: DataFrame, iou_threshold: float, strict: bool, tie: Sequence[str], overlaps: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """``match`` of any images: pairs from tiles, and joins on the objects' indexes."""
     gt_order = F.struct(F.col("is_ignored").alias("late"), *[F.col(c) for c in tie], F.col("gt_idx"))

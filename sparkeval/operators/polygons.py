@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkeval.operators.matching import overlapping
+from sparkeval.operators.matching import GROUPED, overlapping
 
 _CHUNK = 512
 
@@ -137,36 +139,91 @@ def convex_ring_ious(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarr
 _SMALL, _CELLS = 16, 1_000_000
 
 
-@F.pandas_udf(T.DoubleType())
-def _ring_ious(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
-    """Rings of one size run together; large ones one by one."""
-    out = np.zeros(len(ax))
-    sizes = pd.DataFrame({"a": ax.map(len), "b": bx.map(len)}).reset_index(drop=True)
-    for (na, nb), rows in sizes.groupby(["a", "b"]).indices.items():
-        rings = [np.stack([np.concatenate(c.to_numpy()[rows]).reshape(len(rows), -1) for c in xy], axis=-1).astype(float) for xy in ((ax, ay), (bx, by))]
-        n = na + nb
-        if n > _SMALL:
-            out[rows] = [ring_iou(p, q) for p, q in zip(*rings)]
-            continue
-        step = max(1, _CELLS // ((n + n * n // 2) * n))
+def _pair_ious(pairs: int, na: np.ndarray, nb: np.ndarray, rings: Callable[[np.ndarray, int, int], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Overlaps of pairs of rings with ``na`` and ``nb`` points; ``rings`` gives the points of some pairs of equal sizes. Those run together, large ones one by one."""
+    out = np.zeros(pairs)
+    for (a, b), rows in pd.DataFrame({"a": na, "b": nb}).groupby(["a", "b"]).indices.items():
+        n = a + b
+        step = max(1, _CELLS // ((n + n * n // 2) * n)) if n <= _SMALL else 1
         for i in range(0, len(rows), step):
-            p, q = rings[0][i : i + step], rings[1][i : i + step]
+            p, q = rings(rows[i : i + step], a, b)
+            if n > _SMALL:
+                out[rows[i]] = ring_iou(p[0], q[0])
+                continue
             found, sure = convex_ring_ious(p, q)
             if not sure.all():
                 found[~sure] = small_ring_ious(p[~sure], q[~sure])
             out[rows[i : i + step]] = found
-    return pd.Series(out)
+    return out
+
+
+@F.pandas_udf(T.DoubleType())
+def _ring_ious(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
+    ax, ay, bx, by = (c.to_numpy() for c in (ax, ay, bx, by))
+
+    def rings(rows: np.ndarray, *_: int) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.stack([np.concatenate(c[rows]).reshape(len(rows), -1) for c in xy], axis=-1).astype(float) for xy in ((ax, ay), (bx, by)))
+
+    return pd.Series(_pair_ious(len(ax), np.array([len(x) for x in ax], int), np.array([len(x) for x in bx], int), rings))
 
 
 _ring_ious = _ring_ious.asNondeterministic()  # else a filter on the result is pushed below it and computes it twice
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _grouped_ious(ax: pd.Series, ay: pd.Series, an: pd.Series, bx: pd.Series, by: pd.Series, bn: pd.Series) -> pd.Series:
+    """For each ring of the second list its overlaps with all of the first, -1 where extents do not meet; points lie one after the other, numbers beside."""
+    flat = lambda c: np.concatenate([np.zeros(0), *c.to_numpy()]).astype(float)
+    a, b, na, nb = np.stack([flat(ax), flat(ay)], -1), np.stack([flat(bx), flat(by)], -1), flat(an).astype(int), flat(bn).astype(int)
+    rows_a, rows_b = an.map(len).to_numpy(), bn.map(len).to_numpy()
+    pairs = rows_a * rows_b
+
+    def extents(points: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low, high = np.full((2, len(n), 2), np.nan)
+        some, starts = n > 0, (np.cumsum(n) - n)[n > 0]
+        if len(starts):
+            low[some], high[some] = np.fmin.reduceat(points, starts), np.fmax.reduceat(points, starts)
+        return low, high
+
+    row = np.repeat(np.arange(len(pairs)), pairs)
+    at = np.arange(pairs.sum()) - (np.cumsum(pairs) - pairs)[row]
+    i, j = (np.cumsum(rows_a) - rows_a)[row] + at % rows_a[row], (np.cumsum(rows_b) - rows_b)[row] + at // rows_a[row]
+    (alow, ahigh), (blow, bhigh) = extents(a, na), extents(b, nb)
+    meet = np.flatnonzero((np.maximum(alow[i], blow[j]) < np.minimum(ahigh[i], bhigh[j])).all(axis=1))
+    i, j = i[meet], j[meet]
+    starts_a, starts_b = (np.cumsum(na) - na)[i], (np.cumsum(nb) - nb)[j]
+
+    def rings(of: np.ndarray, m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        return a[starts_a[of][:, None] + np.arange(m)], b[starts_b[of][:, None] + np.arange(n)]
+
+    out = np.full(len(row), -1.0)
+    out[meet] = _pair_ious(len(meet), na[i], nb[j], rings)
+    return pd.Series(np.split(out, np.cumsum(pairs)[:-1]), dtype=object)
+
+
+_grouped_ious = _grouped_ious.asNondeterministic()
+
+
+def _axes(geom: Column) -> tuple[Column, Column]:
+    return F.transform(geom, lambda p: p["x"]), F.transform(geom, lambda p: p["y"])
+
+
 def polygon_iou(a: Column, b: Column) -> Column:
-    xs, ys = (lambda g: F.transform(g, lambda p: p["x"])), (lambda g: F.transform(g, lambda p: p["y"]))
-    return _ring_ious(xs(a), ys(a), xs(b), ys(b))
+    return _ring_ious(*_axes(a), *_axes(b))
 
 
 def polygon_overlaps(gts: DataFrame, infs: DataFrame) -> DataFrame:
     """(image_id, grp, a, b, iou) for distinct rings whose extents overlap."""
     pairs = overlapping(gts, infs, ["image_id", "grp"], polygon=True)
     return pairs.withColumn("iou", polygon_iou(F.col("a.geom"), F.col("b.geom")))
+
+
+def _polygon_groups(a: Column, b: Column) -> Column:
+    none = F.array().cast("array<double>")
+    axis = lambda g, name: F.coalesce(F.transform(g, lambda p: p[name].cast("double")), none)
+    flat = lambda rings, name: F.flatten(F.transform(rings, lambda g: axis(g, name)))
+    return _grouped_ious(*[x for rings in (a, b) for x in (flat(rings, "x"), flat(rings, "y"), F.transform(rings, lambda g: F.size(axis(g, "x"))))])
+
+
+#: A ring counts as many points as it has, and at least those of a box.
+GROUPED[polygon_overlaps] = (_polygon_groups, lambda geom: F.greatest(F.lit(4), F.coalesce(F.size(geom), F.lit(0))))

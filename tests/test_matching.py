@@ -238,3 +238,70 @@ def test__convex_overlaps_equal_slabs():
         got, sure = polygons.convex_ring_ious(a, b)
         assert np.abs(got - want)[sure].max() < 1e-12
         assert sure.all() or a is free or b is shifted
+
+
+RING = "array<struct<x: double, y: double>>"
+
+
+def rings(spark, seed, images, most):
+    """Ground truths and inferences as rings of 3 to 6 points, some dented, crossed, missing or equal."""
+    r = random.Random(seed)
+
+    def ring():
+        if r.random() < 0.05:
+            return None
+        x, y = r.randint(0, 12), r.randint(0, 12)
+        return [(float(x + r.randint(0, 8)), float(y + r.randint(0, 8))) for _ in range(r.randint(3, 6))]
+
+    gts, infs = [], []
+    for image in range(images):
+        drawn = [ring() for _ in range(r.randint(1, most))]
+        gts += [(image, r.choice((i, i, 1)), r.choice("ab"), r.random() < 0.2, r.choice(drawn)) for i in range(r.randint(0, most))]
+        infs += [(image, i, r.choice("ab"), round(r.random(), 1), r.choice(drawn) if r.random() < 0.5 else ring()) for i in range(r.randint(0, most))]
+    return (
+        spark.createDataFrame(gts, f"image_id long, gt_idx long, label string, is_ignored boolean, geom {RING}"),
+        spark.createDataFrame(infs, f"image_id long, inf_idx long, label string, score double, geom {RING}"),
+    )
+
+
+@pytest.mark.parametrize("threshold,strict,tie", [(0.3, False, []), (0.5, True, ["label"]), (0.0, False, [])])
+def test__grouped_polygons_equal_tiles(spark, threshold, strict, tie):
+    from sparkeval.operators import polygons
+
+    g, i = rings(spark, 8, 40, 9)
+    g = g.dropDuplicates(["image_id", "gt_idx"])
+    within = [] if tie else ["label"]
+    kw = dict(strict=strict, tie=tie)
+    found = [matching.match(g, i, threshold, within, overlaps=o, **kw) for o in (polygons.polygon_overlaps, lambda a, b: polygons.polygon_overlaps(a, b))]
+    rows = [sorted(repr((r.image_id, r.kind, r.gt, r.inf, None if r.iou is None else round(r.iou, 9) + 0.0)) for r in m.collect()) for m in found]
+    assert rows[0] == rows[1] and len(rows[0]) > 200
+
+
+def test__small_images_of_polygons_take_one_exchange(spark, monkeypatch):
+    from sparkeval.operators import polygons
+
+    g, i = rings(spark, 2, 30, 6)
+    g = g.dropDuplicates(["image_id", "gt_idx"])
+    few = matching.match(g, i, 0.5, ["label"], overlaps=polygons.polygon_overlaps)
+    assert few._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(matching, "CROWD", 30)  # images with more points go through the tiles
+    some = matching.match(g, i, 0.5, ["label"], overlaps=polygons.polygon_overlaps)
+    assert some._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") > 1
+    assert sorted(map(repr, few.select("image_id", "kind", "inf", F.round("iou", 9)).collect())) == sorted(map(repr, some.select("image_id", "kind", "inf", F.round("iou", 9)).collect()))
+
+
+def test__written_tables_replace_their_shuffle_files(spark):
+    import time
+
+    from sparkeval.session import materialize
+
+    def shuffle_files():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+    before = shuffle_files()
+    assert materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*")), "counts").count() == 7
+    until = time.time() + 20
+    while shuffle_files() > before + 2 and time.time() < until:  # the count above made an exchange of its own: a file and its index
+        time.sleep(0.2)
+    assert shuffle_files() <= before + 2
