@@ -339,3 +339,21 @@ def test__recall_of_edited_passages(docs):
     got = {r.doc_id for r in substring_dedup.repeated_passages(docs(rows)).select("doc_id").collect()}
     print(f"recall {len(got & want)} of {len(want)}")
     assert got <= want and len(got & want) >= 0.995 * len(want) and len(want) > 300
+
+
+def test__pairs_that_share_a_phrase_only_are_left_before_their_anchors():
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    phrase, draw = r.integers(0, 1 << 31, 49), lambda n: r.integers(0, 1 << 31, n)
+    a, b = (np.concatenate([draw(200), phrase, draw(60), phrase, draw(200)]).astype(np.uint32) for _ in "ab")
+
+    def anchors():
+        raise AssertionError("anchors of a pair without a passage are read")
+        yield
+
+    assert substring_dedup.align(a, b, anchors(), 50, 80) == [] and not substring_dedup.comparable(a, b, 50)
+    one = np.concatenate([draw(30), phrase, draw(1), draw(90)]).astype(np.uint32)
+    other = np.concatenate([draw(70), one[30:80], draw(20)]).astype(np.uint32)  # one word more
+    assert substring_dedup.comparable(one, other, 50)
+    assert substring_dedup.align(one, other, [(0, 0, 0, len(one), 0, 0, 0, len(other))], 50, 80) == [(30, 50, 70, 50, 1.0)]
