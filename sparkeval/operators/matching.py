@@ -116,18 +116,23 @@ def match(
     if overlaps is not box_overlaps and overlaps not in GROUPED:
         return _match_tiled(gts, infs, iou_threshold, strict, tie, overlaps)
     ious, points = GROUPED.get(overlaps, (None, lambda _: F.lit(1)))
-    weights = [df.select("image_id", points(F.col("geom")).alias("n")) for df in (gts, infs)]
-    sizes = weights[0].unionAll(weights[1]).groupBy("image_id").agg(F.sum("n").alias("n"))
-    rows, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+
+    def weighed(df: DataFrame, index: str) -> DataFrame:
+        odd = F.col(index).isNull() if ious else F.lit(False)  # the joins of the tiles let a missing index match nothing
+        return df.select("image_id", points(F.col("geom")).alias("n"), odd.alias("odd"))
+
+    sizes = weighed(gts, "gt_idx").unionAll(weighed(infs, "inf_idx")).groupBy("image_id").agg(F.sum("n").alias("n"), F.max("odd").alias("odd"))
+    apart = F.col("odd") | (F.col("n") > CROWD)
+    rows, any_apart = sizes.agg(F.sum("n"), F.max(apart)).first()
     tasks = -(-(rows or 0) // TASK_ROWS)
 
     def together(gts: DataFrame, infs: DataFrame) -> DataFrame:
         rows = _dealt(gts, infs, within, tie, tasks)
         return _match_grouped(rows, iou_threshold, strict, tie, ious) if ious else _match_listed(rows, iou_threshold, strict, tie)
 
-    if (largest or 0) <= CROWD:
+    if not any_apart:
         return together(gts, infs)
-    crowded = materialize(sizes.where(F.col("n") > CROWD).select("image_id"), "crowded-images")
+    crowded = materialize(sizes.where(apart).select("image_id"), "crowded-images")
     few = (df.join(crowded, "image_id", "left_anti") for df in (gts, infs))
     many = (df.join(crowded, "image_id", "left_semi") for df in (gts, infs))
     return together(*few).unionByName(_match_tiled(*many, iou_threshold, strict, tie, overlaps))
@@ -179,6 +184,7 @@ def _match_listed(rows: DataFrame, iou_threshold: float, strict: bool, tie: Sequ
 
 def _match_grouped(rows: DataFrame, iou_threshold: float, strict: bool, tie: Sequence[str], ious: Callable[[Column, Column], Column]) -> DataFrame:
     """``match`` of dealt objects of images with few points: a group of an image is one row, since what Python returns is no longer dealt by image."""
+    known = F.col("image_id").isNotNull()  # objects without an image meet none
     listed = F.collect_list(F.when(F.col("gt").isNotNull(), F.struct("rank", "gt")))
     groups = rows.groupBy("image_id", "grp").agg(listed.alias("gts"), F.collect_list("inf").alias("infs"))
     groups = groups.withColumn("ious", ious(F.transform("gts", lambda g: g["gt"]["geom"]), F.transform("infs", lambda x: x["geom"])))
@@ -186,13 +192,13 @@ def _match_grouped(rows: DataFrame, iou_threshold: float, strict: bool, tie: Seq
     def overlaps(j: Column) -> Column:
         at = lambda i: F.get("ious", j * F.size("gts") + i)
         every = F.transform("gts", lambda g, i: F.struct((-F.when(at(i) >= 0, at(i))).alias("neg"), g["rank"].alias("rank"), i.alias("i")))
-        return F.filter(every, lambda o: o["neg"].isNotNull())
+        return F.when(known, F.filter(every, lambda o: o["neg"].isNotNull()))
 
     def candidate(x: Column) -> Column:
         best = F.array_min(F.filter(x["overlaps"], (lambda o: -o["neg"] > iou_threshold) if strict else (lambda o: -o["neg"] >= iou_threshold)))
         if iou_threshold < 0 or (iou_threshold == 0 and not strict):
             # Without a positive threshold an object of no overlap is a candidate too: the first of the group.
-            best = F.coalesce(best, F.array_min(F.transform("gts", lambda g, i: F.struct(F.lit(0.0).alias("neg"), g["rank"].alias("rank"), i.alias("i")))))
+            best = F.coalesce(best, F.when(known, F.array_min(F.transform("gts", lambda g, i: F.struct(F.lit(0.0).alias("neg"), g["rank"].alias("rank"), i.alias("i"))))))
         near = F.array_max(F.transform(F.filter(x["overlaps"], lambda o: ~o["rank"]["late"]), lambda o: -o["neg"]))
         return F.struct(x["inf"].alias("inf"), best.alias("best"), F.coalesce(near, F.lit(0.0)).alias("near"))
 

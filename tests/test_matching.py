@@ -276,6 +276,18 @@ def test__grouped_polygons_equal_tiles(spark, threshold, strict, tie):
     assert rows[0] == rows[1] and len(rows[0]) > 200
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.0])
+def test__polygons_without_index_or_image_match_nothing(spark, threshold):
+    from sparkeval.operators import polygons
+
+    g, i = rings(spark, 4, 20, 6)
+    g = g.withColumn("gt_idx", F.expr("nullif(gt_idx, image_id % 7)")).withColumn("image_id", F.expr("if(image_id IN (5, 8, 11), NULL, image_id)"))
+    i = i.withColumn("inf_idx", F.expr("nullif(inf_idx, image_id % 5)")).withColumn("image_id", F.expr("if(image_id IN (5, 8, 11), NULL, image_id)"))
+    found = [matching.match(g, i, threshold, ["label"], overlaps=o) for o in (polygons.polygon_overlaps, lambda a, b: polygons.polygon_overlaps(a, b))]
+    rows = [sorted(repr((r.image_id, r.kind, r.gt, r.inf, None if r.iou is None else round(r.iou, 9) + 0.0)) for r in m.collect()) for m in found]
+    assert rows[0] == rows[1] and any("None, 'unmatched_gt'" in r for r in rows[0])
+
+
 def test__small_images_of_polygons_take_one_exchange(spark, monkeypatch):
     from sparkeval.operators import polygons
 
